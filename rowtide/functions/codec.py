@@ -1,61 +1,68 @@
 """Payload codecs. Plain Spark has no gzip or raw snappy expression, so these
 are Arrow-batched; callers apply them to the values that need them only."""
 
-import zlib
+from pyspark.sql import functions as F, types as T
 
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import functions as F
-
-from rowtide.schema import GZIP, GZIP_BASE64, SNAPPY, SNAPPY_BASE64
+from rowtide.schema import GZIP_BASE64, SNAPPY, SNAPPY_BASE64
 
 HUFFMAN_ONLY = -2
 
 
-def _gzip(data, level):
-    strategy = zlib.Z_HUFFMAN_ONLY if level == HUFFMAN_ONLY else zlib.Z_DEFAULT_STRATEGY
-    packer = zlib.compressobj(-1 if level == HUFFMAN_ONLY else level, zlib.DEFLATED, 31, 8, strategy)
-    return packer.compress(data) + packer.flush()
-
-
-@F.pandas_udf("binary")
-def _pack(data: pd.Series, mode: pd.Series, level: pd.Series) -> pd.Series:
-    snappy = pa.Codec("snappy")
-    out = []
-    for value, how, lvl in zip(data, mode, level):
-        if value is None:
-            out.append(None)
-        elif how in (SNAPPY, SNAPPY_BASE64):
-            out.append(snappy.compress(bytes(value), asbytes=True))
-        else:
-            out.append(_gzip(bytes(value), int(lvl)))
-    return pd.Series(out, dtype=object)
-
-
-def _snappy_size(data):
-    """Uncompressed length: the varint a raw snappy block starts with."""
-    size = shift = 0
-    for byte in data:
-        size |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return size
-        shift += 7
-    return size
-
-
-@F.pandas_udf("binary")
-def _unpack(data: pd.Series, mode: pd.Series) -> pd.Series:
-    snappy = pa.Codec("snappy")
-    out = []
-    for value, how in zip(data, mode):
-        if value is None:
-            out.append(None)
-        elif how in (SNAPPY, SNAPPY_BASE64):
-            raw = bytes(value)
-            out.append(snappy.decompress(raw, decompressed_size=_snappy_size(raw), asbytes=True))
-        else:
-            out.append(zlib.decompress(bytes(value), 31))
-    return pd.Series(out, dtype=object)
+def _packer():
+    """Batch function (data, mode, level) -> bytes. Built here, so that it
+    travels to executors whole."""
+    import zlib
+
+    import pandas as pd
+    import pyarrow as pa
+
+    snappy_modes, huffman = (SNAPPY, SNAPPY_BASE64), HUFFMAN_ONLY
+
+    def gzip(data, level):
+        strategy = zlib.Z_HUFFMAN_ONLY if level == huffman else zlib.Z_DEFAULT_STRATEGY
+        packer = zlib.compressobj(-1 if level == huffman else level, zlib.DEFLATED, 31, 8, strategy)
+        return packer.compress(data) + packer.flush()
+
+    def pack(data: pd.Series, mode: pd.Series, level: pd.Series) -> pd.Series:
+        snappy = pa.Codec("snappy")
+        return pd.Series([
+            None if value is None
+            else snappy.compress(bytes(value), asbytes=True) if how in snappy_modes
+            else gzip(bytes(value), int(lvl))
+            for value, how, lvl in zip(data, mode, level)], dtype=object)
+
+    return F.pandas_udf(pack, T.BinaryType())
+
+
+def _unpacker():
+    """Batch function (data, mode) -> bytes."""
+    import zlib
+
+    import pandas as pd
+    import pyarrow as pa
+
+    snappy_modes = (SNAPPY, SNAPPY_BASE64)
+
+    def plain_size(data):
+        """Uncompressed length: the varint a raw snappy block starts with."""
+        size = shift = 0
+        for byte in data:
+            size |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                return size
+            shift += 7
+        return size
+
+    def unpack(data: pd.Series, mode: pd.Series) -> pd.Series:
+        snappy = pa.Codec("snappy")
+        return pd.Series([
+            None if value is None
+            else snappy.decompress(bytes(value), decompressed_size=plain_size(value), asbytes=True)
+            if how in snappy_modes
+            else zlib.decompress(bytes(value), 31)
+            for value, how in zip(data, mode)], dtype=object)
+
+    return F.pandas_udf(unpack, T.BinaryType())
 
 
 def level_ok(level):
@@ -65,7 +72,7 @@ def level_ok(level):
 
 def compress(text, mode, level):
     """Bytes of a text in a mode column 0..4; mode 0 is the text itself."""
-    packed = _pack(F.when(mode > 0, text.cast("binary")), mode, level)
+    packed = _packer()(F.when(mode > 0, text.cast("binary")), mode, level)
     return (
         F.when(mode == 0, text.cast("binary"))
         .when(mode.isin(GZIP_BASE64, SNAPPY_BASE64), F.base64(packed).cast("binary"))
@@ -77,4 +84,4 @@ def decompress(data, mode):
     """The text of bytes made by `compress`."""
     packed = F.when(mode.isin(GZIP_BASE64, SNAPPY_BASE64), F.unbase64(data.cast("string"))).otherwise(
         F.when(mode > 0, data))
-    return F.when(mode == 0, data.cast("string")).otherwise(_unpack(packed, mode).cast("string"))
+    return F.when(mode == 0, data.cast("string")).otherwise(_unpacker()(packed, mode).cast("string"))

@@ -101,8 +101,9 @@ def json_quote(col):
 
 def json_cell_quote(col):
     """As json_quote, with bytes that are no UTF-8 shown as escapes."""
-    broken = F.replace(json_quote(F.make_valid_utf8(col)), F.lit("\ufffd"), F.lit("\\ufffd"))
-    return F.when(F.is_valid_utf8(col), json_quote(col)).otherwise(broken)
+    quoted = let(F.make_valid_utf8(col), json_quote)
+    return let(quoted, lambda q: F.when(F.is_valid_utf8(col), q).otherwise(
+        F.replace(q, F.lit("\ufffd"), F.lit("\\ufffd"))))
 
 
 def cell_json(cell, decimal_as="string"):
@@ -140,15 +141,30 @@ def image_text(image, names, sep=":"):
     return F.array_join(F.transform(cells_of(image, names), lambda c: cell_text(c)), sep)
 
 
-def image_json(image, names=None, decimal_as="string"):
-    """JSON object of an image, keys in name order. `names` is a column holding
-    the sorted distinct names to keep, NULL for all."""
-    cells = F.sort_array(image)
+def render(image, decimal_as="string"):
+    """An image sorted by name with each cell's text and JSON member worked out
+    once, however many rules use it: ARRAY<STRUCT<name,text,member>>."""
+    return F.transform(F.sort_array(image), lambda c: F.struct(
+        c["name"].alias("name"), cell_text(c).alias("text"),
+        F.concat(json_quote(c["name"]), F.lit(":"), cell_json(c, decimal_as)).alias("member")))
+
+
+def rendered_text(cells, names, sep=":"):
+    """As image_text, over a rendered image."""
+    return F.array_join(F.transform(cells_of(cells, names), lambda c: c["text"]), sep)
+
+
+def rendered_json(cells, names=None):
+    """JSON object of a rendered image, keys in name order. `names` is a column
+    holding the sorted distinct names to keep, NULL for all."""
     if names is not None:
-        cells = F.when(names.isNull(), cells).otherwise(cells_of(image, names))
-    members = F.transform(
-        cells, lambda c: F.concat(json_quote(c["name"]), F.lit(":"), cell_json(c, decimal_as)))
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+        cells = F.when(names.isNull(), cells).otherwise(cells_of(cells, names))
+    return F.concat(F.lit("{"), F.array_join(F.transform(cells, lambda c: c["member"]), ","), F.lit("}"))
+
+
+def image_json(image, names=None, decimal_as="string"):
+    """JSON object of an image."""
+    return rendered_json(render(image, decimal_as), names)
 
 
 def image_xml(image, names=None):
@@ -158,5 +174,5 @@ def image_xml(image, names=None):
         cells = F.when(names.isNull(), image).otherwise(cells_of(image, names))
     members = F.transform(cells, lambda c: F.concat(
         F.lit('<column name="'), xml_escape(c["name"]), F.lit('">'),
-        xml_escape(F.make_valid_utf8(cell_text(c, ""))), F.lit("</column>")))
+        let(F.make_valid_utf8(cell_text(c, "")), xml_escape), F.lit("</column>")))
     return F.concat(F.lit("<columns>"), F.array_join(members, ""), F.lit("</columns>"))

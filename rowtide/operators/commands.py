@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.joins import join_control
-from rowtide.functions.text import cell_text, cells_of, image_json, image_text
+from rowtide.functions.text import cells_of, render, rendered_json, rendered_text
 from rowtide.operators.rules import TABLE, compile_rules
 from rowtide.schema import ORDER
 
@@ -14,42 +14,44 @@ SNAPSHOT_BLOCK = 1 << 20
 _FIELDS = "array<struct<field:string,value:string,enc:int>>"
 
 
-def fan_out(changes, rules):
-    """Each change once per rule of its table, with the compiled rule."""
+def fan_out(changes, rules, decimal_as="string"):
+    """Each change once per rule of its table, with the compiled rule. Images are
+    rendered before the rules multiply them."""
+    changes = changes.withColumns({c: render(F.col(c), decimal_as) for c in ("after", "before")})
     return join_control(changes, compile_rules(rules), TABLE)
 
 
-def passes(clauses, image):
+def passes(clauses, cells):
     """No taking-part clause names a cell whose text differs. Clauses on columns
     the row does not have are ignored."""
     return ~F.exists(clauses, lambda c: F.exists(
-        image, lambda x: (x["name"] == c["name"]) & (cell_text(x) != c["value"])))
+        cells, lambda x: (x["name"] == c["name"]) & (x["text"] != c["value"])))
 
 
-def target_key(image):
+def target_key(cells):
     """prefix:v1:v2 for string and hash; the prefix alone for set and zset, or
     when no key column has text."""
-    key = image_text(image, F.col("key_names"))
-    alone = F.col("target_type").isin("set", "zset") | (key == "")
-    return F.when(alone, F.col("prefix")).otherwise(F.concat("prefix", F.lit(":"), key))
+    alone = F.col("target_type").isin("set", "zset")
+    key = F.when(~alone, rendered_text(cells, F.col("key_names")))
+    return F.concat("prefix", F.when(key != "", F.lit(":")).otherwise(""), F.coalesce(key, F.lit("")))
 
 
-def payload(image, decimal_as="string"):
-    return image_json(image, F.col("json_names"), decimal_as)
+def payload(cells):
+    return rendered_json(cells, F.col("json_names"))
 
 
-def hash_fields(image):
-    cells = F.when(F.col("kept_names").isNull(), image).otherwise(
-        cells_of(image, F.array_distinct("kept_names")))
-    return F.transform(cells, lambda c: F.struct(
-        c["name"].alias("field"), cell_text(c).alias("value"),
+def hash_fields(cells):
+    kept = F.when(F.col("kept_names").isNull(), cells).otherwise(
+        cells_of(cells, F.array_distinct("kept_names")))
+    return F.transform(kept, lambda c: F.struct(
+        c["name"].alias("field"), c["text"].alias("value"),
         F.when(F.array_contains(F.col("enc_names"), c["name"]), F.col("enc")).otherwise(0).alias("enc")))
 
 
-def score_of(image):
+def score_of(cells):
     """Number in the score column; NULL if the column is absent or no number."""
-    cells = cells_of(image, F.array("score_name"))
-    return F.try_element_at(cells, F.lit(1))["value"].try_cast("double")
+    found = F.filter(cells, lambda c: c["name"] == F.col("score_name"))
+    return F.try_element_at(found, F.lit(1))["text"].try_cast("double")
 
 
 def ttl(*spread_by):
@@ -69,7 +71,7 @@ def _command(phase, op, **fields):
 
 
 def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_block):
-    df = fan_out(changes, rules)
+    df = fan_out(changes, rules, decimal_as)
     after, before = F.col("after"), F.col("before")
     kind, event = F.col("target_type"), F.col("event")
     scored = kind.isin("set", "zset")
@@ -91,19 +93,19 @@ def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_blo
         .when((kind == "hash") & write & (F.size(hash_fields(after)) == 0), "empty hash"))
     main = _command(
         1, op, key=target_key(after),
-        value=F.when(~invalidate & ((kind == "string") & write | scored), payload(after, decimal_as)),
+        value=F.when(~invalidate & ((kind == "string") & write | scored), payload(after)),
         fields=fields, score=points,
         ttl=F.when(~invalidate, F.when(write | scored, live).when(F.col("delayed"), F.col("delay_ttl"))),
         reason=reason)
 
     # Phase 0: what the old image of an update leaves behind. All clean-ups of
     # an event come before its writes.
-    moved = (image_text(before, F.col("key_names")) != image_text(after, F.col("key_names"))) | F.exists(
+    moved = (rendered_text(before, F.col("key_names")) != rendered_text(after, F.col("key_names"))) | F.exists(
         "clauses", lambda c: F.exists(before, lambda x: x["name"] == c["name"]) & ~F.exists(
-            after, lambda x: (x["name"] == c["name"]) & (cell_text(x) == c["value"])))
+            after, lambda x: (x["name"] == c["name"]) & (x["text"] == c["value"])))
     clean = _command(
         0, F.when(scored, "REMOVE").otherwise("DEL"), key=target_key(before),
-        value=F.when(scored, payload(before, decimal_as)),
+        value=F.when(scored, payload(before)),
         reason=F.col("rule_error"))
     commands = F.array(
         F.when((event == "update") & passes(F.col("clauses"), before) & (scored | keyed & moved), clean),

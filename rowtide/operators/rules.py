@@ -7,7 +7,7 @@ from rowtide.functions.text import split_trim, trim_space
 from rowtide.schema import OP_ADD, OP_DROP, TARGET_TYPES
 
 TABLE = ["sid", "db", "tb"]
-TOPIC_RULE = "column_name STRING, topic_rule MAP<STRING,STRING>"
+TOPIC_RULE = "column_name STRING, topic_rule MAP<STRING,STRING>, broken STRING"
 
 
 def _blank(col):
@@ -88,15 +88,19 @@ def message_keys(rules):
             .agg(F.max_by("message_key_columns", "id").alias("key_columns")))
 
 
+def _parsed_topics(rules):
+    parsed = F.from_json("message_topic_rule", TOPIC_RULE, {"columnNameOfCorruptRecord": "broken"})
+    return rules.where(F.col("message_topic_rule") != "").withColumn("_r", parsed)
+
+
 def _topic_rules(rules):
-    return rules.where(F.col("message_topic_rule") != "").withColumn(
-        "_r", F.from_json("message_topic_rule", TOPIC_RULE)).where(F.col("_r").isNotNull())
+    return _parsed_topics(rules).where(F.col("_r.broken").isNull())
 
 
 def topic_columns(rules):
     """Column that picks the topic, per table: that of the last topic rule."""
     return (_topic_rules(rules).groupBy(*TABLE)
-            .agg(F.max_by("_r.column_name", "id").alias("topic_column")))
+            .agg(F.max_by(F.coalesce("_r.column_name", F.lit("")), "id").alias("topic_column")))
 
 
 def topic_map(rules):
@@ -107,9 +111,7 @@ def topic_map(rules):
 
 def bad_topic_rules(rules):
     """Rules whose topic rule is no valid JSON object."""
-    return (rules.where(F.col("message_topic_rule") != "")
-            .withColumn("_r", F.from_json("message_topic_rule", TOPIC_RULE))
-            .where(F.col("_r").isNull() | F.col("_r.column_name").isNull())
+    return (_parsed_topics(rules).where(F.col("_r.broken").isNotNull())
             .select("sid", "id", "message_topic_rule"))
 
 

@@ -34,8 +34,7 @@ def include_tables(spark, sf_dir):
 
 
 @query("dump_tables", with_feeds("r", """
-SELECT sid, db, tb FROM r0 GROUP BY ALL HAVING max(CASE WHEN is_dump = 1 THEN 1 ELSE 0 END) = 1
-  AND max(is_dump) = 1""", ACTIVE))
+SELECT DISTINCT sid, db, tb FROM r0 WHERE is_dump = 1""", ACTIVE))
 def dump_tables(spark, sf_dir):
     return src.snapshot_tables(active(spark, sf_dir)).withColumn("sid", F.col("sid").cast("bigint"))
 

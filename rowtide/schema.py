@@ -1,6 +1,8 @@
 """Column contracts shared by every operator."""
 
+import pyarrow as pa
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CELL = T.StructType([
     T.StructField("name", T.StringType()),
@@ -106,5 +108,4 @@ KEY = ["target_type", "target_key"]
 def rules_df(spark, rows):
     """Rule DataFrame from dicts; missing columns take the table's defaults."""
     full = [{**RULE_DEFAULTS, **r} for r in rows]
-    names = RULES.fieldNames()
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in full], RULES)
+    return spark.createDataFrame(pa.Table.from_pylist(full, schema=to_arrow_schema(RULES)), RULES)

@@ -138,5 +138,4 @@ def unmonitored(events, rules):
 
 def snapshot_tables(rules):
     """Tables of which some rule asks for a snapshot, each once."""
-    return (rules.groupBy("sid", "db", "tb").agg(F.max("is_dump").alias("is_dump"))
-            .where(F.col("is_dump") == 1).select("sid", "db", "tb"))
+    return rules.where(F.col("is_dump") == 1).select("sid", "db", "tb").distinct()
