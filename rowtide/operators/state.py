@@ -191,3 +191,18 @@ def fold(commands, as_of):
 def encode(table, column, bytes_column):
     """A state table with the stored bytes of a value or member column."""
     return table.withColumn(bytes_column, compress(F.col(column), F.col("enc"), F.col("enc_level")))
+
+
+def as_lines(keys, lines):
+    """Resolved keys in the form of key lines, to stand for all lines merged so
+    far: one write at the start of the epoch and what became of it."""
+    kinds = {f.name: f.dataType for f in lines.schema.fields}
+    first = lines.groupBy(*KEY).agg(F.min("at").alias("at"))
+    alive = F.col("epoch_at").isNotNull()
+    values = {
+        "at": F.col("at"), "clock": F.col("clock"), "head_broken": F.lit(False),
+        "write_t": F.when(alive, F.col("clock")), "write_at": F.col("epoch_at"),
+        "tail_dl": F.col("deadline"), "tail_broken": F.col("dropped"), "reborn_at": F.col("epoch_at"),
+    }
+    return keys.join(first, KEY).select(*KEY, *[
+        values.get(n, F.lit(None)).cast(t).alias(n) for n, t in kinds.items() if n not in KEY])

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from rowtide.plans import feed, kv, rules, values  # noqa: F401
+from rowtide.plans import feed, kv, messages, positions, rules, sinks, values  # noqa: F401
 
 
 def queries():
