@@ -1,165 +1,151 @@
-"""Text, JSON and XML rendering of cells, as column expressions."""
+"""Text, JSON and XML rendering of cells.
+
+These helpers take and give SQL text: the expressions are nested lambdas, and
+one parsed text costs the driver far less than thousands of column calls. Use
+them as F.expr(image_json("after")).
+"""
 
 from pyspark.sql import functions as F
 
 NULL_TEXT = "<nil>"
 
-# Control characters that have no short form in the payload's JSON.
-_LONG_CONTROLS = [c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)]
-_PLAIN = r'^[^"\\<>&\x00-\x1f\u2028\u2029]*$'
-_RARE = r"[\x00-\x08\x0b\x0c\x0e-\x1f\u2028\u2029]"
-
-
-def trim_space(col):
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+# Characters with a short or markup escape in payload JSON, in escaping order.
+_JSON_COMMON = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
+                ("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")]
+# Controls without a short form, and the two line separators.
+_JSON_RARE = [c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)] + [0x2028, 0x2029]
+_XML_SPECIAL = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("'", "&#39;"),
+                ("\t", "&#x9;"), ("\n", "&#xA;"), ("\r", "&#xD;")]
 
 
-def split_trim(col, sep=","):
-    """Split and trim each part. An empty text gives one empty part."""
-    return F.transform(F.split(col, sep), trim_space)
+def literal(text):
+    """SQL string literal."""
+    if len(text) == 1 and ord(text) < 0x20:
+        return f"char({ord(text)})" if ord(text) else "decode(X'00', 'UTF-8')"
+    if "'" in text:
+        return f'r"{text}"'
+    return f"r'{text}'"
 
 
-def replace_all(col, pairs):
+def replace_all(text, pairs):
     for old, new in pairs:
-        col = F.replace(col, F.lit(old), F.lit(new))
-    return col
+        text = f"replace({text}, {literal(old)}, {literal(new)})"
+    return text
 
 
-def let(value, body):
+def let(value, name, body):
     """Use an expression's value several times without repeating the expression."""
-    return F.transform(F.array(value), body)[0]
+    return f"transform(array({value}), {name} -> {body})[0]"
+
 
+def trim_space(col):
+    return F.regexp_replace(col, r"^\s+|\s+$", "")
 
-def float_text(col, style):
+
+def split_trim(col, sep=","):
+    """Split and trim each part (a column). An empty text gives one empty part."""
+    return F.transform(F.split(col, sep), trim_space)
+
+
+def float_text(text, style):
     """Number text of a float cell: style "key" for keys, hash fields, filters
     and XML; style "json" for JSON payloads. Both take the shortest digits; they
     differ in when they switch to an exponent."""
-    number = col.cast("double")
-
-    def parts(shortest):
-        mantissa = F.split_part(shortest, F.lit("E"), F.lit(1))
-        scale = F.coalesce(F.split_part(shortest, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
-        whole = F.split_part(mantissa, F.lit("."), F.lit(1))
-        raw = F.concat(whole, F.split_part(mantissa, F.lit("."), F.lit(2)))
-        tail = F.regexp_replace(raw, "^0+", "")
+    mantissa, scale = "split_part(fs, 'E', 1)", "coalesce(try_cast(split_part(fs, 'E', 2) AS int), 0)"
+    parts = let(
+        f"struct(split_part({mantissa}, '.', 1) AS w, "
+        f"concat(split_part({mantissa}, '.', 1), split_part({mantissa}, '.', 2)) AS raw, {scale} AS scale)",
+        "fp",
         # value = 0.digits * 10^point
-        return F.struct(
-            F.regexp_replace(tail, "0+$", "").alias("digits"),
-            (F.length(whole) + scale - (F.length(raw) - F.length(tail))).alias("point"))
-
-    def spell(p):
-        digits, point = p["digits"], p["point"]
-        exponent = point - 1
-        size = F.abs(exponent).cast("string")
-        two_digits = F.when(F.abs(exponent) < 10, F.concat(F.lit("0"), size)).otherwise(size)
-        if style == "json":
-            scientific = (exponent < -6) | (exponent >= 21)
-            pad = F.when(exponent < 0, size).otherwise(two_digits)
-        else:
-            scientific = (exponent < -4) | (exponent >= 6)
-            pad = two_digits
-        with_exponent = F.concat(
-            F.substr(digits, F.lit(1), F.lit(1)),
-            F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
-            F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")), pad)
-        plain = (
-            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-            .when(F.length(digits) <= point,
-                  F.concat(digits, F.repeat(F.lit("0"), point - F.length(digits))))
-            .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."),
-                                F.substr(digits, point + 1))))
-        return F.when(scientific, with_exponent).otherwise(plain)
-
-    spelled = let(parts(F.abs(number).cast("string")), spell)
-    return (F.when(number.isNull(), F.lit(None).cast("string")).when(number == 0, F.lit("0"))
-            .when(number < 0, F.concat(F.lit("-"), spelled)).otherwise(spelled))
+        "struct(regexp_replace(regexp_replace(fp.raw, '^0+', ''), '0+$', '') AS digits, "
+        "length(fp.w) + fp.scale - (length(fp.raw) - length(regexp_replace(fp.raw, '^0+', ''))) AS point)")
+    two = "CASE WHEN abs(fd.point - 1) < 10 THEN concat('0', abs(fd.point - 1)) ELSE string(abs(fd.point - 1)) END"
+    if style == "json":
+        scientific = "fd.point < -5 OR fd.point > 21"
+        size = f"CASE WHEN fd.point < 1 THEN string(abs(fd.point - 1)) ELSE {two} END"
+    else:
+        scientific = "fd.point < -3 OR fd.point > 6"
+        size = two
+    spelled = let(let(f"string(abs(double({text})))", "fs", parts), "fd", f"""CASE
+        WHEN {scientific} THEN concat(substr(fd.digits, 1, 1),
+          CASE WHEN length(fd.digits) > 1 THEN concat('.', substr(fd.digits, 2)) ELSE '' END,
+          CASE WHEN fd.point < 1 THEN 'e-' ELSE 'e+' END, {size})
+        WHEN fd.point <= 0 THEN concat('0.', repeat('0', -fd.point), fd.digits)
+        WHEN length(fd.digits) <= fd.point THEN concat(fd.digits, repeat('0', fd.point - length(fd.digits)))
+        ELSE concat(substr(fd.digits, 1, fd.point), '.', substr(fd.digits, fd.point + 1)) END""")
+    return (f"CASE WHEN double({text}) = 0 THEN '0' WHEN double({text}) < 0 THEN concat('-', {spelled}) "
+            f"ELSE {spelled} END")
 
 
 def cell_text(cell, null_text=NULL_TEXT):
     """Text of a cell in keys, hash fields and filter comparisons."""
-    return (
-        F.when(cell["value"].isNull(), F.lit(null_text))
-        .when(cell["type"] == "float", float_text(cell["value"], "key"))
-        .otherwise(cell["value"])
-    )
+    return (f"CASE WHEN {cell}.value IS NULL THEN '{null_text}' "
+            f"WHEN {cell}.type = 'float' THEN {float_text(f'{cell}.value', 'key')} ELSE {cell}.value END")
 
 
-def json_quote(col):
+def json_quote(text):
     """A JSON string. Markup characters are escaped too, so the text is safe in
     a page; controls without a short form are written as lower-case escapes."""
-    common = replace_all(col, [
-        ("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
-        ("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"),
-    ])
-    escapes = F.create_map(*[F.lit(x) for c in _LONG_CONTROLS + [0x2028, 0x2029]
-                             for x in (chr(c), f"\\u{c:04x}")])
-    rare = F.array_join(F.transform(
-        F.split(common, ""), lambda c: F.coalesce(F.try_element_at(escapes, c), c)), "")
-    valid = F.when(col.rlike(_PLAIN), col).when(col.rlike(_RARE), rare).otherwise(common)
-    return F.concat(F.lit('"'), valid, F.lit('"'))
-
-
-def json_cell_quote(col):
+    common = replace_all(text, _JSON_COMMON)
+    escapes = ", ".join(f"{literal(chr(c))}, {literal(f'\\u{c:04x}')}" for c in _JSON_RARE)
+    rare = (f"array_join(transform(split({common}, ''), jc -> "
+            f"coalesce(try_element_at(map({escapes}), jc), jc)), '')")
+    return (f"""concat('"', CASE WHEN {text} RLIKE r'^[^"\\\\<>&\\x00-\\x1f\\u2028\\u2029]*$' THEN {text} """
+            f"""WHEN {text} RLIKE r'[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\u2028\\u2029]' THEN {rare} """
+            f"""ELSE {common} END, '"')""")
+
+
+def json_cell_quote(text):
     """As json_quote, with bytes that are no UTF-8 shown as escapes."""
-    quoted = let(F.make_valid_utf8(col), json_quote)
-    return let(quoted, lambda q: F.when(F.is_valid_utf8(col), q).otherwise(
-        F.replace(q, F.lit("\ufffd"), F.lit("\\ufffd"))))
+    quoted = let(f"make_valid_utf8({text})", "jv", json_quote("jv"))
+    return let(quoted, "jq", f"CASE WHEN is_valid_utf8({text}) THEN jq "
+                             f"ELSE replace(jq, '�', {literal(chr(92) + 'ufffd')}) END")
 
 
 def cell_json(cell, decimal_as="string"):
     """JSON value of a cell: numbers bare, text quoted, NULL as null."""
-    kind, value = cell["type"], cell["value"]
-    bare = kind == "int"
-    if decimal_as == "number":
-        bare = bare | (kind == "decimal")
-    return (
-        F.when(value.isNull(), F.lit("null"))
-        .when(bare, value)
-        .when(kind == "float", float_text(value, "json"))
-        .otherwise(json_cell_quote(value))
-    )
-
-
-def xml_escape(col):
-    """Escaped character data and attribute text."""
-    special = replace_all(col, [
-        ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("'", "&#39;"),
-        ("\t", "&#x9;"), ("\n", "&#xA;"), ("\r", "&#xD;"),
-    ])
-    # Characters XML cannot hold become the replacement character.
-    special = F.regexp_replace(special, r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "\ufffd")
-    return F.when(col.rlike(r"^[^&<>\"'\x00-\x1f\ufffe\uffff]*$"), col).otherwise(special)
+    bare = "('int', 'decimal')" if decimal_as == "number" else "('int')"
+    return (f"CASE WHEN {cell}.value IS NULL THEN 'null' WHEN {cell}.type IN {bare} THEN {cell}.value "
+            f"WHEN {cell}.type = 'float' THEN {float_text(f'{cell}.value', 'json')} "
+            f"ELSE {json_cell_quote(f'{cell}.value')} END")
+
+
+def xml_escape(text):
+    """Escaped character data and attribute text. Characters XML cannot hold
+    become the replacement character."""
+    special = (f"regexp_replace({replace_all(text, _XML_SPECIAL)}, "
+               f"r'[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\ufffe\\uffff]', '�')")
+    return (f"""CASE WHEN {text} RLIKE r"^[^&<>\\x22'\\x00-\\x1f\\ufffe\\uffff]*$" THEN {text} ELSE {special} END""")
 
 
 def cells_of(image, names):
     """The cells of an image named in a list, in the list's order."""
-    return F.flatten(F.transform(names, lambda n: F.filter(image, lambda c: c["name"] == n)))
+    return f"flatten(transform({names}, cn -> filter({image}, cc -> cc.name = cn)))"
 
 
 def image_text(image, names, sep=":"):
     """Texts of the named cells joined; names the row does not have are skipped."""
-    return F.array_join(F.transform(cells_of(image, names), lambda c: cell_text(c)), sep)
+    return f"array_join(transform({cells_of(image, names)}, it -> {cell_text('it')}), '{sep}')"
 
 
 def render(image, decimal_as="string"):
     """An image sorted by name with each cell's text and JSON member worked out
     once, however many rules use it: ARRAY<STRUCT<name,text,member>>."""
-    return F.transform(F.sort_array(image), lambda c: F.struct(
-        c["name"].alias("name"), cell_text(c).alias("text"),
-        F.concat(json_quote(c["name"]), F.lit(":"), cell_json(c, decimal_as)).alias("member")))
+    return (f"transform(sort_array({image}), rc -> struct(rc.name AS name, {cell_text('rc')} AS text, "
+            f"concat({json_quote('rc.name')}, ':', {cell_json('rc', decimal_as)}) AS member))")
 
 
 def rendered_text(cells, names, sep=":"):
     """As image_text, over a rendered image."""
-    return F.array_join(F.transform(cells_of(cells, names), lambda c: c["text"]), sep)
+    return f"array_join(transform({cells_of(cells, names)}, rt -> rt.text), '{sep}')"
 
 
 def rendered_json(cells, names=None):
-    """JSON object of a rendered image, keys in name order. `names` is a column
-    holding the sorted distinct names to keep, NULL for all."""
+    """JSON object of a rendered image, keys in name order. `names` holds the
+    sorted distinct names to keep, NULL for all."""
     if names is not None:
-        cells = F.when(names.isNull(), cells).otherwise(cells_of(cells, names))
-    return F.concat(F.lit("{"), F.array_join(F.transform(cells, lambda c: c["member"]), ","), F.lit("}"))
+        cells = f"CASE WHEN {names} IS NULL THEN {cells} ELSE {cells_of(cells, names)} END"
+    return f"concat('{{', array_join(transform({cells}, rm -> rm.member), ','), '}}')"
 
 
 def image_json(image, names=None, decimal_as="string"):
@@ -171,8 +157,7 @@ def image_xml(image, names=None):
     """<columns> element of an image, in image order or in the list's order."""
     cells = image
     if names is not None:
-        cells = F.when(names.isNull(), image).otherwise(cells_of(image, names))
-    members = F.transform(cells, lambda c: F.concat(
-        F.lit('<column name="'), xml_escape(c["name"]), F.lit('">'),
-        let(F.make_valid_utf8(cell_text(c, "")), xml_escape), F.lit("</column>")))
-    return F.concat(F.lit("<columns>"), F.array_join(members, ""), F.lit("</columns>"))
+        cells = f"CASE WHEN {names} IS NULL THEN {image} ELSE {cells_of(image, names)} END"
+    text = let(f"make_valid_utf8({cell_text('xc', '')})", "xv", xml_escape("xv"))
+    member = f"""concat('<column name="', {xml_escape('xc.name')}, '">', {text}, '</column>')"""
+    return f"concat('<columns>', array_join(transform({cells}, xc -> {member}), ''), '</columns>')"

@@ -11,115 +11,98 @@ from rowtide.schema import ORDER
 LOG_BLOCK = 1 << 24
 SNAPSHOT_BLOCK = 1 << 20
 
-_FIELDS = "array<struct<field:string,value:string,enc:int>>"
-
 
 def fan_out(changes, rules, decimal_as="string"):
     """Each change once per rule of its table, with the compiled rule. Images are
     rendered before the rules multiply them."""
-    changes = changes.withColumns({c: render(F.col(c), decimal_as) for c in ("after", "before")})
+    changes = changes.withColumns({c: F.expr(render(c, decimal_as)) for c in ("after", "before")})
     return join_control(changes, compile_rules(rules), TABLE)
 
 
-def passes(clauses, cells):
+# The helpers below give SQL text over the columns of a fanned-out change;
+# `cells` names a rendered image.
+
+def passes(cells):
     """No taking-part clause names a cell whose text differs. Clauses on columns
     the row does not have are ignored."""
-    return ~F.exists(clauses, lambda c: F.exists(
-        cells, lambda x: (x["name"] == c["name"]) & (x["text"] != c["value"])))
+    return f"NOT exists(clauses, f -> exists({cells}, x -> x.name = f.name AND x.text <> f.value))"
 
 
 def target_key(cells):
     """prefix:v1:v2 for string and hash; the prefix alone for set and zset, or
     when no key column has text."""
-    alone = F.col("target_type").isin("set", "zset")
-    key = F.when(~alone, rendered_text(cells, F.col("key_names")))
-    return F.concat("prefix", F.when(key != "", F.lit(":")).otherwise(""), F.coalesce(key, F.lit("")))
+    key = f"CASE WHEN target_type NOT IN ('set', 'zset') THEN {rendered_text(cells, 'key_names')} ELSE '' END"
+    return f"concat_ws(':', prefix, nullif({key}, ''))"
 
 
 def payload(cells):
-    return rendered_json(cells, F.col("json_names"))
+    return rendered_json(cells, "json_names")
 
 
 def hash_fields(cells):
-    kept = F.when(F.col("kept_names").isNull(), cells).otherwise(
-        cells_of(cells, F.array_distinct("kept_names")))
-    return F.transform(kept, lambda c: F.struct(
-        c["name"].alias("field"), c["text"].alias("value"),
-        F.when(F.array_contains(F.col("enc_names"), c["name"]), F.col("enc")).otherwise(0).alias("enc")))
+    kept = f"CASE WHEN kept_names IS NULL THEN {cells} ELSE {cells_of(cells, 'array_distinct(kept_names)')} END"
+    return (f"transform({kept}, hf -> struct(hf.name AS field, hf.text AS value, "
+            f"CASE WHEN array_contains(enc_names, hf.name) THEN enc ELSE 0 END AS enc))")
 
 
 def score_of(cells):
     """Number in the score column; NULL if the column is absent or no number."""
-    found = F.filter(cells, lambda c: c["name"] == F.col("score_name"))
-    return F.try_element_at(found, F.lit(1))["text"].try_cast("double")
+    return f"try_cast(try_element_at(filter({cells}, s -> s.name = score_name), 1).text AS double)"
 
 
-def ttl(*spread_by):
+def ttl():
     """Seconds to live with jitter that depends on the row only, so a replay
     sets the same deadline."""
-    span = F.col("ttl_span")
-    return F.col("ttl_low") + F.when(
-        span > 0, F.pmod(F.xxhash64(*spread_by), span)).otherwise(0)
+    place = ", ".join(["target_type", "prefix"] + [c for c in ORDER if c != "phase"])
+    return f"ttl_low + CASE WHEN ttl_span > 0 THEN pmod(xxhash64({place}), ttl_span) ELSE 0 END"
 
 
-def _command(phase, op, **fields):
-    kinds = [("value", "string"), ("fields", _FIELDS), ("score", "double"), ("ttl", "bigint"),
-             ("reason", "string")]
-    return F.struct(
-        F.lit(phase).alias("phase"), op.alias("op"), fields["key"].alias("target_key"),
-        *[fields.get(n, F.lit(None)).cast(t).alias(n) for n, t in kinds])
+_FIELDS = "array<struct<field:string,value:string,enc:int>>"
+_SCORED, _KEYED = "target_type IN ('set', 'zset')", "target_type IN ('string', 'hash')"
+
+# The change itself.
+_MAIN = f"""named_struct(
+  'phase', 1,
+  'op', CASE WHEN invalidate THEN 'DEL' WHEN event <> 'delete' THEN 'WRITE' WHEN {_SCORED} THEN 'REMOVE'
+             WHEN delayed THEN 'EXPIRE' ELSE 'DEL' END,
+  'target_key', {target_key('after')},
+  'value', CASE WHEN NOT invalidate AND ({_SCORED} OR target_type = 'string' AND event <> 'delete')
+                THEN {payload('after')} END,
+  'fields', CASE WHEN NOT invalidate AND target_type = 'hash' AND event <> 'delete'
+                 THEN {hash_fields('after')} END,
+  'score', CASE WHEN NOT invalidate AND target_type = 'zset' AND event <> 'delete'
+                THEN {score_of('after')} END,
+  'ttl', CASE WHEN invalidate THEN NULL WHEN event <> 'delete' OR {_SCORED} THEN {ttl()}
+              WHEN delayed THEN delay_ttl END,
+  'reason', rule_error)"""
+
+# What the old image of an update leaves behind. All clean-ups of an event come
+# before its writes.
+_MOVED = f"""({rendered_text('before', 'key_names')} <> {rendered_text('after', 'key_names')}
+  OR exists(clauses, f -> exists(before, x -> x.name = f.name)
+     AND NOT exists(after, x -> x.name = f.name AND x.text = f.value)))"""
+_CLEAN = f"""named_struct(
+  'phase', 0, 'op', CASE WHEN {_SCORED} THEN 'REMOVE' ELSE 'DEL' END, 'target_key', {target_key('before')},
+  'value', CASE WHEN {_SCORED} THEN {payload('before')} END, 'fields', CAST(NULL AS {_FIELDS}),
+  'score', CAST(NULL AS double), 'ttl', CAST(NULL AS bigint), 'reason', rule_error)"""
+
+_COMMANDS = f"""array_compact(array(
+  CASE WHEN event = 'update' AND {passes('before')} AND ({_SCORED} OR {_KEYED} AND {_MOVED}) THEN {_CLEAN} END,
+  CASE WHEN {passes('after')} THEN {_MAIN} END))"""
+
+_REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN op <> 'WRITE' THEN NULL
+  WHEN target_type = 'zset' AND score IS NULL THEN 'no score'
+  WHEN target_type = 'hash' AND size(fields) = 0 THEN 'empty hash' END"""
 
 
 def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_block):
     df = fan_out(changes, rules, decimal_as)
-    after, before = F.col("after"), F.col("before")
-    kind, event = F.col("target_type"), F.col("event")
-    scored = kind.isin("set", "zset")
-    keyed = kind.isin("string", "hash")
-
-    # Phase 1: the change itself.
-    live = (ttl("target_type", "prefix", *[c for c in ORDER if c != "phase"]))
-    write = event != "delete"
-    invalidate = F.col("invalidate")
-    op = (
-        F.when(invalidate, "DEL").when(write, "WRITE").when(scored, "REMOVE")
-        .when(F.col("delayed"), "EXPIRE").otherwise("DEL"))
-    points = F.when((kind == "zset") & write & ~invalidate, score_of(after))
-    fields = F.when((kind == "hash") & write & ~invalidate, hash_fields(after))
-    reason = (
-        F.when(F.col("rule_error").isNotNull(), F.col("rule_error"))
-        .when(invalidate, None)
-        .when((kind == "zset") & write & score_of(after).isNull(), "no score")
-        .when((kind == "hash") & write & (F.size(hash_fields(after)) == 0), "empty hash"))
-    main = _command(
-        1, op, key=target_key(after),
-        value=F.when(~invalidate & ((kind == "string") & write | scored), payload(after)),
-        fields=fields, score=points,
-        ttl=F.when(~invalidate, F.when(write | scored, live).when(F.col("delayed"), F.col("delay_ttl"))),
-        reason=reason)
-
-    # Phase 0: what the old image of an update leaves behind. All clean-ups of
-    # an event come before its writes.
-    moved = (rendered_text(before, F.col("key_names")) != rendered_text(after, F.col("key_names"))) | F.exists(
-        "clauses", lambda c: F.exists(before, lambda x: x["name"] == c["name"]) & ~F.exists(
-            after, lambda x: (x["name"] == c["name"]) & (x["text"] == c["value"])))
-    clean = _command(
-        0, F.when(scored, "REMOVE").otherwise("DEL"), key=target_key(before),
-        value=F.when(scored, payload(before)),
-        reason=F.col("rule_error"))
-    commands = F.array(
-        F.when((event == "update") & passes(F.col("clauses"), before) & (scored | keyed & moved), clean),
-        F.when(passes(F.col("clauses"), after), main))
-
-    block = F.when(F.col("is_snapshot"), F.floor(F.col("event_ord") / snapshot_block)).otherwise(
-        F.floor(F.col("pos") / log_block))
-    order = ["sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id"]
-    return df.select(
-        *order, "db", "tb", block.alias("blk"),
-        F.when(F.col("is_snapshot"), F.lit(snapshot_time).cast("bigint"))
-        .otherwise(F.col("event_time")).alias("t"),
-        "target_type", "enc", "enc_level",
-        F.inline(F.array_compact(commands)))
+    return df.selectExpr(
+        "sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id", "db", "tb",
+        f"CASE WHEN is_snapshot THEN event_ord div {snapshot_block} ELSE pos div {log_block} END AS blk",
+        f"CASE WHEN is_snapshot THEN bigint({snapshot_time}) ELSE event_time END AS t",
+        "target_type", "enc", "enc_level", f"inline({_COMMANDS})",
+    ).withColumn("reason", F.expr(_REASON))
 
 
 def kv_commands(changes, rules, snapshot_time=0, decimal_as="string",

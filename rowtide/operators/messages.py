@@ -3,50 +3,41 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.joins import join_control
-from rowtide.functions.text import cell_text, cells_of, image_json, image_text, image_xml, json_quote, xml_escape
+from rowtide.functions.text import (cell_text, cells_of, image_json, image_text, image_xml, json_quote,
+                                    xml_escape)
 from rowtide.operators.rules import TABLE, message_plan, topic_map
 
 # Fixed value: the root tag consumers of the XML form expect, as spelled.
 XML_ROOT = "contenet"
 
 
-def images_in_order(pairs, event):
+# The helpers below give SQL text over the columns of a delivered event.
+
+def images_in_order(pairs="pairs"):
     """Images of an event as published: each new image is followed by the old
     one it replaces."""
-    return F.flatten(F.transform(pairs, lambda p: F.when(
-        event == "update", F.array(p["after"], p["before"])).otherwise(F.array(p["after"]))))
+    return (f"flatten(transform({pairs}, p -> CASE WHEN event = 'update' THEN array(p.after, p.before) "
+            f"ELSE array(p.after) END))")
 
 
-def json_envelope(images, names=None, query=None, decimal_as="string"):
-    """Envelope with header fields in fixed order. Reads the header from columns
-    sid, db, tb, sent_file, sent_pos, sent_time, event."""
-    head = F.concat(
-        F.lit('{"sid":'), F.col("sid").cast("string"),
-        F.lit(',"dbname":'), json_quote(F.col("db")),
-        F.lit(',"tbname":'), json_quote(F.col("tb")),
-        F.lit(',"filename":'), json_quote(F.col("sent_file")),
-        F.lit(',"position":'), F.col("sent_pos").cast("string"),
-        F.lit(',"event_time":'), F.col("sent_time").cast("string"),
-        F.lit(',"event":'), json_quote(F.col("event")))
+def json_envelope(images=None, names=None, query=None, decimal_as="string"):
+    """Envelope with header fields in fixed order, over columns sid, db, tb,
+    sent_file, sent_pos, sent_time, event."""
+    head = f"""'{{"sid":', sid, ',"dbname":', {json_quote('db')}, ',"tbname":', {json_quote('tb')},
+      ',"filename":', {json_quote('sent_file')}, ',"position":', sent_pos, ',"event_time":', sent_time,
+      ',"event":', {json_quote('event')}"""
     if query is not None:
-        return F.concat(head, F.lit(',"query":'), json_quote(query), F.lit(',"columns":[]}'))
-    body = F.array_join(F.transform(images, lambda i: image_json(i, names, decimal_as)), ",")
-    return F.concat(head, F.lit(',"columns":['), body, F.lit("]}"))
-
+        return f"""concat({head}, ',"query":', {json_quote(query)}, ',"columns":[]}}')"""
+    body = f"array_join(transform({images}, im -> {image_json('im', names, decimal_as)}), ',')"
+    return f"""concat({head}, ',"columns":[', {body}, ']}}')"""
 
-def xml_envelope(images, names=None, root=XML_ROOT):
-    def field(tag, text):
-        return F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>"))
 
-    return field(root, F.concat(
-        field("sid", F.col("sid").cast("string")),
-        field("dbname", xml_escape(F.col("db"))),
-        field("tbname", xml_escape(F.col("tb"))),
-        field("filename", xml_escape(F.col("sent_file"))),
-        field("position", F.col("sent_pos").cast("string")),
-        field("event_time", F.col("sent_time").cast("string")),
-        field("event", xml_escape(F.col("event"))),
-        F.array_join(F.transform(images, lambda i: image_xml(i, names)), "")))
+def xml_envelope(images=None, names=None, root=XML_ROOT):
+    body = f"array_join(transform({images}, im -> {image_xml('im', names)}), '')" if images else "''"
+    return f"""concat('<{root}><sid>', sid, '</sid><dbname>', {xml_escape('db')}, '</dbname><tbname>',
+      {xml_escape('tb')}, '</tbname><filename>', {xml_escape('sent_file')}, '</filename><position>', sent_pos,
+      '</position><event_time>', sent_time, '</event_time><event>', {xml_escape('event')}, '</event>',
+      {body}, '</{root}>')"""
 
 
 def messages(events, rules, default_topic, fmt="json", define_columns=True, decimal_as="string"):
@@ -61,28 +52,25 @@ def messages(events, rules, default_topic, fmt="json", define_columns=True, deci
                   .withColumn("sent_time", F.col("event_time")))
     plan = message_plan(rules, define_columns)
     df = join_control(events, plan, TABLE, "left")
-    split = F.col("key_names").isNotNull() | F.col("topic_column").isNotNull()
-    units = F.when(split, F.transform("pairs", lambda p, i: F.struct(
-        i.alias("row_ord"), F.array(p).alias("pairs")))).otherwise(
-        F.array(F.struct(F.lit(0).alias("row_ord"), F.col("pairs"))))
-    df = df.select(
+    units = """CASE WHEN key_names IS NOT NULL OR topic_column IS NOT NULL
+      THEN transform(pairs, (p, i) -> named_struct('row_ord', i, 'pairs', array(p)))
+      ELSE array(named_struct('row_ord', 0, 'pairs', pairs)) END"""
+    df = df.selectExpr(
         *TABLE, "event", "seg", "file", "pos", "event_ord", "event_time", "sent_file", "sent_pos",
-        "sent_time", "key_names", "topic_column", "kept_names", "json_names", F.inline(units))
-    images = images_in_order(F.col("pairs"), F.col("event"))
+        "sent_time", "key_names", "topic_column", "kept_names", "json_names", f"inline({units})")
     if fmt == "json":
-        value = json_envelope(images, F.col("json_names"), decimal_as=decimal_as)
+        value = json_envelope(images_in_order(), "json_names", decimal_as=decimal_as)
     elif fmt == "xml":
-        value = xml_envelope(images, F.col("kept_names"))
+        value = xml_envelope(images_in_order(), "kept_names")
     else:
         raise ValueError(f"unknown data format {fmt}")
-    after = F.col("pairs")[0]["after"]
-    choice = F.element_at(F.concat(
-        F.array(F.lit("")),
-        F.transform(cells_of(after, F.array("topic_column")), lambda c: cell_text(c))), -1)
-    rows = df.select(
+    # Split units hold one pair; the last cell of the topic column's name counts.
+    choice = (f"element_at(concat(array(''), transform({cells_of('pairs[0].after', 'array(topic_column)')}, "
+              f"tc -> {cell_text('tc')})), -1)")
+    rows = df.selectExpr(
         *TABLE, "seg", "file", "pos", "event_ord", "event_time", "row_ord",
-        F.when(F.col("key_names").isNotNull(), image_text(after, F.col("key_names"))).alias("key"),
-        F.when(F.col("topic_column").isNotNull(), choice).alias("_choice"), value.alias("value"))
+        f"CASE WHEN key_names IS NOT NULL THEN {image_text('pairs[0].after', 'key_names')} END AS key",
+        f"CASE WHEN topic_column IS NOT NULL THEN {choice} END AS _choice", f"{value} AS value")
     topics = topic_map(rules).withColumnRenamed("value", "_choice")
     routed = join_control(rows, topics, TABLE + ["_choice"], "left")
     return routed.select(
@@ -94,10 +82,7 @@ def ddl_messages(statements, default_topic, fmt="json"):
     """Message rows of `query` events. The XML form has no place for the text."""
     df = (statements.withColumn("sent_file", F.col("file")).withColumn("sent_pos", F.col("pos"))
           .withColumn("sent_time", F.col("event_time")))
-    if fmt == "json":
-        value = json_envelope(None, query=F.col("query"))
-    else:
-        value = xml_envelope(F.array().cast("array<array<struct<name:string,type:string,value:string>>>"))
+    value = F.expr(json_envelope(query="query") if fmt == "json" else xml_envelope())
     return df.select(
         F.lit(default_topic).alias("topic"), F.lit(None).cast("string").alias("key"),
         value.alias("value"), "sid", "file", "pos", "event_time", "event_ord")

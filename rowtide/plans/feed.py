@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from rowtide.functions.text import cells_of
 from rowtide.operators.ddl import alter_feed, resolve_shadow
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
 from rowtide.plans import feeds
-from rowtide.plans.sql import user_json, with_feeds  # noqa: F401
+from rowtide.plans.sql import with_feeds
 from rowtide.sources import feed as src
 
 QUERIES, ORACLES = {}, {}
@@ -23,11 +22,11 @@ def query(name, oracle=None):
 
 
 def value_of(image, name):
-    return F.try_element_at(cells_of(image, F.array(F.lit(name))), F.lit(1))["value"]
+    return F.expr(f"try_element_at(filter({image}, c -> c.name = '{name}'), 1).value")
 
 
 def columns_of(image, names, prefix=""):
-    return [value_of(F.col(image), n).alias(prefix + n) for n in names]
+    return [value_of(image, n).alias(prefix + n) for n in names]
 
 
 def user_changes(spark, sf_dir):

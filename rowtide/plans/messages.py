@@ -64,8 +64,8 @@ def messages_image_order(spark, sf_dir):
     from rowtide.functions.text import image_json
     from rowtide.operators.messages import images_in_order
     events = normalize_events(feeds.user_state(spark, sf_dir)).where(F.col("event") == "update")
-    images = images_in_order(F.col("pairs"), F.col("event"))
-    return events.select("file", "pos", F.array_join(F.transform(images, lambda i: image_json(i)), ",").alias("images"))
+    return events.selectExpr(
+        "file", "pos", f"array_join(transform({images_in_order()}, i -> {image_json('i')}), ',') AS images")
 
 
 ORDER_JSON = ("'{\"o_custkey\":' || o_custkey || ',\"o_orderkey\":' || o_orderkey || ',\"o_orderpriority\":\"' || "

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.codec import compress, decompress
-from rowtide.functions.text import cell_text, cells_of, image_json, image_xml
+from rowtide.functions.text import cell_json, cell_text, cells_of, image_json, image_xml
 from rowtide.operators import commands as cmd
 from rowtide.operators.messages import images_in_order
 from rowtide.operators.normalize import normalize_events, to_changes
@@ -29,7 +29,6 @@ SELECT event_id, 'i' || CASE WHEN event_type = 'error' THEN '<nil>' ELSE user_id
 FROM events""")
 def cell_texts(spark, sf_dir):
     """Texts of integer, string and float cells, errors standing for NULL."""
-    from rowtide.functions.text import cell_json
     ev = feeds.table(spark, sf_dir, "events")
     known = F.col("event_type") != "error"
 
@@ -39,9 +38,9 @@ def cell_texts(spark, sf_dir):
     cells = ev.select("event_id", cell("int", "user_id").alias("i"), cell("string", "props").alias("s"),
                       cell("float", "value").alias("f"))
     return cells.select(
-        "event_id", F.concat(F.lit("i"), cell_text(F.col("i"))).alias("as_int"),
-        cell_text(F.col("s")).alias("as_text"), cell_text(F.col("f")).alias("as_float"),
-        cell_json(F.col("f")).alias("json_float"), cell_json(F.col("s")).alias("json_text"))
+        "event_id", F.expr(f"concat('i', {cell_text('i')})").alias("as_int"),
+        F.expr(cell_text("s")).alias("as_text"), F.expr(cell_text("f")).alias("as_float"),
+        F.expr(cell_json("f")).alias("json_float"), F.expr(cell_json("s")).alias("json_text"))
 
 
 @query("rule_fanout", with_feeds("ab", """
@@ -59,7 +58,7 @@ SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus FROM b WHERE o_orderstat
 def filtered_rows(spark, sf_dir):
     df = cmd.fan_out(order_changes(spark, sf_dir), feeds.rules(spark, 8))
     texts = {n: F.filter("after", lambda c: c["name"] == n)[0]["text"] for n in ("o_orderkey", "o_orderstatus")}
-    return df.where(cmd.passes(F.col("clauses"), F.col("after"))).select(
+    return df.where(cmd.passes("after")).select(
         *[col.alias(name) for name, col in texts.items()])
 
 
@@ -80,19 +79,18 @@ def filter_clauses(spark, sf_dir):
         dict(id=101 + i, sid=feeds.SID, db="shop", tb="orders", target_key_type="string",
              target_key_prefix=f"f{i}", filter_rule=text) for i, text in enumerate(FILTERS)])
     df = cmd.fan_out(order_changes(spark, sf_dir), rules)
-    return (df.where(cmd.passes(F.col("clauses"), F.col("after")))
+    return (df.where(cmd.passes("after"))
             .groupBy("rule_id").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("projected_rows", with_feeds("a", """
 SELECT 2 AS rule_id, file, pos, 'user_id,status' AS names FROM a
-UNION ALL SELECT 1, file, pos, 'user_id,status,cents,props' FROM a"""))
+UNION ALL SELECT 1, file, pos, 'cents,props,status,user_id' FROM a"""))
 def projected_rows(spark, sf_dir):
     df = cmd.fan_out(user_changes(spark, sf_dir), feeds.rules(spark, 1, 2))
-    cells = F.when(F.col("kept_names").isNull(), F.col("after")).otherwise(
-        cells_of(F.col("after"), F.col("kept_names")))
-    return df.select("rule_id", "file", "pos",
-                     F.array_join(F.transform(cells, lambda c: c["name"]), ",").alias("names"))
+    # A rendered image is in name order; a rule's list keeps its own.
+    return df.selectExpr("rule_id", "file", "pos", f"""array_join(CASE WHEN kept_names IS NULL
+      THEN after ELSE {cells_of('after', 'kept_names')} END.name, ',') AS names""")
 
 
 LINE_JSON = "'{\"l_linenumber\":' || l_linenumber || ',\"l_partkey\":' || l_partkey || ',\"qty\":' || qty || '}'"
@@ -107,11 +105,11 @@ def message_projection(spark, sf_dir):
     """Published columns: name order in JSON, list order in XML."""
     events = normalize_events(feeds.lineitem_feed(spark, sf_dir))
     df = join_control(events, message_plan(feeds.rules(spark)), ["sid", "db", "tb"])
-    images = images_in_order(F.col("pairs"), F.col("event"))
-    return df.select(
-        F.col("tx_id").alias("l_orderkey"), "event_ord",
-        F.array_join(F.transform(images, lambda i: image_json(i, F.col("json_names"))), ",").alias("json_columns"),
-        F.array_join(F.transform(images, lambda i: image_xml(i, F.col("kept_names"))), "").alias("xml_columns"))
+    images = images_in_order()
+    return df.selectExpr(
+        "tx_id AS l_orderkey", "event_ord",
+        f"array_join(transform({images}, i -> {image_json('i', 'json_names')}), ',') AS json_columns",
+        f"array_join(transform({images}, i -> {image_xml('i', 'kept_names')}), '') AS xml_columns")
 
 
 @query("target_keys", with_feeds("ab", """
@@ -124,7 +122,7 @@ def target_keys(spark, sf_dir):
     orders = cmd.fan_out(order_changes(spark, sf_dir).withColumn("pos", F.col("event_ord")),
                          feeds.rules(spark, 8))
     both = users.unionByName(orders)
-    return both.select("rule_id", "file", "pos", cmd.target_key(F.col("after")).alias("target_key"))
+    return both.select("rule_id", "file", "pos", F.expr(cmd.target_key("after")).alias("target_key"))
 
 
 @query("json_payload", with_feeds("a", f"""
@@ -137,7 +135,7 @@ def json_payload(spark, sf_dir):
     pages = to_changes(normalize_events(feeds.pages_snapshot(spark, sf_dir)))
     pages = cmd.fan_out(pages.withColumn("pos", F.col("event_ord")), feeds.rules(spark, 13)).withColumn(
         "f", F.lit(-1).cast("bigint"))
-    return users.unionByName(pages).select("f", "pos", cmd.payload(F.col("after")).alias("payload"))
+    return users.unionByName(pages).select("f", "pos", F.expr(cmd.payload("after")).alias("payload"))
 
 
 @query("hash_payload", with_feeds("a", """
@@ -145,7 +143,7 @@ SELECT file, pos, 'status' AS field, status AS value FROM a
 UNION ALL SELECT file, pos, 'user_id', user_id::VARCHAR FROM a"""))
 def hash_payload(spark, sf_dir):
     df = cmd.fan_out(user_changes(spark, sf_dir), feeds.rules(spark, 2))
-    return df.select("file", "pos", F.inline(cmd.hash_fields(F.col("after")))).drop("enc")
+    return df.select("file", "pos", F.expr(f"inline({cmd.hash_fields('after')})")).drop("enc")
 
 
 @query("zset_scores", with_feeds("c", "SELECT l_orderkey, event_ord, row_ord, l_partkey AS score FROM c"))
@@ -153,7 +151,7 @@ def zset_scores(spark, sf_dir):
     changes = to_changes(normalize_events(feeds.lineitem_feed(spark, sf_dir)))
     df = cmd.fan_out(changes, feeds.rules(spark, 9))
     return df.select(F.col("tx_id").alias("l_orderkey"), "event_ord", F.col("row_ord").cast("bigint").alias("row_ord"),
-                     cmd.score_of(F.col("after")).cast("bigint").alias("score"))
+                     F.expr(cmd.score_of("after")).cast("bigint").alias("score"))
 
 
 @query("ttl_bounds", with_feeds("b", """
