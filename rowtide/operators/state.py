@@ -33,8 +33,8 @@ def key_lines(commands, clocks=None):
 
     `clocks` holds (key, clock): the latest time seen before these commands.
     """
-    ops = commands.where((F.col("op") != "REMOVE") | F.col("ttl").isNotNull()).select(
-        *KEY, *ORDER, "blk", "t", "ttl", "op")
+    # A clean-up without a ttl changes no deadline, but it moves the clock.
+    ops = commands.select(*KEY, *ORDER, "blk", "t", "ttl", "op")
 
     # The clock never steps back. Blocks that start before the time an earlier
     # block has reached are rare, so the lookup is against a short list.

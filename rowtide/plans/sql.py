@@ -79,8 +79,7 @@ def user_commands(*rules):
 
 # The fold stated with whole-key windows.
 LIFE = """
-k1 AS (SELECT *, max(t) OVER (PARTITION BY key ORDER BY o) AS te FROM cmd
-       WHERE op <> 'REMOVE' OR ttl IS NOT NULL),
+k1 AS (SELECT *, max(t) OVER (PARTITION BY key ORDER BY o) AS te FROM cmd),
 k2 AS (SELECT *, sum(CASE WHEN op = 'WRITE' THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY o) AS run,
               te + ttl AS dl FROM k1),
 k3 AS (SELECT *, last_value(dl IGNORE NULLS) OVER (PARTITION BY key, run ORDER BY o
