@@ -97,9 +97,9 @@ def json_quote(text):
 
 def json_cell_quote(text):
     """As json_quote, with bytes that are no UTF-8 shown as escapes."""
-    quoted = let(f"make_valid_utf8({text})", "jv", json_quote("jv"))
-    return let(quoted, "jq", f"CASE WHEN is_valid_utf8({text}) THEN jq "
-                             f"ELSE replace(jq, '�', {literal(chr(92) + 'ufffd')}) END")
+    broken = let(f"make_valid_utf8({text})", "jv",
+                 f"replace({json_quote('jv')}, '�', {literal(chr(92) + 'ufffd')})")
+    return f"CASE WHEN is_valid_utf8({text}) THEN {json_quote(text)} ELSE {broken} END"
 
 
 def cell_json(cell, decimal_as="string"):
@@ -128,29 +128,30 @@ def image_text(image, names, sep=":"):
     return f"array_join(transform({cells_of(image, names)}, it -> {cell_text('it')}), '{sep}')"
 
 
-def render(image, decimal_as="string"):
-    """An image sorted by name with each cell's text and JSON member worked out
-    once, however many rules use it: ARRAY<STRUCT<name,text,member>>."""
-    return (f"transform(sort_array({image}), rc -> struct(rc.name AS name, {cell_text('rc')} AS text, "
-            f"concat({json_quote('rc.name')}, ':', {cell_json('rc', decimal_as)}) AS member))")
+def texts(image):
+    """Name and text of every cell, for jobs that read them several times."""
+    return f"transform({image}, tx -> struct(tx.name AS name, {cell_text('tx')} AS text))"
 
 
-def rendered_text(cells, names, sep=":"):
-    """As image_text, over a rendered image."""
-    return f"array_join(transform({cells_of(cells, names)}, rt -> rt.text), '{sep}')"
+def joined_texts(cells, names, sep=":"):
+    """As image_text, over the result of `texts`."""
+    return f"array_join(transform({cells_of(cells, names)}, jt -> jt.text), '{sep}')"
 
 
-def rendered_json(cells, names=None):
-    """JSON object of a rendered image, keys in name order. `names` holds the
-    sorted distinct names to keep, NULL for all."""
+def image_json(image, names=None, decimal_as="string"):
+    """JSON object of an image, keys in name order. `names` holds the sorted
+    distinct names to keep, NULL for all."""
+    cells = f"sort_array({image})"
     if names is not None:
-        cells = f"CASE WHEN {names} IS NULL THEN {cells} ELSE {cells_of(cells, names)} END"
-    return f"concat('{{', array_join(transform({cells}, rm -> rm.member), ','), '}}')"
+        cells = f"CASE WHEN {names} IS NULL THEN {cells} ELSE {cells_of(image, names)} END"
 
+    def members(name):
+        return (f"array_join(transform({cells}, m -> concat({name}, ':', {cell_json('m', decimal_as)})), ',')")
 
-def image_json(image, names=None, decimal_as="string"):
-    """JSON object of an image."""
-    return rendered_json(render(image, decimal_as), names)
+    # Column names hardly ever need escaping: one look at all of them together.
+    plain = f"""array_join({image}.name, '') RLIKE r'^[^"\\\\<>&\\x00-\\x1f\\u2028\\u2029]*$'"""
+    return (f"""concat('{{', CASE WHEN {plain} THEN {members("'\"', m.name, '\"'")} """
+            f"""ELSE {members(json_quote('m.name'))} END, '}}')""")
 
 
 def image_xml(image, names=None):

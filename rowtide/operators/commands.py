@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.joins import join_control
-from rowtide.functions.text import cells_of, render, rendered_json, rendered_text
+from rowtide.functions.text import cells_of, image_json, joined_texts, texts
 from rowtide.operators.rules import TABLE, compile_rules
 from rowtide.schema import ORDER
 
@@ -12,42 +12,47 @@ LOG_BLOCK = 1 << 24
 SNAPSHOT_BLOCK = 1 << 20
 
 
-def fan_out(changes, rules, decimal_as="string"):
-    """Each change once per rule of its table, with the compiled rule. Images are
-    rendered before the rules multiply them."""
-    changes = changes.withColumns({c: F.expr(render(c, decimal_as)) for c in ("after", "before")})
+def fan_out(changes, rules):
+    """Each change once per rule of its table, with the compiled rule. Cell texts
+    are worked out before the rules multiply the rows."""
+    changes = changes.withColumns({f"{c}_texts": F.expr(texts(c)) for c in ("after", "before")})
     return join_control(changes, compile_rules(rules), TABLE)
 
 
-# The helpers below give SQL text over the columns of a fanned-out change;
-# `cells` names a rendered image.
+# The helpers below give SQL text over the columns of a fanned-out change; `side`
+# is "after" or "before".
 
-def passes(cells):
+def passes(side):
     """No taking-part clause names a cell whose text differs. Clauses on columns
     the row does not have are ignored."""
-    return f"NOT exists(clauses, f -> exists({cells}, x -> x.name = f.name AND x.text <> f.value))"
+    return f"NOT exists(clauses, f -> exists({side}_texts, x -> x.name = f.name AND x.text <> f.value))"
 
 
-def target_key(cells):
+def key_text(side):
+    return joined_texts(f"{side}_texts", "key_names")
+
+
+def target_key(side):
     """prefix:v1:v2 for string and hash; the prefix alone for set and zset, or
     when no key column has text."""
-    key = f"CASE WHEN target_type NOT IN ('set', 'zset') THEN {rendered_text(cells, 'key_names')} ELSE '' END"
+    key = f"CASE WHEN target_type NOT IN ('set', 'zset') THEN {key_text(side)} ELSE '' END"
     return f"concat_ws(':', prefix, nullif({key}, ''))"
 
 
-def payload(cells):
-    return rendered_json(cells, "json_names")
+def payload(side, decimal_as="string"):
+    return image_json(side, "json_names", decimal_as)
 
 
-def hash_fields(cells):
+def hash_fields(side):
+    cells = f"{side}_texts"
     kept = f"CASE WHEN kept_names IS NULL THEN {cells} ELSE {cells_of(cells, 'array_distinct(kept_names)')} END"
     return (f"transform({kept}, hf -> struct(hf.name AS field, hf.text AS value, "
             f"CASE WHEN array_contains(enc_names, hf.name) THEN enc ELSE 0 END AS enc))")
 
 
-def score_of(cells):
+def score_of(side):
     """Number in the score column; NULL if the column is absent or no number."""
-    return f"try_cast(try_element_at(filter({cells}, s -> s.name = score_name), 1).text AS double)"
+    return f"try_cast(try_element_at(filter({side}, s -> s.name = score_name), 1).value AS double)"
 
 
 def ttl():
@@ -60,35 +65,39 @@ def ttl():
 _FIELDS = "array<struct<field:string,value:string,enc:int>>"
 _SCORED, _KEYED = "target_type IN ('set', 'zset')", "target_type IN ('string', 'hash')"
 
-# The change itself.
-_MAIN = f"""named_struct(
-  'phase', 1,
-  'op', CASE WHEN invalidate THEN 'DEL' WHEN event <> 'delete' THEN 'WRITE' WHEN {_SCORED} THEN 'REMOVE'
-             WHEN delayed THEN 'EXPIRE' ELSE 'DEL' END,
-  'target_key', {target_key('after')},
-  'value', CASE WHEN NOT invalidate AND ({_SCORED} OR target_type = 'string' AND event <> 'delete')
-                THEN {payload('after')} END,
-  'fields', CASE WHEN NOT invalidate AND target_type = 'hash' AND event <> 'delete'
-                 THEN {hash_fields('after')} END,
-  'score', CASE WHEN NOT invalidate AND target_type = 'zset' AND event <> 'delete'
-                THEN {score_of('after')} END,
-  'ttl', CASE WHEN invalidate THEN NULL WHEN event <> 'delete' OR {_SCORED} THEN {ttl()}
-              WHEN delayed THEN delay_ttl END,
-  'reason', rule_error)"""
-
-# What the old image of an update leaves behind. All clean-ups of an event come
-# before its writes.
-_MOVED = f"""({rendered_text('before', 'key_names')} <> {rendered_text('after', 'key_names')}
-  OR exists(clauses, f -> exists(before, x -> x.name = f.name)
-     AND NOT exists(after, x -> x.name = f.name AND x.text = f.value)))"""
-_CLEAN = f"""named_struct(
-  'phase', 0, 'op', CASE WHEN {_SCORED} THEN 'REMOVE' ELSE 'DEL' END, 'target_key', {target_key('before')},
-  'value', CASE WHEN {_SCORED} THEN {payload('before')} END, 'fields', CAST(NULL AS {_FIELDS}),
-  'score', CAST(NULL AS double), 'ttl', CAST(NULL AS bigint), 'reason', rule_error)"""
-
-_COMMANDS = f"""array_compact(array(
-  CASE WHEN event = 'update' AND {passes('before')} AND ({_SCORED} OR {_KEYED} AND {_MOVED}) THEN {_CLEAN} END,
-  CASE WHEN {passes('after')} THEN {_MAIN} END))"""
+
+
+def _commands(decimal_as):
+    """Array of the commands of one change under one rule."""
+    # The change itself.
+    main = f"""named_struct(
+      'phase', 1,
+      'op', CASE WHEN invalidate THEN 'DEL' WHEN event <> 'delete' THEN 'WRITE' WHEN {_SCORED} THEN 'REMOVE'
+                 WHEN delayed THEN 'EXPIRE' ELSE 'DEL' END,
+      'target_key', {target_key('after')},
+      'value', CASE WHEN NOT invalidate AND ({_SCORED} OR target_type = 'string' AND event <> 'delete')
+                    THEN {payload('after', decimal_as)} END,
+      'fields', CASE WHEN NOT invalidate AND target_type = 'hash' AND event <> 'delete'
+                     THEN {hash_fields('after')} END,
+      'score', CASE WHEN NOT invalidate AND target_type = 'zset' AND event <> 'delete'
+                    THEN {score_of('after')} END,
+      'ttl', CASE WHEN invalidate THEN NULL WHEN event <> 'delete' OR {_SCORED} THEN {ttl()}
+                  WHEN delayed THEN delay_ttl END,
+      'reason', rule_error)"""
+
+    # What the old image of an update leaves behind. All clean-ups of an event
+    # come before its writes.
+    moved = f"""({key_text('before')} <> {key_text('after')}
+      OR exists(clauses, f -> exists(before_texts, x -> x.name = f.name)
+         AND NOT exists(after_texts, x -> x.name = f.name AND x.text = f.value)))"""
+    clean = f"""named_struct(
+      'phase', 0, 'op', CASE WHEN {_SCORED} THEN 'REMOVE' ELSE 'DEL' END, 'target_key', {target_key('before')},
+      'value', CASE WHEN {_SCORED} THEN {payload('before', decimal_as)} END, 'fields', CAST(NULL AS {_FIELDS}),
+      'score', CAST(NULL AS double), 'ttl', CAST(NULL AS bigint), 'reason', rule_error)"""
+    return f"""array_compact(array(
+      CASE WHEN event = 'update' AND {passes('before')} AND ({_SCORED} OR {_KEYED} AND {moved}) THEN {clean} END,
+      CASE WHEN {passes('after')} THEN {main} END))"""
+
 
 _REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN op <> 'WRITE' THEN NULL
   WHEN target_type = 'zset' AND score IS NULL THEN 'no score'
@@ -96,12 +105,12 @@ _REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN op <> 'WRITE' THEN NU
 
 
 def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_block):
-    df = fan_out(changes, rules, decimal_as)
+    df = fan_out(changes, rules)
     return df.selectExpr(
         "sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id", "db", "tb",
         f"CASE WHEN is_snapshot THEN event_ord div {snapshot_block} ELSE pos div {log_block} END AS blk",
         f"CASE WHEN is_snapshot THEN bigint({snapshot_time}) ELSE event_time END AS t",
-        "target_type", "enc", "enc_level", f"inline({_COMMANDS})",
+        "target_type", "enc", "enc_level", f"inline({_commands(decimal_as)})",
     ).withColumn("reason", F.expr(_REASON))
 
 

@@ -1,8 +1,6 @@
 """From positional row events to named images, changes, and delivered batches."""
 
-from pyspark.sql import functions as F
-
-from rowtide.functions.scan import row_number
+from pyspark.sql import Window, functions as F
 
 # Fixed value: a transaction's buffer is sent early once it holds nine events.
 EARLY_CHUNK = 9
@@ -43,12 +41,15 @@ def normalize_events(raw):
 def to_changes(events):
     """One line per row pair."""
     keep = [c for c in events.columns if c not in ("pairs", "query")]
+    # The outer form: for the inner one the optimizer adds a check for empty
+    # arrays below, which would work out all images a second time.
     return (events.where(F.col("event") != "query")
-            .select(*keep, F.posexplode("pairs").alias("row_ord", "pair"))
+            .select(*keep, F.posexplode_outer("pairs").alias("row_ord", "pair"))
+            .where(F.col("row_ord").isNotNull())
             .select(*keep, "row_ord", "pair.after", "pair.before"))
 
 
-def deliver(events, tx_block=TX_BLOCK):
+def deliver(raw, tx_block=TX_BLOCK):
     """Transaction chunks as the consumers see them.
 
     Events of a transaction wait for its commit, but nine waiting events leave
@@ -56,27 +57,32 @@ def deliver(events, tx_block=TX_BLOCK):
     the commit carries the commit position. Snapshot events are sent alone.
 
     Adds n (ordinal in the transaction), chunk_no, sent_file, sent_pos and
-    sent_time.
+    sent_time. Works on events of any form; positional ones are the narrowest
+    to shuffle, which happens once.
     """
-    tx = events.where(~F.col("is_snapshot"))
-    keys = ["sid", "tx_id"]
-    tx = tx.withColumn("_blk", F.floor(F.col("event_ord") / tx_block))
-    numbered = row_number(tx, keys, ["_blk"], ["event_ord"], "n").drop("_blk")
-    commits = tx.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_events"),
-        F.max(F.struct("file", "pos")).alias("_commit"))
+    keys, block = ["sid", "tx_id"], ["_blk"]
+    tx = raw.where(~F.col("is_snapshot")).withColumn("_blk", F.floor(F.col("event_ord") / tx_block))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = tx.groupBy(*keys, *block).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.struct("file", "pos")).alias("_last")).select(
+        *keys, *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"),
+        F.sum("_n").over(whole).alias("_events"), F.max("_last").over(whole).alias("_commit"))
+    inside = Window.partitionBy(*keys, *block).orderBy("event_ord")
+    numbered = tx.join(stretches, keys + block).withColumn(
+        "n", F.row_number().over(inside).cast("bigint") + F.col("_carry"))
     n = F.col("n")
     chunk = F.floor((n - 1) / EARLY_CHUNK)
     early = chunk < F.floor(F.col("_events") / EARLY_CHUNK)
-    sent = numbered.join(commits, keys).select(
-        *events.columns, "n",
+    sent = numbered.select(
+        *raw.columns, "n",
         chunk.alias("chunk_no"),
         F.when(early, F.lit("")).otherwise(F.col("_commit.file")).alias("sent_file"),
         F.when(early, F.lit(0)).otherwise(F.col("_commit.pos")).cast("bigint").alias("sent_pos"),
         F.when(early & (n % EARLY_CHUNK == 0), F.lit(0))
         .otherwise(F.col("event_time")).cast("bigint").alias("sent_time"))
-    alone = events.where("is_snapshot").select(
-        *events.columns,
+    alone = raw.where("is_snapshot").select(
+        *raw.columns,
         F.lit(1).cast("bigint").alias("n"),
         F.lit(0).cast("bigint").alias("chunk_no"),
         F.lit("").alias("sent_file"),

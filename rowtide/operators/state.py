@@ -20,6 +20,7 @@ from pyspark.sql import Window, functions as F
 from rowtide.functions.codec import compress
 from rowtide.functions.joins import join_salted
 from rowtide.schema import BLOCK, KEY, ORDER
+from rowtide.session import written
 
 ITEM = KEY + ["item", "enc", "enc_level"]
 
@@ -184,7 +185,12 @@ def state_tables(keys, items, as_of):
 
 def fold(commands, as_of):
     """State tables after all commands, as of a time. Every command must lie at
-    or before that time."""
+    or before that time.
+
+    The commands are read by three jobs of which two need only a few narrow
+    columns, so they are written once first.
+    """
+    commands = written(commands.sparkSession, commands)
     return state_tables(resolve_keys(key_lines(commands)), item_lines(commands), as_of)
 
 

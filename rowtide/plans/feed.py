@@ -158,7 +158,7 @@ sent AS (
 SELECT tx_id, n, chunk_no, sent_file, sent_pos::BIGINT AS sent_pos, sent_time::BIGINT AS sent_time, kind AS event
 FROM sent""", TX))
 def tx_chunks(spark, sf_dir):
-    sent = deliver(normalize_events(feeds.user_state(spark, sf_dir)))
+    sent = deliver(feeds.user_state(spark, sf_dir))
     return sent.select("tx_id", "n", "chunk_no", "sent_file", "sent_pos", "sent_time", "event")
 
 
@@ -167,7 +167,7 @@ SELECT 11 AS sid, tx_id, chunk_no, arg_min(sent_file, n) AS file, arg_min(sent_p
        arg_min(sent_time, n)::BIGINT AS event_time
 FROM sent GROUP BY tx_id, chunk_no HAVING arg_min(sent_file, n) <> ''""", TX))
 def delivered(spark, sf_dir):
-    return delivered_positions(deliver(normalize_events(feeds.user_state(spark, sf_dir))))
+    return delivered_positions(deliver(feeds.user_state(spark, sf_dir)))
 
 
 ALTERS = """

@@ -14,15 +14,15 @@ TOPIC = "all"
 
 
 def user_events(spark, sf_dir):
-    return deliver(normalize_events(feeds.user_state(spark, sf_dir)))
+    return normalize_events(deliver(feeds.user_state(spark, sf_dir)))
 
 
 def line_events(spark, sf_dir):
-    return deliver(normalize_events(feeds.lineitem_feed(spark, sf_dir)))
+    return normalize_events(deliver(feeds.lineitem_feed(spark, sf_dir)))
 
 
 def order_events(spark, sf_dir):
-    return deliver(normalize_events(feeds.orders_snapshot(spark, sf_dir)))
+    return normalize_events(deliver(feeds.orders_snapshot(spark, sf_dir)))
 
 
 def _head(tb, event, file="sent_file", pos="sent_pos", time="sent_time", db="shop"):

@@ -10,7 +10,7 @@ from rowtide.operators.normalize import normalize_events, to_changes
 from rowtide.operators.rules import message_plan
 from rowtide.functions.joins import join_control
 from rowtide.plans import feeds
-from rowtide.plans.feed import query, user_changes
+from rowtide.plans.feed import columns_of, query, user_changes
 from rowtide.plans.sql import quoted, user_json, with_feeds
 
 
@@ -57,9 +57,7 @@ def rule_fanout(spark, sf_dir):
 SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus FROM b WHERE o_orderstatus = 'F'"""))
 def filtered_rows(spark, sf_dir):
     df = cmd.fan_out(order_changes(spark, sf_dir), feeds.rules(spark, 8))
-    texts = {n: F.filter("after", lambda c: c["name"] == n)[0]["text"] for n in ("o_orderkey", "o_orderstatus")}
-    return df.where(cmd.passes("after")).select(
-        *[col.alias(name) for name, col in texts.items()])
+    return df.where(cmd.passes("after")).select(*columns_of("after", ["o_orderkey", "o_orderstatus"]))
 
 
 # Filters that show the reading order of clauses.
@@ -85,10 +83,9 @@ def filter_clauses(spark, sf_dir):
 
 @query("projected_rows", with_feeds("a", """
 SELECT 2 AS rule_id, file, pos, 'user_id,status' AS names FROM a
-UNION ALL SELECT 1, file, pos, 'cents,props,status,user_id' FROM a"""))
+UNION ALL SELECT 1, file, pos, 'user_id,status,cents,props' FROM a"""))
 def projected_rows(spark, sf_dir):
     df = cmd.fan_out(user_changes(spark, sf_dir), feeds.rules(spark, 1, 2))
-    # A rendered image is in name order; a rule's list keeps its own.
     return df.selectExpr("rule_id", "file", "pos", f"""array_join(CASE WHEN kept_names IS NULL
       THEN after ELSE {cells_of('after', 'kept_names')} END.name, ',') AS names""")
 

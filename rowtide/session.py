@@ -42,3 +42,11 @@ def shared_folder(spark):
         base = tempfile.mkdtemp(prefix="rowtide-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(spark, df):
+    """The frame as a table in the shared folder: computed once, read by column,
+    and still there when an executor is lost."""
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

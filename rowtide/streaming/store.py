@@ -119,18 +119,17 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topi
     `send(df)` delivers message rows elsewhere (a Kafka writer, say); `hook(df)`
     sees the commands. Positions are written last, so a crash repeats the batch.
     """
-    events = normalize_events(events)
     known = monitored(events, rules)
     store.put("dead_letter", batch_id, unmonitored(events, rules).select(
         "sid", "db", "tb", "file", "pos", "event_ord", F.lit("no rule").alias("reason")))
     if mode in (KV, BOTH):
-        commands = kv_commands(to_changes(known), rules, snapshot_time)
+        commands = kv_commands(to_changes(normalize_events(known)), rules, snapshot_time)
         store.put_commands(commands, batch_id)
         if hook:
             hook(store.part("commands", batch_id))
     sent = deliver(known)
     if mode in (MESSAGES, BOTH):
-        store.put("messages", batch_id, messages(sent, rules, topic, fmt))
+        store.put("messages", batch_id, messages(normalize_events(sent), rules, topic, fmt))
         if send:
             send(store.part("messages", batch_id))
     store.put("positions", batch_id, delivered_positions(sent))
