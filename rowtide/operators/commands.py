@@ -10,6 +10,7 @@ from rowtide.schema import ORDER
 # A block of the order: 16 MB of log, or a million snapshot rows.
 LOG_BLOCK = 1 << 24
 SNAPSHOT_BLOCK = 1 << 20
+PLACE = ["sid", "db", "tb", "seg", "file", "pos", "event_ord", "row_ord"]
 
 
 def fan_out(changes, rules):
@@ -104,7 +105,10 @@ _REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN op <> 'WRITE' THEN NU
   WHEN target_type = 'hash' AND size(fields) = 0 THEN 'empty hash' END"""
 
 
-def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_block):
+def generate(changes, rules, snapshot_time=0, decimal_as="string",
+             log_block=LOG_BLOCK, snapshot_block=SNAPSHOT_BLOCK):
+    """All commands of all changes under all rules of their tables; those a
+    server would refuse carry a reason."""
     df = fan_out(changes, rules)
     return df.selectExpr(
         "sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id", "db", "tb",
@@ -114,26 +118,33 @@ def _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_blo
     ).withColumn("reason", F.expr(_REASON))
 
 
-def kv_commands(changes, rules, snapshot_time=0, decimal_as="string",
-                log_block=LOG_BLOCK, snapshot_block=SNAPSHOT_BLOCK):
-    """Commands of all changes under all rules of their tables.
+def accepted(generated):
+    """Commands in their final form.
 
     op is WRITE (ttl set), REMOVE (one member; with a ttl it also renews the
     key), EXPIRE or DEL. Sorting by ORDER gives the sequence a server would see.
-    Commands it would refuse are left out; see `dead_letters`.
     """
-    made = _generate(changes, rules, snapshot_time, decimal_as, log_block, snapshot_block)
-    return made.where(F.col("reason").isNull()).drop("reason", "db", "tb")
+    return generated.where(F.col("reason").isNull()).drop("reason", "db", "tb")
 
 
-def dead_letters(changes, rules, snapshot_time=0, decimal_as="string"):
+def refused(generated):
+    return generated.where(F.col("reason").isNotNull()).select(*PLACE, "rule_id", "reason")
+
+
+def without_rule(changes, rules):
+    """Changes of tables nobody asked for."""
+    return join_control(changes, rules.select(*TABLE).distinct(), TABLE, "left_anti").select(
+        *PLACE, F.lit(None).cast("int").alias("rule_id"), F.lit("no rule").alias("reason"))
+
+
+def kv_commands(changes, rules, **how):
+    """Commands of all changes; refused ones are left out, see `dead_letters`."""
+    return accepted(generate(changes, rules, **how))
+
+
+def dead_letters(changes, rules, **how):
     """Changes that cannot be applied: tables without a rule and refused commands."""
-    place = ["sid", "db", "tb", "seg", "file", "pos", "event_ord", "row_ord"]
-    lost = join_control(changes, rules.select(*TABLE).distinct(), TABLE, "left_anti").select(
-        *place, F.lit(None).cast("int").alias("rule_id"), F.lit("no rule").alias("reason"))
-    made = _generate(changes, rules, snapshot_time, decimal_as, LOG_BLOCK, SNAPSHOT_BLOCK)
-    refused = made.where(F.col("reason").isNotNull()).select(*place, "rule_id", "reason")
-    return lost.unionByName(refused)
+    return without_rule(changes, rules).unionByName(refused(generate(changes, rules, **how)))
 
 
 def invalidations(commands):

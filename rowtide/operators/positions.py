@@ -29,6 +29,8 @@ def latest_positions(saved, arrival):
 
 # Points of one server id are scanned in stretches of this many intervals.
 STRETCH = 1024
+# Before any arrival time, with room to add an interval.
+NEVER = -(1 << 62)
 
 
 def throttled(saved, arrival_ms, interval_ms):
@@ -36,10 +38,11 @@ def throttled(saved, arrival_ms, interval_ms):
     than the interval; an interval of 0 or less keeps all.
 
     The choice depends on all earlier choices, so no window states it. Time is
-    cut into stretches; for a stretch only the first kept point is unknown, and
-    it must lie in the stretch's first interval. Every such point is followed to
-    the last point kept in the stretch, these short tables are chained per
-    server id, and the stretches then run with their true start.
+    cut into stretches. The first kept point of a stretch lies in its first
+    interval or is the first one after it; each such point is followed to the
+    last point kept in the stretch. Most paths run together, so a stretch comes
+    down to a few (latest start, last kept) pairs. These are chained per server
+    id, and the stretches then run with the point kept before them.
     """
     if interval_ms <= 0:
         return saved
@@ -62,30 +65,30 @@ def throttled(saved, arrival_ms, interval_ms):
         for i in range(len(t) - 1, -1, -1):
             if step[i] < len(t):
                 last[i] = last[step[i]]
-        entry = t <= key[1] * interval_ms * STRETCH + interval_ms
-        entry[np.argmin(entry) if not entry.all() else 0] = True
-        return pd.DataFrame({"sid": key[0], "_stretch": key[1], "_t": t[entry], "out": t[last[entry]]})
+        n = min(int(np.searchsorted(t, (key[1] * STRETCH + 1) * interval_ms, side="right")) + 1, len(t))
+        out = t[last[:n]]
+        ends = np.append(out[1:] != out[:-1], True)
+        return pd.DataFrame({"sid": key[0], "_stretch": key[1], "_t": t[:n][ends], "out": out[ends]})
 
     table = times.groupBy("sid", "_stretch").applyInPandas(
         paths, "sid int, _stretch bigint, _t bigint, out bigint")
 
     def chain(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["_stretch", "_t"])
-        kept, rows = None, []
+        kept, rows = NEVER, []
         for stretch, part in frame.groupby("_stretch", sort=True):
-            t = part["_t"].to_numpy()
-            at = 0 if kept is None else int(np.searchsorted(t, kept + interval_ms, side="right"))
-            if at < len(t):
-                rows.append((key[0], stretch, int(t[at])))
+            rows.append((key[0], stretch, kept))
+            at = int(np.searchsorted(part["_t"].to_numpy(), kept + interval_ms, side="right"))
+            if at < len(part):
                 kept = int(part["out"].to_numpy()[at])
-        return pd.DataFrame(rows, columns=["sid", "_stretch", "_start"])
+        return pd.DataFrame(rows, columns=["sid", "_stretch", "_kept"])
 
-    starts = table.groupBy("sid").applyInPandas(chain, "sid int, _stretch bigint, _start bigint")
+    starts = table.groupBy("sid").applyInPandas(chain, "sid int, _stretch bigint, _kept bigint")
 
     def keep(key, frame: pd.DataFrame) -> pd.DataFrame:
         t = np.sort(frame["_t"].to_numpy())
         step = follow(t)
-        i, kept = int(np.searchsorted(t, frame["_start"].iloc[0])), []
+        i, kept = int(np.searchsorted(t, frame["_kept"].iloc[0] + interval_ms, side="right")), []
         while i < len(t):
             kept.append(int(t[i]))
             i = int(step[i])

@@ -21,6 +21,22 @@ def stream_events(spark, path, fmt="parquet", **options):
     return reader.load(path)
 
 
+def stream_topic(spark, **options):
+    """Row events as a stream from a message topic of JSON events; needs the
+    Kafka connector. Option names are written with underscores for dots."""
+    reader = spark.readStream.format("kafka")
+    for name, value in options.items():
+        reader = reader.option(name.replace("_", "."), value)
+    return parse_events(reader.load())
+
+
+def database_table(spark, url, table, column, lower, upper, parts, **properties):
+    """A source table read over JDBC in parallel ranges of a numeric column, for
+    snapshots straight from a replica."""
+    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
+                           numPartitions=parts, properties=properties)
+
+
 def parse_events(df, value="value"):
     """Row events from a text column of JSON, as a message topic delivers them."""
     parsed = F.from_json(F.col(value).cast("string"), EVENTS_RAW)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowtide.operators import state
-from rowtide.operators.commands import kv_commands
+from rowtide.operators.commands import accepted, generate, refused, without_rule
 from rowtide.operators.messages import messages
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
@@ -62,11 +62,10 @@ class Store:
     # -- key-value sink ------------------------------------------------------
 
     def put_commands(self, commands, batch_id):
-        """Write a batch's commands and the lines they come to."""
+        """Write the lines a batch's commands come to. A batch that is already
+        merged is left alone."""
         if batch_id <= self.merged_to():
             return
-        self.put("commands", batch_id, commands)
-        commands = self.part("commands", batch_id)
         lo, hi = commands.agg(F.min("t"), F.max("t")).first()
         self.put("spans", batch_id, self.spark.range(1).select(
             F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")))
@@ -120,13 +119,17 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topi
     sees the commands. Positions are written last, so a crash repeats the batch.
     """
     known = monitored(events, rules)
-    store.put("dead_letter", batch_id, unmonitored(events, rules).select(
-        "sid", "db", "tb", "file", "pos", "event_ord", F.lit("no rule").alias("reason")))
+    lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules)
     if mode in (KV, BOTH):
-        commands = kv_commands(to_changes(normalize_events(known)), rules, snapshot_time)
+        made = generate(to_changes(normalize_events(known)), rules, snapshot_time=snapshot_time)
+        store.put("commands", batch_id, made)
+        made = store.part("commands", batch_id)
+        commands = accepted(made)
         store.put_commands(commands, batch_id)
+        lost = lost.unionByName(refused(made))
         if hook:
-            hook(store.part("commands", batch_id))
+            hook(commands)
+    store.put("dead_letter", batch_id, lost)
     sent = deliver(known)
     if mode in (MESSAGES, BOTH):
         store.put("messages", batch_id, messages(normalize_events(sent), rules, topic, fmt))
