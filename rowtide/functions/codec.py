@@ -75,7 +75,8 @@ def compress(text, mode, level):
     packed = _packer()(F.when(mode > 0, text.cast("binary")), mode, level)
     return (
         F.when(mode == 0, text.cast("binary"))
-        .when(mode.isin(GZIP_BASE64, SNAPPY_BASE64), F.base64(packed).cast("binary"))
+        # Some Spark versions break base64 text into lines.
+        .when(mode.isin(GZIP_BASE64, SNAPPY_BASE64), F.translate(F.base64(packed), "\r\n", "").cast("binary"))
         .otherwise(packed)
     )
 

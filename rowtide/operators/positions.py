@@ -58,7 +58,7 @@ def throttled(saved, arrival_ms, interval_ms):
         """Index of the next kept point after each point, len(t) if none."""
         return np.searchsorted(t, t + interval_ms, side="right")
 
-    def paths(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def paths(key, frame):
         t = np.sort(frame["_t"].to_numpy())
         step = follow(t)
         last = np.arange(len(t))
@@ -73,7 +73,7 @@ def throttled(saved, arrival_ms, interval_ms):
     table = times.groupBy("sid", "_stretch").applyInPandas(
         paths, "sid int, _stretch bigint, _t bigint, out bigint")
 
-    def chain(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def chain(key, frame):
         frame = frame.sort_values(["_stretch", "_t"])
         kept, rows = NEVER, []
         for stretch, part in frame.groupby("_stretch", sort=True):
@@ -85,7 +85,7 @@ def throttled(saved, arrival_ms, interval_ms):
 
     starts = table.groupBy("sid").applyInPandas(chain, "sid int, _stretch bigint, _kept bigint")
 
-    def keep(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def keep(key, frame):
         t = np.sort(frame["_t"].to_numpy())
         step = follow(t)
         i, kept = int(np.searchsorted(t, frame["_kept"].iloc[0] + interval_ms, side="right")), []

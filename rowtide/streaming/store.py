@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import state
 from rowtide.operators.commands import accepted, generate, refused, without_rule
-from rowtide.operators.messages import messages
+from rowtide.operators.messages import ddl_messages, messages
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
 from rowtide.schema import KEY
@@ -116,7 +116,9 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topi
     """One micro-batch: events to the sinks, key-value first, then positions.
 
     `send(df)` delivers message rows elsewhere (a Kafka writer, say); `hook(df)`
-    sees the commands. Positions are written last, so a crash repeats the batch.
+    sees the commands. Statements (`query` events, as `ddl.alter_feed` makes
+    them) are only published. Positions are written last, so a crash repeats the
+    batch. A micro-batch holds whole transactions and follows the log order.
     """
     known = monitored(events, rules)
     lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules)
@@ -131,11 +133,15 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topi
             hook(commands)
     store.put("dead_letter", batch_id, lost)
     sent = deliver(known)
+    statements = events.where(F.col("event") == "query")
     if mode in (MESSAGES, BOTH):
-        store.put("messages", batch_id, messages(normalize_events(sent), rules, topic, fmt))
+        rows = messages(normalize_events(sent), rules, topic, fmt).unionByName(
+            ddl_messages(statements, topic, fmt), allowMissingColumns=True)
+        store.put("messages", batch_id, rows)
         if send:
             send(store.part("messages", batch_id))
-    store.put("positions", batch_id, delivered_positions(sent))
+    store.put("positions", batch_id, delivered_positions(sent).unionByName(
+        statements.select("sid", "file", "pos", "event_time"), allowMissingColumns=True))
 
 
 def kafka_sender(**options):
