@@ -7,9 +7,7 @@ from rowtide.operators import state
 from rowtide.operators.normalize import normalize_events, to_changes
 from rowtide.plans import feeds
 from rowtide.plans.feed import query, user_changes
-from rowtide.plans.sql import (AS_OF, HASH_ITEMS, LIFE, MEMBER_ITEMS, ORDERS_SQL, STRING_ITEMS, alive, quoted,
-                               user_commands, with_feeds)
-from rowtide.schema import ORDER
+from rowtide.plans.sql import HASH_ITEMS, LIFE, MEMBER_ITEMS, STRING_ITEMS, alive, user_commands, with_feeds
 from rowtide.sources.feed import insert_resync
 
 
@@ -109,7 +107,8 @@ def kv_snapshot_hash(spark, sf_dir):
 SELECT 'line' AS key, '{{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || '}}' AS member,
        arg_max(l_partkey, rn) AS score FROM c GROUP BY l_orderkey, l_linenumber"""))
 def kv_member_table(spark, sf_dir):
-    """A scored set that holds a whole table under one key."""
+    """A scored set that holds a whole table under one key; its lines are made
+    to outlive the feed, so that all of them are there at the end."""
     changes = to_changes(normalize_events(feeds.lineitem_feed(spark, sf_dir)))
     made = cmd.kv_commands(changes, feeds.rules(spark, 9)).withColumn("ttl", F.col("ttl") + (1 << 32))
     table = state.fold(made, 1 << 32)["zset"]

@@ -4,7 +4,6 @@ import random
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from model import Server
 from rowtide.operators import state
@@ -45,7 +44,7 @@ def random_commands(seed, n_keys, max_ops, step_back=0.1):
         item = f"m{rng.randint(0, 2)}"
         out.append(dict(
             seg=0, file=f"f{n // 40:05d}", pos=n % 40 * 10, event_ord=0, phase=rng.randint(0, 1), row_ord=0,
-            rule_id=1, blk=n % 40 // rng.choice([10, 10, 10]), t=t, target_type=kind, target_key=key, op=op,
+            rule_id=1, blk=n % 40 // 10, t=t, target_type=kind, target_key=key, op=op,
             value=f"v{n}" if kind == "string" and op == "WRITE" else item if scored and op != "DEL" else None,
             fields=[dict(field=item, value=f"v{n}", enc=0)] if kind == "hash" and op == "WRITE" else None,
             score=float(n) if kind == "zset" and op == "WRITE" else None, ttl=ttl, enc=0, enc_level=-1))
