@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, language, pieces, quality
+from rowtide.llm import bpe, exact, language, pieces, quality, simhash
 from rowtide.llm.common import remainder, table
 
 TOKENIZERS = os.environ.get("ROWTIDE_TOKENIZERS", "/opt/tokenizers")
@@ -29,6 +29,15 @@ def op2_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_tokens", "score")
 
 
+@query("""
+WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)""")
+def op3_exact_dedup(spark, sf_dir):
+    """Groups of equal texts; the largest id of each stays."""
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_quality(spark, sf_dir):
     """Probability of label 1 for every document; a third of the ids is held out."""
@@ -39,6 +48,13 @@ def op4_quality(spark, sf_dir):
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@query()
+def op6_simhash(spark, sf_dir):
+    """Components of texts whose fingerprints differ in three bits at most."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query()
 def op8_bpe(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
