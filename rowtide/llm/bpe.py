@@ -36,8 +36,9 @@ END = "\0"  # stands for WORD_END while matching; no byte-level letter
 # White space as Unicode defines it, and the pattern of the tokenizer file.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Words coded together, and words remembered by a worker: bounds on memory, not on what is encoded.
-GROUP_WORDS = 200_000
-KEPT_WORDS = 200_000
+GROUP_WORDS = 100_000
+KEPT_WORDS = 150_000
+SLICE = 500  # texts
 
 
 def byte_letters():
@@ -233,10 +234,10 @@ def encode(df, tokenizer_file, text_col="text"):
         tokenizer = _tokenizer(spec.value)
         for texts in batches:
             # A batch holds 64 MB of text at most; slices keep what it grows to small.
-            done = [pair for start in range(0, len(texts), 1000)
-                    for pair in tokenizer.encode(texts.iloc[start:start + 1000])]
-            yield pd.DataFrame({"ids": pd.Series([i for i, _ in done], dtype=object),
-                                "decoded": pd.Series([d for _, d in done], dtype=object)})
+            for start in range(0, len(texts), SLICE):
+                done = tokenizer.encode(texts.iloc[start:start + SLICE])
+                yield pd.DataFrame({"ids": pd.Series([i for i, _ in done], dtype=object),
+                                    "decoded": pd.Series([d for _, d in done], dtype=object)})
 
     # The call itself is no cheap expression: asked for once, not per field.
     coded = with_columns(df, {"_coded": run(F.col(text_col))})

@@ -39,3 +39,12 @@ def row_key(id_col="doc_id", text_col="text"):
     """Names a row by its id and text. Rows alike in both get the same results, so they may share a name."""
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"),
                     F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"))
+
+
+def packed(df):
+    """All columns of `df` as one, so that their names meet no others; `unpacked` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
+def unpacked(df, columns):
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in columns])

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, exact, language, pieces, quality, simhash
+from rowtide.llm import bpe, contamination, exact, language, licenses, lines, pieces, quality, simhash
 from rowtide.llm.common import remainder, table
 
 TOKENIZERS = os.environ.get("ROWTIDE_TOKENIZERS", "/opt/tokenizers")
@@ -48,6 +48,32 @@ def op4_quality(spark, sf_dir):
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+WORDS_SQL = (r"list_filter(regexp_split_to_array(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL.format('text')} AS words FROM documents),
+i AS (SELECT item_id, {WORDS_SQL.format('text')} AS words FROM benchmark),
+w AS (SELECT DISTINCT item_id, words[s:s + 12] AS win FROM (
+        SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS s FROM i WHERE len(words) > 0)),
+k AS (SELECT DISTINCT len(win) AS k FROM w),
+g AS (SELECT doc_id, s, k, array_to_string(words[s:s + k - 1], ' ') AS g FROM (
+        SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS s FROM d, k WHERE len(words) >= k)),
+o AS (SELECT doc_id, s, k, item_id FROM g JOIN w ON array_to_string(win, ' ') = g AND len(win) = k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM o) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items
+      FROM o GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(words), false) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def op5_contamination(spark, sf_dir):
+    """Benchmark passages of 13 words in every document."""
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 @query()
 def op6_simhash(spark, sf_dir):
     """Components of texts whose fingerprints differ in three bits at most."""
@@ -55,6 +81,21 @@ def op6_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query(f"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                  unnest(range(len(string_split(text, chr(10))))) AS place FROM documents),
+bad AS (SELECT line, min(doc_id) AS first FROM l WHERE trim(line) <> '' GROUP BY line
+        HAVING count(DISTINCT coalesce(source, '')) >= {lines.SITES}),
+m AS (SELECT doc_id, l.line, place, first IS NULL OR doc_id = first AS stays FROM l LEFT JOIN bad USING (line))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS text_sha256
+FROM m GROUP BY doc_id""")
+def op7_line_dedup(spark, sf_dir):
+    """Every document without boilerplate lines, as a digest of its text."""
+    clean = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 @query()
 def op8_bpe(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
@@ -62,6 +103,39 @@ def op8_bpe(spark, sf_dir):
     return bpe.digests(coded)
 
 
+def _phrase_sql(phrase):
+    stands = " AND ".join(f"words[i + {j + 1}] = '{p}'" for j, p in enumerate(phrase.split(" ")))
+    return f"list_filter(range(len(words)), lambda i: {stands})"
+
+
+def _license_sql():
+    places = {label: _phrase_sql(p) for p, label in licenses.PHRASES}
+    every = "list_concat(" * (len(places) - 1) + f"p_{licenses.PHRASES[0][1]}" + "".join(f", p_{x})" for _, x in licenses.PHRASES[1:])
+    values = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES)
+    base = " UNION ALL ".join(f"SELECT doc_id, '{x}' AS label FROM b WHERE len(p_{x}) > 0" for _, x in licenses.PHRASES)
+    return f"""
+WITH d AS (SELECT doc_id, text, {WORDS_SQL.format('text')} AS words FROM documents),
+b AS (SELECT doc_id, len(words)::BIGINT AS n_words, {', '.join(f'{sql} AS p_{x}' for x, sql in places.items())} FROM d),
+p AS (SELECT doc_id, n_words, {every} AS places FROM b),
+t AS (SELECT label, list_distinct({WORDS_SQL.format('text')}) AS words FROM (VALUES {values}) v(label, text)),
+l AS (SELECT doc_id, {WORDS_SQL.format('line')} AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+m AS (SELECT doc_id, label, len(list_intersect(t.words, l.words)) / len(t.words) AS c FROM l, t
+      WHERE len(list_intersect(t.words, l.words)) >= ceil(len(t.words) * {licenses.SHARE})),
+bl AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base}) GROUP BY doc_id),
+al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base} UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id),
+s AS (SELECT doc_id, max(c) AS c FROM m GROUP BY doc_id)
+SELECT p.doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+       coalesce(bl.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+FROM p LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+@query(_license_sql())
+def op9_licenses(spark, sf_dir):
+    """Licence phrases and licence statements in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_language(spark, sf_dir):
     """Language of every document; a fifth of the ids is held out."""

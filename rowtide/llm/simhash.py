@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import with_columns
+from rowtide.llm.common import packed, unpacked, with_columns
 from rowtide.llm.graph import components
 from rowtide.session import written
 
@@ -188,8 +188,8 @@ def keep_one(df, groups, id_col="doc_id", text_col="text"):
     rows = groups.groupBy("root", id_col, "h").agg(F.count("*").alias("_n"))
     kept = rows.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h", "_n")).alias("k"))
     kept = written(df.sparkSession, kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h"), F.col("k._n").alias("_n")))
-    own = df.select(*[F.col(f"`{c}`") for c in df.columns], F.xxhash64(text_col).alias("_th"))
-    met = own.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")))
-    single = met.where("_n = 1").select(df.columns)
-    repeated = met.where("_n > 1").dropDuplicates(["_id", "_h"]).select(df.columns)
-    return single.unionAll(repeated)
+    own = df.select(packed(df), F.col(id_col).alias("_own"), F.xxhash64(text_col).alias("_th"))
+    met = own.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")))
+    single = met.where("_n = 1")
+    repeated = met.where("_n > 1").dropDuplicates(["_id", "_h"])
+    return unpacked(single.unionAll(repeated), df.columns)
