@@ -10,7 +10,7 @@ away, and what is left is verified word by word.
 
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import plain_words, row_key
+from rowtide.llm.common import packed, plain_words, row_key, unpacked
 from rowtide.session import written
 
 WINDOW = 13
@@ -99,3 +99,11 @@ def contamination(docs, items, window=WINDOW, share=20, **columns):
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("key.h").alias("text_hash"))
     return out.select(id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
                       ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "text_hash")
+
+
+def drop(docs, found, id_col="doc_id", text_col="text"):
+    """The rows of `docs` that `found` (from `contamination` of `docs`) does not call contaminated."""
+    bad = found.where("contaminated").select(F.col(id_col).alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
+    own = docs.select(packed(docs), F.col(id_col).alias("_own"), F.xxhash64(text_col).alias("_h"))
+    kept = own.join(bad, F.col("_own").eqNullSafe(F.col("_bad")) & (F.col("_h") == F.col("_hash")), "left_anti")
+    return unpacked(kept, docs.columns)

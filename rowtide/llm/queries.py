@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, contamination, exact, language, licenses, lines, pieces, quality, simhash
+from rowtide.llm import bpe, contamination, exact, katz, language, licenses, lines, pieces, quality, simhash
 from rowtide.llm.common import remainder, table
 
 TOKENIZERS = os.environ.get("ROWTIDE_TOKENIZERS", "/opt/tokenizers")
@@ -21,6 +21,12 @@ def query(sql=None):
     return register
 
 
+@query()
+def op1_katz(spark, sf_dir):
+    """Log10 probability of every document under a bigram model with Katz backoff; a seventh of the ids is held out."""
+    return katz.fit_and_score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 @query()
 def op2_token_counts(spark, sf_dir):
     """Pieces and best score of every text, by the unigram reading of the piece vocabulary."""
