@@ -73,7 +73,7 @@ def occurrences(docs, items, window=WINDOW, shingle=SHINGLE, id_col="doc_id", te
             met = met.where(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("window")).select("key", "start", "n", "items")
             found = met if found is None else found.unionAll(met)
     if found is None:
-        return spark.createDataFrame([], texts.select("key").schema.add("start", "int").add("n", "int").add("items", "array<string>"))
+        return texts.where("false").select("key", F.lit(0).alias("start"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("items"))
     return found
 
 

@@ -9,9 +9,8 @@ value is verified by the whole distance.
 
 Only different fingerprints take part. What meets under a value is searched
 breadth first: a fingerprint once reached is not compared again, so a dense group
-gives as many links as it has members, not pairs. Values under which too many meet
-are cut up by further segments of the bits left, until they are few enough: two
-that are within r bits agree in one of r + 1 pieces.
+gives as many links as it has members, not pairs. If too many meet under a value
+for one task, they are searched in chunks, each with itself and each other one.
 """
 
 from collections.abc import Iterator
@@ -73,45 +72,35 @@ def reach(max_bits, segments=SEGMENTS):
 
 
 def meetings(prints, max_bits):
-    """(path, free, fp): who meets under which segment value; `free` marks the bits the value leaves open."""
+    """(path, fp): who meets under which segment value."""
     parts = []
     for k, (shift, width, radius) in enumerate(reach(max_bits)):
         ones = (1 << width) - 1
         own = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(ones))
         flips = [sum(1 << b for b in c) for n in range(radius + 1) for c in combinations(range(width), n)]
-        free = ~(ones << shift) & (2**BITS - 1)
         asked = prints.select("fp", own.alias("own"), F.explode(F.array([F.lit(m) for m in flips])).alias("flip"))
         # Of two values a flip apart, only the one without its lowest bit asks.
         lowest = F.col("flip").bitwiseAND(-F.col("flip"))
         asked = asked.where(F.col("own").bitwiseAND(lowest) == 0)
         parts.append((k, asked.select("fp", F.col("own").bitwiseXOR(F.col("flip")).alias("value")),
-                      prints.select(own.alias("value")).distinct(), free - 2**BITS if free >> (BITS - 1) else free))
+                      prints.select(own.alias("value")).distinct()))
     out = None
-    for k, asked, there, free in parts:
+    for k, asked, there in parts:
         met = asked.join(there, "value", "left_semi").select(
-            F.concat_ws(":", F.lit(k), "value").alias("path"), F.lit(free).alias("free"), "fp")
+            F.concat_ws(":", F.lit(k), "value").alias("path"), "fp")
         out = met if out is None else out.unionAll(met)
     return out
 
 
-def cut_up(crowd, max_bits):
-    """The next meetings of those that met in too large numbers: one for each of r + 1 pieces of their free bits."""
+def cells(crowd, chunks):
+    """Those that met in too large numbers, once for each pair of chunks of their meeting that they belong to.
 
-    @F.pandas_udf("array<struct<piece:string,free:long>>")
-    def pieces(fp: pd.Series, free: pd.Series) -> pd.Series:
-        out = []
-        for x, f in zip(fp.to_numpy().view(np.uint64).tolist(), free.to_numpy().view(np.uint64).tolist()):
-            bits = [b for b in range(BITS) if f >> b & 1]
-            rows = []
-            for j, own in enumerate(np.array_split(bits, max_bits + 1)):
-                mask = sum(1 << int(b) for b in own)
-                left = f & ~mask
-                rows.append({"piece": f"{j}.{x & mask:x}", "free": left - 2**BITS if left >> (BITS - 1) else left})
-            out.append(rows)
-        return pd.Series(out)
-
-    cut = crowd.withColumn("_p", F.explode(pieces("fp", "free")))
-    return cut.select(F.concat_ws(":", "path", "_p.piece").alias("path"), F.col("_p.free").alias("free"), "fp")
+    Any two of a meeting share a cell, and a cell holds two chunks at most.
+    """
+    own = F.pmod(F.xxhash64("fp"), F.col("chunks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    rows = crowd.join(chunks, "path").select("path", "fp", own.alias("x"), other.alias("y"))
+    return rows.select(F.concat_ws(":", "path", F.least("x", "y"), F.greatest("x", "y")).alias("path"), "fp")
 
 
 def forest(prints, max_bits):
@@ -142,17 +131,11 @@ def linked(spark, prints, max_bits=3, meeting=MEETING):
         return pd.Series(out)
 
     met = written(spark, meetings(prints, max_bits))
-    found = None
-    while True:
-        sizes = met.groupBy("path").agg(F.count("*").alias("n"))
-        crowded = written(spark, sizes.where(F.col("n") > meeting).select("path"))
-        few = met.join(crowded, "path", "left_anti")
-        links = (few.groupBy("path").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-                 .select(F.explode(search("fps")).alias("l")).select("l.a", "l.b").distinct())
-        found = links if found is None else found.unionAll(links)
-        if crowded.isEmpty():
-            return found
-        met = written(spark, cut_up(met.join(crowded, "path", "left_semi"), max_bits))
+    crowded = met.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > meeting)
+    crowded = written(spark, crowded.select("path", F.ceil(F.col("n") / meeting).alias("chunks")))
+    together = met.join(crowded, "path", "left_anti").unionAll(cells(met, crowded))
+    return (together.groupBy("path").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+            .select(F.explode(search("fps")).alias("l")).select("l.a", "l.b").distinct())
 
 
 def near_duplicates(df, id_col="doc_id", text_col="text", shingle=3, max_bits=3, meeting=MEETING):
