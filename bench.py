@@ -14,8 +14,7 @@ HEADLINES = [
     "kv_string_state", "kv_string_moved_keys", "kv_hash_state", "kv_set_state", "kv_zset_state",
     "kv_shared_hash", "kv_member_table", "kv_snapshot_hash",
     "messages_json_event", "messages_json_rows", "messages_row_split", "messages_topic", "messages_xml",
-    "rule_violations", "message_routes", "translate_position", "throttled_positions", "idle_positions",
-    "compress_payload", "decompress_roundtrip", "sink_kv",
+    "rule_violations", "message_routes", "translate_position", "sink_kv",
 ]
 
 

@@ -2,21 +2,21 @@
 
 from pyspark.sql import functions as F
 
-# A rule line is at most some 8 KB by its column widths, so this many lines
-# keep a broadcast below 100 MB.
-BROADCAST_ROWS = 10_000
+# What the small side may weigh, as JSON text, to be sent to all tasks.
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def join_control(big, small, on, how="inner", broadcast_rows=BROADCAST_ROWS, salts=SALTS):
+def join_control(big, small, on, how="inner", broadcast_bytes=BROADCAST_BYTES, salts=SALTS):
     """Join `big` with a table that is small in any sane installation.
 
-    The size is checked: up to `broadcast_rows` lines the small side is
-    broadcast. Beyond that both sides are shuffled, and as one key may hold a
+    The size is checked: up to `broadcast_bytes` the small side is broadcast.
+    Beyond that both sides are shuffled, and as one key may hold a
     large part of `big`, its rows are spread over `salts` copies of the small
     side.
     """
-    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    weight = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if weight <= broadcast_bytes:
         return big.join(F.broadcast(small), on, how)
     return join_salted(big, small, on, how, salts)
 

@@ -66,15 +66,17 @@ def float_text(text, style):
     else:
         scientific = "fd.point < -3 OR fd.point > 6"
         size = two
-    spelled = let(let(f"string(abs(double({text})))", "fs", parts), "fd", f"""CASE
+    spelled = let(let(f"string(abs(try_cast({text} AS double)))", "fs", parts), "fd", f"""CASE
         WHEN {scientific} THEN concat(substr(fd.digits, 1, 1),
           CASE WHEN length(fd.digits) > 1 THEN concat('.', substr(fd.digits, 2)) ELSE '' END,
           CASE WHEN fd.point < 1 THEN 'e-' ELSE 'e+' END, {size})
         WHEN fd.point <= 0 THEN concat('0.', repeat('0', -fd.point), fd.digits)
         WHEN length(fd.digits) <= fd.point THEN concat(fd.digits, repeat('0', fd.point - length(fd.digits)))
         ELSE concat(substr(fd.digits, 1, fd.point), '.', substr(fd.digits, fd.point + 1)) END""")
-    return (f"CASE WHEN double({text}) = 0 THEN '0' WHEN double({text}) < 0 THEN concat('-', {spelled}) "
-            f"ELSE {spelled} END")
+    # A cell that holds no number is shown as it is.
+    raw = json_quote(text) if style == "json" else text
+    return (f"CASE WHEN try_cast({text} AS double) IS NULL THEN {raw} WHEN try_cast({text} AS double) = 0 THEN '0' "
+            f"WHEN try_cast({text} AS double) < 0 THEN concat('-', {spelled}) ELSE {spelled} END")
 
 
 def cell_text(cell, null_text=NULL_TEXT):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from rowtide.functions.joins import join_control
 from rowtide.functions.text import cells_of, image_json, joined_texts, texts
 from rowtide.operators.rules import TABLE, compile_rules
-from rowtide.schema import ORDER
+from rowtide.operators.normalize import ROW_EVENTS
+from rowtide.schema import ORDER, UNREADABLE
 
 # A block of the order: 16 MB of log, or a million snapshot rows.
 LOG_BLOCK = 1 << 24
@@ -100,16 +101,21 @@ def _commands(decimal_as):
       CASE WHEN {passes('after')} THEN {main} END))"""
 
 
-_REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN op <> 'WRITE' THEN NULL
+_REASON = """CASE WHEN reason IS NOT NULL THEN reason WHEN t IS NULL THEN 'no time' WHEN op <> 'WRITE' THEN NULL
   WHEN target_type = 'zset' AND score IS NULL THEN 'no score'
   WHEN target_type = 'hash' AND size(fields) = 0 THEN 'empty hash' END"""
 
 
-def generate(changes, rules, snapshot_time=0, decimal_as="string",
+def generate(changes, rules, snapshot_time=None, decimal_as="string",
              log_block=LOG_BLOCK, snapshot_block=SNAPSHOT_BLOCK):
     """All commands of all changes under all rules of their tables; those a
-    server would refuse carry a reason."""
-    df = fan_out(changes, rules)
+    server would refuse carry a reason.
+
+    `snapshot_time` is when the snapshot rows count as written; without it, or
+    without the time of a log event, no expiry can be told and the command
+    carries the reason "no time"."""
+    df = fan_out(changes.withColumn("is_snapshot", F.coalesce("is_snapshot", F.lit(False))), rules)
+    snapshot_time = "NULL" if snapshot_time is None else int(snapshot_time)
     return df.selectExpr(
         "sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id", "db", "tb",
         f"CASE WHEN is_snapshot THEN event_ord div {snapshot_block} ELSE pos div {log_block} END AS blk",
@@ -137,6 +143,19 @@ def without_rule(changes, rules):
         *PLACE, F.lit(None).cast("int").alias("rule_id"), F.lit("no rule").alias("reason"))
 
 
+def malformed(events):
+    """Row events that no change, or not every change, can be made of: text that
+    is no event, no image, or the odd image of an update."""
+    n, kind = F.coalesce(F.size("rows"), F.lit(0)), F.col("event")
+    reason = (F.when(kind.isNull() | ~kind.isin(*ROW_EVENTS, "query"), UNREADABLE)
+              .when(kind == "query", F.lit(None)).when(n <= 0, "no image")
+              .when((kind == "update") & (n % 2 == 1), "odd image"))
+    if "seg" not in events.columns:
+        events = events.withColumn("seg", F.lit(0).cast("bigint"))
+    return events.withColumn("reason", reason).where("reason IS NOT NULL").select(
+        *[F.lit(0).alias(c) if c == "row_ord" else F.col(c) for c in PLACE], F.lit(None).cast("int").alias("rule_id"), "reason")
+
+
 def kv_commands(changes, rules, **how):
     """Commands of all changes; refused ones are left out, see `dead_letters`."""
     return accepted(generate(changes, rules, **how))

@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 EARLY_CHUNK = 9
 # Rows of a transaction are numbered in blocks of this many event ordinals.
 TX_BLOCK = 1 << 16
+ROW_EVENTS = ["insert", "update", "delete"]
 
 
 def named_image(columns, row):
@@ -43,7 +44,7 @@ def to_changes(events):
     keep = [c for c in events.columns if c not in ("pairs", "query")]
     # The outer form: for the inner one the optimizer adds a check for empty
     # arrays below, which would work out all images a second time.
-    return (events.where(F.col("event") != "query")
+    return (events.where(F.col("event").isin(*ROW_EVENTS))
             .select(*keep, F.posexplode_outer("pairs").alias("row_ord", "pair"))
             .where(F.col("row_ord").isNotNull())
             .select(*keep, "row_ord", "pair.after", "pair.before"))
@@ -54,21 +55,25 @@ def deliver(raw, tx_block=TX_BLOCK):
 
     Events of a transaction wait for its commit, but nine waiting events leave
     early: without a position, the ninth also without a time. What is left at
-    the commit carries the commit position. Snapshot events are sent alone.
+    the commit carries the commit position. Snapshot events are sent alone, and
+    so are events that belong to no known transaction, with their own position.
 
     Adds n (ordinal in the transaction), chunk_no, sent_file, sent_pos and
     sent_time. Works on events of any form; positional ones are the narrowest
     to shuffle, which happens once.
     """
     keys, block = ["sid", "tx_id"], ["_blk"]
-    tx = raw.where(~F.col("is_snapshot")).withColumn("_blk", F.floor(F.col("event_ord") / tx_block))
+    snapshot = F.coalesce("is_snapshot", F.lit(False))
+    loose = F.col("tx_id").isNull() | F.col("sid").isNull()
+    ord = F.coalesce("event_ord", F.lit(0))
+    tx = raw.where(~snapshot & ~loose).withColumn("_blk", F.floor(ord / tx_block))
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     stretches = tx.groupBy(*keys, *block).agg(
         F.count(F.lit(1)).alias("_n"), F.max(F.struct("file", "pos")).alias("_last")).select(
         *keys, *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"),
         F.sum("_n").over(whole).alias("_events"), F.max("_last").over(whole).alias("_commit"))
-    inside = Window.partitionBy(*keys, *block).orderBy("event_ord")
+    inside = Window.partitionBy(*keys, *block).orderBy(ord, "file", "pos")
     numbered = tx.join(stretches, keys + block).withColumn(
         "n", F.row_number().over(inside).cast("bigint") + F.col("_carry"))
     n = F.col("n")
@@ -81,11 +86,11 @@ def deliver(raw, tx_block=TX_BLOCK):
         F.when(early, F.lit(0)).otherwise(F.col("_commit.pos")).cast("bigint").alias("sent_pos"),
         F.when(early & (n % EARLY_CHUNK == 0), F.lit(0))
         .otherwise(F.col("event_time")).cast("bigint").alias("sent_time"))
-    alone = raw.where("is_snapshot").select(
+    alone = raw.where(snapshot | loose).select(
         *raw.columns,
         F.lit(1).cast("bigint").alias("n"),
         F.lit(0).cast("bigint").alias("chunk_no"),
-        F.lit("").alias("sent_file"),
-        F.lit(0).cast("bigint").alias("sent_pos"),
-        F.lit(0).cast("bigint").alias("sent_time"))
+        F.when(snapshot, F.lit("")).otherwise(F.col("file")).alias("sent_file"),
+        F.when(snapshot, F.lit(0)).otherwise(F.col("pos")).cast("bigint").alias("sent_pos"),
+        F.when(snapshot, F.lit(0)).otherwise(F.col("event_time")).cast("bigint").alias("sent_time"))
     return sent.unionByName(alone)

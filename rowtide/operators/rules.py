@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.codec import level_ok
 from rowtide.functions.text import split_trim, trim_space
-from rowtide.schema import OP_ADD, OP_DROP, TARGET_TYPES
+from rowtide.schema import OP_ADD, OP_DROP, TARGET_TYPES, with_defaults
 
 TABLE = ["sid", "db", "tb"]
 TOPIC_RULE = "column_name STRING, topic_rule MAP<STRING,STRING>, broken STRING"
@@ -133,7 +133,14 @@ def compile_rules(rules):
     """What the row jobs need of a rule, worked out once per rule: lists split
     and trimmed, filter clauses parsed, TTL bounds computed, type conflicts
     marked."""
-    first = rules.groupBy("sid", "target_key_prefix").agg(
+    rules = with_defaults(rules)
+    # Types can only meet in one key: the prefix itself for sets, and for values
+    # and hashes without key columns; else the prefix and key texts. Of the rules
+    # that write, the first settles the type.
+    at_prefix = F.col("target_key_type").isin("set", "zset") | (trim_space(F.col("target_key_columns")) == "")
+    rules = rules.withColumn("_at_prefix", at_prefix)
+    writes = (F.col("refresh_type") != 0) & F.col("target_key_type").isin(*TARGET_TYPES)
+    first = rules.where(writes).groupBy("sid", "target_key_prefix", "_at_prefix").agg(
         F.min_by("target_key_type", "id").alias("_first_type"))
     base = F.when(F.col("expire_time") == 0, 86400).otherwise(F.col("expire_time")).cast("bigint")
     spread = F.col("expire_range").cast("bigint")
@@ -141,7 +148,7 @@ def compile_rules(rules):
     full = F.col("is_full_column") > 0
     kept = split_trim(F.col("replic_columns"))
     no_names = F.lit(None).cast("array<string>")
-    return rules.join(first, ["sid", "target_key_prefix"]).select(
+    return rules.join(first, ["sid", "target_key_prefix", "_at_prefix"], "left").select(
         *TABLE, F.col("id").alias("rule_id"),
         F.col("target_key_type").alias("target_type"),
         F.col("target_key_prefix").alias("prefix"),
@@ -161,7 +168,7 @@ def compile_rules(rules):
         F.when(F.col("compress_columns") == "", F.array().cast("array<string>"))
         .otherwise(split_trim(F.col("compress_columns"))).alias("enc_names"),
         F.when(~F.col("target_key_type").isin(*TARGET_TYPES), "unsupported type")
-        .when(F.col("_first_type") != F.col("target_key_type"), "type conflict")
+        .when((F.col("refresh_type") != 0) & (F.col("_first_type") != F.col("target_key_type")), "type conflict")
         .when(F.col("is_compress").isin(1, 2) & ~level_ok(F.col("compress_level")), "bad compress level")
         .alias("rule_error"),
     )

@@ -136,6 +136,6 @@ def kv_resync_state(spark, sf_dir):
     rows = snapshot_events(users, feeds.SID, "shop", "user_state", ["user_id", "status"], "user_id")
     resync = to_changes(normalize_events(rows))
     changes = insert_resync(user_changes(spark, sf_dir), resync, *RESYNC_AT)
-    made = cmd.kv_commands(changes, feeds.rules_df(spark, [RESYNC_RULE]))
+    made = cmd.kv_commands(changes, feeds.rules_df(spark, [RESYNC_RULE]), snapshot_time=0)
     table = state.fold(made, last_time(spark, sf_dir))["string"]
     return table.select("key", "value")

@@ -156,7 +156,7 @@ SELECT 7 AS rule_id, count(*) AS n, true AS in_bounds, true AS varies FROM b
 UNION ALL SELECT 8, count(*), true, false FROM b WHERE o_orderstatus = 'F'"""))
 def ttl_bounds(spark, sf_dir):
     """An hour with 20 % of jitter lies in [2880, 4320); without, it is an hour."""
-    made = cmd.kv_commands(order_changes(spark, sf_dir), feeds.rules(spark, 7, 8))
+    made = cmd.kv_commands(order_changes(spark, sf_dir), feeds.rules(spark, 7, 8), snapshot_time=0)
     exact = F.when(F.col("rule_id") == 7, (F.col("ttl") >= 2880) & (F.col("ttl") < 4320)).otherwise(
         F.col("ttl") == 3600)
     return made.groupBy("rule_id").agg(

@@ -31,6 +31,9 @@ EVENTS_RAW = T.StructType([
     T.StructField("query", T.StringType()),
 ])
 
+# Kind of what a topic delivered that is no event.
+UNREADABLE = "unreadable"
+
 _INT, _STR = T.IntegerType(), T.StringType()
 
 # Rule table. The numbers and names of the first group follow the metadata
@@ -105,6 +108,12 @@ BLOCK = ["seg", "file", "blk"]
 KEY = ["target_type", "target_key"]
 
 
+def with_defaults(rules):
+    """Rules with the table's defaults in place of NULL."""
+    fill = {c: v for c, v in RULE_DEFAULTS.items() if c in rules.columns}
+    return rules.fillna(fill)
+
+
 def rules_df(spark, rows):
     """Rule DataFrame from dicts; missing columns take the table's defaults."""
     full = [{**RULE_DEFAULTS, **r} for r in rows]

@@ -37,7 +37,7 @@ def shared_folder(spark):
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.startswith("local-cluster") or not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="rowtide-")
         spark.conf.set("spark.checkpoint.dir", base)

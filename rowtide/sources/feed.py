@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from rowtide.functions.joins import join_control
-from rowtide.schema import EVENTS_RAW, OP_ACTIVE
+from rowtide.schema import EVENTS_RAW, OP_ACTIVE, UNREADABLE
 
 
 def read_events(spark, path, fmt="parquet"):
@@ -38,9 +38,16 @@ def database_table(spark, url, table, column, lower, upper, parts, **properties)
 
 
 def parse_events(df, value="value"):
-    """Row events from a text column of JSON, as a message topic delivers them."""
-    parsed = F.from_json(F.col(value).cast("string"), EVENTS_RAW)
-    return df.select(parsed.alias("e")).select("e.*")
+    """Row events from a text column of JSON, as a message topic delivers them.
+    Text that is no event stays as one of kind "unreadable" with the text as its
+    query, for the dead letters."""
+    text = F.col(value).cast("string")
+    parsed = df.select(F.from_json(text, EVENTS_RAW).alias("e"), text.alias("_text")).select("e.*", "_text")
+    bad = F.col("event").isNull()
+    return parsed.select(*[
+        F.when(bad, F.lit(UNREADABLE)).otherwise(F.col(c)).alias(c) if c == "event"
+        else F.when(bad, F.col("_text")).otherwise(F.col(c)).alias(c) if c == "query" else F.col(c)
+        for c in EVENTS_RAW.names])
 
 
 def _type_tag(dtype):
@@ -112,8 +119,9 @@ def resync_events(spark, text, tables, sid, at=("", 0), seg=0):
 
 
 def after_position(df, file, pos):
-    """Rows of the log after a saved position."""
-    return df.where(F.struct("file", "pos") > F.struct(F.lit(file), F.lit(pos).cast("bigint")))
+    """Rows of the log after a saved position. The first condition alone is one
+    that files and row groups can be skipped by."""
+    return df.where((F.col("file") >= file) & ((F.col("file") > file) | (F.col("pos") > F.lit(pos).cast("bigint"))))
 
 
 def snapshot_then_changes(snapshot, changes, file, pos):

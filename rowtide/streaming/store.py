@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowtide.operators import state
-from rowtide.operators.commands import accepted, generate, refused, without_rule
+from rowtide.operators.commands import accepted, generate, malformed, refused, without_rule
 from rowtide.operators.messages import ddl_messages, messages
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
@@ -41,14 +41,20 @@ class Store:
         try:
             return self.spark.read.parquet(self.path(table))
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
+            # No folder yet, or only what a crashed job left there.
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 
     def merged_to(self):
         """The newest batch a finished compaction covers, -1 if none."""
-        done = self.read("merged_keys")
-        return -1 if done is None else done.agg(F.max("upto")).first()[0]
+        done = self.read("merged")
+        newest = None if done is None else done.agg(F.max("batch_id")).first()[0]
+        return MERGED if newest is None else newest
+
+    def merged(self, table, upto):
+        """What a compaction up to a batch has made of a table."""
+        return self.spark.read.parquet(f"{self.root}/merged_{table}/upto={upto}")
 
     def lines(self, table):
         """Key or item lines: the newest merged part and the batches after it."""
@@ -56,8 +62,7 @@ class Store:
         parts = self.read(table)
         if upto < 0:
             return None if parts is None else parts.drop("batch_id")
-        old = self.read(f"merged_{table}").where(F.col("upto") == upto).drop("upto")
-        return old.unionByName(parts.where(F.col("batch_id") > upto).drop("batch_id"))
+        return self.merged(table, upto).unionByName(parts.where(F.col("batch_id") > upto).drop("batch_id"))
 
     # -- key-value sink ------------------------------------------------------
 
@@ -83,8 +88,7 @@ class Store:
         lines = self.read("keys").where((F.col("batch_id") < batch_id) & (F.col("batch_id") > upto)).select(
             *KEY, "clock")
         if upto >= 0:
-            lines = lines.unionByName(
-                self.read("merged_keys").where(F.col("upto") == upto).select(*KEY, "clock"))
+            lines = lines.unionByName(self.merged("keys", upto).select(*KEY, "clock"))
         mine = commands.select(*KEY).distinct()
         return lines.groupBy(*KEY).agg(F.max("clock").alias("clock")).join(mine, KEY, "left_semi")
 
@@ -95,12 +99,15 @@ class Store:
 
     def compact(self, upto):
         """Merge the lines of all batches up to one. Readers take the result once
-        its key lines are complete."""
+        the marker that is written last is there; what a crash left without one is
+        overwritten."""
+        done = self.merged_to()
+        if upto <= done:
+            return
+
         def until(table):
-            old, new = self.read(f"merged_{table}"), self.read(table)
-            done = self.merged_to()
-            new = new.where((F.col("batch_id") <= upto) & (F.col("batch_id") > done)).drop("batch_id")
-            return new if old is None else new.unionByName(old.where(F.col("upto") == done).drop("upto"))
+            new = self.read(table).where((F.col("batch_id") <= upto) & (F.col("batch_id") > done)).drop("batch_id")
+            return new if done < 0 else new.unionByName(self.merged(table, done))
         lines = until("keys")
         keys = state.resolve_keys(lines)
         items = state.merge_items(until("items"))
@@ -109,9 +116,10 @@ class Store:
             F.col("last.at") >= F.col("epoch_at")).drop("epoch_at")
         live.write.mode("overwrite").parquet(f"{self.root}/merged_items/upto={upto}")
         state.as_lines(keys, lines).write.mode("overwrite").parquet(f"{self.root}/merged_keys/upto={upto}")
+        self.put("merged", upto, self.spark.range(1).select(F.lit(done).cast("bigint").alias("after")))
 
 
-def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topic="changes", fmt="json",
+def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, topic="changes", fmt="json",
                 send=None, hook=None):
     """One micro-batch: events to the sinks, key-value first, then positions.
 
@@ -119,9 +127,10 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=0, topi
     sees the commands. Statements (`query` events, as `ddl.alter_feed` makes
     them) are only published. Positions are written last, so a crash repeats the
     batch. A micro-batch holds whole transactions and follows the log order.
+    Snapshot events need `snapshot_time`, the time they count as written.
     """
     known = monitored(events, rules)
-    lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules)
+    lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules).unionByName(malformed(events))
     if mode in (KV, BOTH):
         made = generate(to_changes(normalize_events(known)), rules, snapshot_time=snapshot_time)
         store.put("commands", batch_id, made)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rowtide.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -24,7 +25,7 @@ def lines(rows, names):
     return sorted(tuple(str(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     cur = con.execute(entry.oracle_sql()[name])
@@ -34,7 +35,8 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracles())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
 def test_entry(spark):

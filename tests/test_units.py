@@ -270,7 +270,7 @@ def test_salted_join_equals_broadcast(spark, how):
     _, df = hot(spark)
     small = spark.createDataFrame([(f"k{i}", i) for i in range(0, 30, 2)] + [("hot", 99)], "k string, x int")
     a = join_control(df, small, ["k"], how)
-    b = join_control(df, small, ["k"], how, broadcast_rows=3, salts=4)
+    b = join_control(df, small, ["k"], how, broadcast_bytes=3, salts=4)
     cols = sorted(a.columns)
     key = lambda r: str(tuple(r))
     assert sorted(a.select(cols).collect(), key=key) == sorted(b.select(cols).collect(), key=key)
