@@ -150,13 +150,24 @@ def merge_items(lines):
 
 
 def alive_keys(keys, as_of):
-    """Keys that exist at a time."""
+    """Keys within their deadline at a time; see `existing_keys` for emptied ones."""
     return (keys.where(~F.col("dropped") & (F.col("deadline") > as_of))
             .select(*KEY, "epoch_at", F.col("deadline").alias("expires_at")))
 
 
+def existing_keys(keys, items, as_of):
+    """Keys a server has at a time: a set or scored set that lost its last member
+    is gone, whatever its deadline."""
+    alive = alive_keys(keys, as_of)
+    member_keys = F.col("target_type").isin("set", "zset")
+    held = [contents(keys, items, kind, as_of).select("sid", F.lit(kind).alias("target_type"),
+                                                      F.col("key").alias("target_key")).distinct() for kind in ("set", "zset")]
+    return alive.where(~member_keys).unionByName(
+        alive.where(member_keys).join(held[0].unionByName(held[1]), KEY, "left_semi"))
+
+
 def contents(keys, items, target_type, as_of):
-    """Live items of one target type: key, item, value, score, enc, enc_level, expires_at."""
+    """Live items of one target type: sid, key, item, value, score, enc, enc_level, expires_at."""
     alive = alive_keys(keys.where(F.col("target_type") == target_type), as_of)
     items = items.where((F.col("target_type") == target_type) & F.col("last.keep"))
     if target_type in ("set", "zset"):
@@ -165,7 +176,7 @@ def contents(keys, items, target_type, as_of):
     else:
         joined = items.join(alive, KEY)
     return joined.where(F.col("last.at") >= F.col("epoch_at")).select(
-        F.col("target_key").alias("key"), "item", F.col("last.value").alias("value"),
+        "sid", F.col("target_key").alias("key"), "item", F.col("last.value").alias("value"),
         F.col("last.score").alias("score"), F.col("last.enc").alias("enc"),
         F.col("last.enc_level").alias("enc_level"), "expires_at")
 
@@ -173,7 +184,7 @@ def contents(keys, items, target_type, as_of):
 def state_tables(keys, items, as_of):
     """The four state tables from resolved keys and merged items."""
     def table(kind, *cols):
-        return contents(keys, items, kind, as_of).select("key", *cols, "enc", "enc_level", "expires_at")
+        return contents(keys, items, kind, as_of).select("sid", "key", *cols, "enc", "enc_level", "expires_at")
 
     return {
         "string": table("string", "value"),

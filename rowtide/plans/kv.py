@@ -28,7 +28,7 @@ def state_query(name, kind, items, rule_ids, **shape):
     @query(name, oracle)
     def run(spark, sf_dir):
         tables = state.fold(commands(spark, sf_dir, *rule_ids), last_time(spark, sf_dir))
-        table = tables[kind].drop("enc", "enc_level")
+        table = tables[kind].drop("sid", "enc", "enc_level")
         if kind == "zset":
             table = table.withColumn("score", F.col("score").cast("bigint"))
         return table
@@ -74,7 +74,8 @@ HALF = f"(SELECT (min(floor(epoch(ts))::BIGINT) + max(floor(epoch(ts))::BIGINT))
 
 
 @query("kv_alive_asof", with_feeds(
-    "a", "SELECT target_type, key AS target_key, dl AS expires_at FROM alive",
+    "a", f"""SELECT target_type, key AS target_key, dl AS expires_at FROM alive
+WHERE target_type <> 'zset' OR key IN (SELECT key FROM ({MEMBER_ITEMS.format(score='')}))""",
     user_commands(1, 2, 4, 5).replace("FROM a WHERE", f"FROM a WHERE t <= {HALF} AND"), LIFE, alive(HALF)))
 def kv_alive_asof(spark, sf_dir):
     """Keys alive at the middle of the feed."""
@@ -83,7 +84,33 @@ def kv_alive_asof(spark, sf_dir):
     until = (lo + hi) // 2
     made = commands(spark, sf_dir, 1, 2, 4, 5, until=until)
     keys = state.resolve_keys(state.key_lines(made))
-    return state.alive_keys(keys, until).select("target_type", "target_key", "expires_at")
+    return state.existing_keys(keys, state.item_lines(made), until).select("target_type", "target_key", "expires_at")
+
+
+LONG = 1_000_000_000
+
+
+def _of_server(sid, where):
+    """Commands of rule 1 on one of two servers, whose keys bear its number."""
+    return (user_commands(1).replace("cmd AS", f"cmd{sid} AS").replace("'us:'", f"'{sid}|us:'")
+            .replace("FROM a WHERE true", f"FROM a WHERE {where}").replace("3600", str(LONG)))
+
+
+@query("kv_two_servers", with_feeds("a", f"""
+SELECT string_split(key, '|')[1]::INT AS sid, string_split(key, '|')[2] AS key, value, expires_at FROM ({STRING_ITEMS})""",
+                                    _of_server(11, "true"), _of_server(12, f"t <= {HALF}"),
+                                    "cmd AS (SELECT * FROM cmd11 UNION ALL SELECT * FROM cmd12)", LIFE, alive()))
+def kv_two_servers(spark, sf_dir):
+    """Two servers write the same keys; the second one only in the first half of
+    the feed, under file names that sort before those of the first."""
+    lo, hi = feeds.table(spark, sf_dir, "events").agg(F.min(feeds.seconds("ts")), F.max(feeds.seconds("ts"))).first()
+    changes = user_changes(spark, sf_dir)
+    other = changes.where(F.col("event_time") <= (lo + hi) // 2).withColumn("sid", F.lit(12)).withColumn(
+        "file", F.regexp_replace("file", "^bin", "alt"))
+    rules = feeds.rules(spark, 1).withColumn("expire_time", F.lit(LONG))
+    rules = rules.unionByName(rules.withColumn("sid", F.lit(12)))
+    made = cmd.kv_commands(changes.unionByName(other), rules)
+    return state.fold(made, hi)["string"].select("sid", "key", "value", "expires_at")
 
 
 ORDER_TIME = 1_000

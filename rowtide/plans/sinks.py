@@ -46,7 +46,7 @@ def sink_messages(spark, sf_dir):
 @query("sink_kv", with_feeds("a", HASH_ITEMS, user_commands(2, 12), LIFE, alive()))
 def sink_kv(spark, sf_dir):
     store = streamed(spark, sf_dir, (2, 12), KV)
-    return store.state(last_time(spark, sf_dir))["hash"].drop("enc", "enc_level")
+    return store.state(last_time(spark, sf_dir))["hash"].drop("sid", "enc", "enc_level")
 
 
 @query("sink_both", with_feeds("a", f"""
@@ -72,5 +72,5 @@ def sink_replay(spark, sf_dir):
     store.compact(0)
     for batch_id in (0, 1, 2, 2):
         apply_batch(store, parts[batch_id], batch_id, rules, mode=KV)
-    table = store.state(last_time(spark, sf_dir))["zset"].drop("enc", "enc_level")
+    table = store.state(last_time(spark, sf_dir))["zset"].drop("sid", "enc", "enc_level")
     return table.withColumn("score", F.col("score").cast("bigint"))

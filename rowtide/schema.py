@@ -105,7 +105,8 @@ ORDER = ["seg", "file", "pos", "event_ord", "phase", "row_ord", "rule_id"]
 CHANGE_ORDER = ["seg", "file", "pos", "event_ord", "row_ord"]
 # A block is a run of the order that is bounded in size whatever the key.
 BLOCK = ["seg", "file", "blk"]
-KEY = ["target_type", "target_key"]
+# Servers have keys, and an order, of their own.
+KEY = ["sid", "target_type", "target_key"]
 
 
 def with_defaults(rules):

@@ -4,6 +4,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from model import Server
 from rowtide.operators import state
@@ -52,7 +53,7 @@ def random_commands(seed, n_keys, max_ops, step_back=0.1):
 
 
 def frame(spark, commands):
-    return spark.createDataFrame(pa.Table.from_pylist(commands, schema=SCHEMA))
+    return spark.createDataFrame(pa.Table.from_pylist(commands, schema=SCHEMA)).withColumn("sid", F.lit(1))
 
 
 def rows(tables):
