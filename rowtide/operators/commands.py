@@ -118,7 +118,10 @@ def generate(changes, rules, snapshot_time=None, decimal_as="string",
     snapshot_time = "NULL" if snapshot_time is None else int(snapshot_time)
     return df.selectExpr(
         "sid", "seg", "file", "pos", "event_ord", "row_ord", "rule_id", "db", "tb",
-        f"CASE WHEN is_snapshot THEN event_ord div {snapshot_block} ELSE pos div {log_block} END AS blk",
+        # Blocks are stretches of the order. Rows that lie among log events, at a
+        # position of their own segment's log, are cut as the log is.
+        f"CASE WHEN is_snapshot AND (file = '' OR seg % 2 = 1) THEN event_ord div {snapshot_block} "
+        f"ELSE pos div {log_block} END AS blk",
         f"CASE WHEN is_snapshot THEN bigint({snapshot_time}) ELSE event_time END AS t",
         "target_type", "enc", "enc_level", f"inline({_commands(decimal_as)})",
     ).withColumn("reason", F.expr(_REASON))

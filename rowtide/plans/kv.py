@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import commands as cmd
 from rowtide.operators import state
-from rowtide.operators.normalize import normalize_events, to_changes
+from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.plans import feeds
 from rowtide.plans.feed import query, user_changes
 from rowtide.plans.sql import HASH_ITEMS, LIFE, MEMBER_ITEMS, STRING_ITEMS, alive, user_commands, with_feeds
-from rowtide.sources.feed import insert_resync
+from rowtide.sources.feed import insert_resync, monitored, unmonitored
 
 
 def last_time(spark, sf_dir):
@@ -166,3 +166,31 @@ def kv_resync_state(spark, sf_dir):
     made = cmd.kv_commands(changes, feeds.rules_df(spark, [RESYNC_RULE]), snapshot_time=0)
     table = state.fold(made, last_time(spark, sf_dir))["string"]
     return table.select("key", "value")
+
+
+@query("lost_nothing", """
+SELECT event_id AS pos, CASE event_id % 7 WHEN 3 THEN 'odd image' WHEN 4 THEN 'no image' WHEN 5 THEN 'unreadable'
+                        WHEN 6 THEN 'no rule' ELSE 'write' END AS outcome FROM events
+UNION ALL SELECT event_id, 'sent' FROM events WHERE event_id % 7 <> 6""")
+def lost_nothing(spark, sf_dir):
+    """A feed with every defect its schema allows: each event ends as a command
+    or a dead letter, and each of a monitored table is sent."""
+    defect = F.col("event_id") % 7
+    raw = feeds.table(spark, sf_dir, "events").select(
+        F.lit(feeds.SID).alias("sid"), F.lit("shop").alias("db"),
+        F.when(defect == 6, "orphans").otherwise("user_state").alias("tb"),
+        F.when(defect == 3, "update").when(defect == 5, "broken").otherwise("insert").alias("event"),
+        F.lit("bin.000000").alias("file"), F.col("event_id").alias("pos"), feeds.seconds("ts").alias("event_time"),
+        F.when(defect != 1, F.col("event_id")).alias("tx_id"), F.when(defect != 0, F.lit(1)).cast("bigint").alias("event_ord"),
+        F.when(defect != 2, F.lit(False)).alias("is_snapshot"),
+        F.array(F.struct(F.lit("user_id").alias("name"), F.lit("int").alias("type"))).alias("table_columns"),
+        F.when(defect == 4, F.array().cast("array<array<string>>")).otherwise(
+            F.array(F.array(F.col("user_id").cast("string")))).alias("rows"), F.lit(None).cast("string").alias("query"))
+    rules = feeds.rules(spark, 1)
+    known = monitored(raw, rules)
+    made = cmd.generate(to_changes(normalize_events(known)), rules)
+    lost = cmd.without_rule(to_changes(normalize_events(unmonitored(raw, rules))), rules).unionByName(
+        cmd.refused(made)).unionByName(cmd.malformed(raw))
+    return (cmd.accepted(made).select("pos", F.lit("write").alias("outcome"))
+            .unionByName(lost.select("pos", F.col("reason").alias("outcome")))
+            .unionByName(deliver(known).select("pos", F.lit("sent").alias("outcome"))))
