@@ -23,6 +23,7 @@ a(h) can be worked out where the text is:
 4. `score`: a(h) is joined to those lists.
 """
 
+import uuid
 from collections import defaultdict
 from itertools import chain
 
@@ -37,8 +38,9 @@ from rowtide.session import shared_folder, written
 ORDER = 2
 K = 5
 RESERVE = 0.001  # share of counts beyond K that is kept for unseen words
-BLOCK_BYTES = 8 * 2**20  # of text; a longer text is a block of its own
+BLOCK_BYTES = 4 * 2**20  # of text; a longer text is a block of its own
 BUCKET_GRAMS = 500_000
+MOST_BUCKETS = 100_000  # of the table of texts, as Spark has it; more texts share a bucket then
 START, END = np.uint64(1), np.uint64(2)  # hashes of what stands before and after a text
 
 
@@ -57,6 +59,15 @@ def unplanes(data, dtype):
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1)
 
 
+def packed_keys(keys):
+    """Ascending hashes by their gaps, whose high bytes are zero."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data):
+    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+
+
 BLOCK = "block long, ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, tokens binary, n long"
 
 
@@ -107,7 +118,7 @@ class Grams:
         place = np.arange(len(word)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         self.train = ~self.held[self.text]
         # Level m needs m - 1 symbols before the token; the start of the text is one.
-        self.at = {1: np.arange(len(word))}
+        self.at = {1: np.arange(len(word), dtype=np.int32)}
         self.key, self.history = {1: word}, {}
         for m in range(2, order + 1):
             before = np.concatenate([[START], self.key[m - 1][:-1]])
@@ -115,7 +126,7 @@ class Grams:
                 before[place == 0] = START
             self.history[m] = before
             self.key[m] = mix(before, word, m)
-            self.at[m] = np.flatnonzero(place >= m - 2)
+            self.at[m] = np.flatnonzero(place >= m - 2).astype(np.int32)
         self.first = place == 0
 
     def different(self, m):
@@ -149,11 +160,11 @@ def count(spark, texts, order, buckets):
                     value[number[~train]] |= 1
                     bucket = bucket_of(keys, buckets)
                     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                    yield pd.DataFrame([{"level": m, "bucket": int(bucket[a]), "block": row["block"], "keys": planes(keys[a:b]),
+                    yield pd.DataFrame([{"level": m, "bucket": int(bucket[a]), "block": row["block"], "keys": packed_keys(keys[a:b]),
                                          "counts": planes(value[a:b])} for a, b in zip(cuts, [*cuts[1:], len(keys)])])
 
     def add(sent):
-        keys = [unplanes(k, np.uint64) for k in sent["keys"]]
+        keys = [unpacked_keys(k) for k in sent["keys"]]
         value = np.concatenate([unplanes(c, np.int64) for c in sent["counts"]])
         sizes = [len(k) for k in keys]
         different, number = np.unique(np.concatenate(keys), return_inverse=True)
@@ -166,7 +177,7 @@ def count(spark, texts, order, buckets):
         answer = total[number] * 4 + held[number] * 2 + sums
         level, bucket = int(sent["level"].iloc[0]), int(sent["bucket"].iloc[0])
         seen = total > 0
-        rows = [{"level": level, "bucket": bucket, "block": None, "keys": planes(different[seen]), "counts": planes(total[seen]),
+        rows = [{"level": level, "bucket": bucket, "block": None, "keys": packed_keys(different[seen]), "counts": planes(total[seen]),
                  "grams": int(seen.sum()), "tokens": int(total.sum()), "of_count": np.bincount(np.minimum(total[seen], K + 2), minlength=K + 3)[1:K + 2].tolist()}]
         start = 0
         for block, n in zip(sent["block"], sizes):
@@ -177,7 +188,7 @@ def count(spark, texts, order, buckets):
 
     folder = shared_folder(spark)
     packets = texts.mapInPandas(send, "level int, bucket int, block long, keys binary, counts binary")
-    packets.groupBy("level", "bucket").applyInPandas(add, COUNTED).write.partitionBy("level").parquet(folder)
+    packets.groupBy("level", "bucket").applyInPandas(add, COUNTED).write.partitionBy("level").option("compression", "zstd").parquet(folder)
     return folder
 
 
@@ -272,7 +283,13 @@ def fit_and_score(df, held, order=ORDER, id_col="doc_id", text_col="text"):
     not returned; repeated rows each count and get their row.
     """
     spark = df.sparkSession
-    texts = written(spark, blocks(df, id_col, text_col, F.coalesce(held, F.lit(False))))
+    # Bucketed by block: the answers come to the texts, which are not shuffled.
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BLOCK_BYTES + 1)
+    name = f"katz_texts_{uuid.uuid4().hex}"
+    (blocks(df, id_col, text_col, F.coalesce(held, F.lit(False))).write.format("parquet").option("compression", "zstd")
+     .bucketBy(min(buckets, MOST_BUCKETS), "block").saveAsTable(name))
+    texts = spark.table(name)
     tokens = texts.agg(F.sum("n")).first()[0] or 0
     trained = texts.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     counted = spark.read.schema(COUNTED).parquet(count(spark, texts, order, tokens // BUCKET_GRAMS + 1))
@@ -287,6 +304,7 @@ def fit_and_score(df, held, order=ORDER, id_col="doc_id", text_col="text"):
     model = {"tokens": n, "words": words, "texts": int(trained), "discounts": d, "unknown": left / n if n else 1.0}
     answers = counted.where("block IS NOT NULL").select("block", "level", "bucket", "counts")
     rows = written(spark, evaluate(texts, answers, order, model))
+    spark.sql(f"DROP TABLE {name}")
     rest = rows.where("kind = 1").groupBy("level", "history").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower"))
     rest = rest.select("level", "history", F.log10((1 - F.col("seen")) / (1 - F.col("lower"))).alias("a"))
     off = rows.where("kind = 2").select("block", "place", "level", "history", "times").join(rest, ["level", "history"])
