@@ -142,6 +142,28 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def _statement_sql():
+    """The SQL of the line-wise query with the templates found in spans instead."""
+    per_line, rest = _license_sql().split("t AS (SELECT", 1)
+    values = rest.split("FROM (VALUES ", 1)[1].split(") v(label, text)", 1)[0]
+    return per_line + f"""t0 AS (SELECT row_number() OVER () AS template, label, {WORDS_SQL.format('text')} AS every FROM (VALUES {values}) v(label, text)),
+t AS (SELECT template, label, list_distinct(every) AS words, ceil(len(list_distinct(every)) * {licenses.SHARE}) AS need,
+             ceil(len(every) / {licenses.SHARE})::BIGINT AS reach FROM t0),
+w AS (SELECT doc_id, template, label, t.words, need, s, d.words[s + 1:s + reach] AS win
+      FROM (SELECT doc_id, words, unnest(range(len(words))) AS s FROM d) d JOIN t ON list_contains(t.words, d.words[s + 1])),
+f AS (SELECT *, list_intersect(words, win) AS got FROM w WHERE len(list_intersect(words, win)) >= need),
+g AS (SELECT doc_id, template, label, words, s, s + list_max(list_transform(got, lambda x: list_position(win, x))) - 1 AS e, len(got) / len(words) AS c FROM f),
+m AS (SELECT doc_id, label, c FROM g WHERE NOT EXISTS (SELECT 1 FROM g o WHERE o.doc_id = g.doc_id AND o.s <= g.s AND o.e >= g.e
+      AND len(o.words) > len(g.words) AND len(list_intersect(o.words, g.words)) = len(g.words))),
+bl AS (SELECT""" + rest.split("bl AS (SELECT", 1)[1]
+
+
+@query(_statement_sql())
+def license_statements(spark, sf_dir):
+    """As op9_licenses, with licence statements found over line breaks and only the fullest of nested ones."""
+    return licenses.scan(table(spark, sf_dir, "documents"), contained=licenses.template_spans)
+
+
 @query()
 def op10_language(spark, sf_dir):
     """Language of every document; a fifth of the ids is held out."""

@@ -400,6 +400,34 @@ def test_licenses(docs, empty, spark):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_statements_over_line_breaks(empty, spark):
+    def plain_spans(text):
+        w, found = words_of(text), []
+        for label, t in licenses.TEMPLATES:
+            need, reach = set(words_of(t)), math.ceil(len(words_of(t)) / licenses.SHARE)
+            for s in range(len(w)):
+                window = w[s:s + reach]
+                got = need & set(window)
+                if w[s] in need and len(got) >= math.ceil(len(need) * licenses.SHARE):
+                    found.append((s, s + max(window.index(x) for x in got), label, len(got) / len(need), need))
+        return {m[:4] for m in found if not any(o[0] <= m[0] and o[1] >= m[1] and o[4] > m[4] for o in found)}
+    mit, bsd = (next(t for x, t in licenses.TEMPLATES if x == label and len(t) > 40) for label in ("mit", "bsd"))
+    texts = {1: mit.replace("copy of", "copy\n# of"), 2: bsd.replace("without modification", "without\n * modification"),
+             3: "Licensed under CC BY-NC 4.0", 4: "Licensed under CC BY 4.0", 5: "Licensed under\nCC BY 4.0. Photos: licensed under CC BY-NC 4.0",
+             6: mit.replace("of charge", "of any charge").replace("software", "program"), 7: " and so on ".join(mit.split(" ")), 8: "", 9: None,
+             10: f"{'mit licensed under by the of ' * 2000}{mit} {'cc by nc ' * 2000}", 11: " ".join(["word"] * 4090) + " " + bsd.replace(" ", "\n")}
+    texts |= {100 + i: f"x {t} y" for i, (_, t) in enumerate(licenses.TEMPLATES)}
+    given = frame(spark, [(i, t, None, None) for i, t in texts.items()])
+    found = {i: set() for i in texts}
+    for r in licenses.template_spans(given).collect():
+        found[r["key"]["id"]].add((r["start"], r["end"], r["label"], r["containment"]))
+    assert found == {i: plain_spans(t) for i, t in texts.items()}
+    labels = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(given, contained=licenses.template_spans).collect()}
+    assert [labels[i] for i in (1, 2, 3, 4, 5)] == [("mit", 1.0), ("bsd", 1.0), ("cc-by-nc", 1.0), ("cc-by", 1.0), ("cc-by,cc-by-nc", 1.0)]
+    assert labels[6][0] == "mit" and 0.9 <= labels[6][1] < 1 and labels[7] == ("", 0.0) and labels[11] == ("bsd", 1.0)
+    assert licenses.scan(empty, contained=licenses.template_spans).count() == 0
+
+
 # 10
 
 def test_language(docs, empty, spark):
