@@ -38,6 +38,28 @@ def replace_first(text, old, new):
         F.substr(text, F.lit(1), at - 1), new, F.substr(text, at + F.length(old)))).otherwise(text)
 
 
+def alter_statements(statements):
+    """Statements whose first word is ALTER or alter as written."""
+    first_word = F.split_part("query", F.lit(" "), F.lit(1))
+    return statements.where(first_word.isin("ALTER", "alter") & F.col("query").contains(" "))
+
+
+def published_statements(events, monitored):
+    """The `query` events that consumers get: ALTER statements of monitored tables.
+
+    With the list of changed tables that is `alter_feed`. Events without it, as
+    `alter_feed` makes them, carry the database of a monitored table.
+    """
+    statements = events.where(F.col("event") == "query")
+    listed = None
+    if "changed" in events.columns:
+        listed = alter_feed(statements.where(F.col("changed").isNotNull()), monitored)
+        statements = statements.where(F.col("changed").isNull()).drop("changed")
+    databases = monitored.select("sid", "db").distinct()
+    rest = join_control(alter_statements(statements), databases, ["sid", "db"], "left_semi")
+    return rest if listed is None else rest.unionByName(listed, allowMissingColumns=True)
+
+
 def alter_feed(statements, monitored, supported=True):
     """`query` events of ALTER statements that change a monitored table.
 
@@ -48,8 +70,7 @@ def alter_feed(statements, monitored, supported=True):
     """
     if not supported:
         statements = statements.limit(0)
-    first_word = F.split_part("query", F.lit(" "), F.lit(1))
-    alters = statements.where(first_word.isin("ALTER", "alter") & F.col("query").contains(" "))
+    alters = alter_statements(statements)
     ids = ["sid", "file", "pos", "event_ord", "query"]
     changed = alters.select(*ids, F.posexplode("changed").alias("at", "c")).select(
         *ids, "at", "c.db", F.col("c.tb").alias("changed_tb"))

@@ -31,6 +31,14 @@ EVENTS_RAW = T.StructType([
     T.StructField("query", T.StringType()),
 ])
 
+# The same with the tables a statement changes, for feeds that list them.
+EVENTS_CHANGED = T.StructType(EVENTS_RAW.fields + [
+    T.StructField("changed", T.ArrayType(T.StructType([
+        T.StructField("db", T.StringType()),
+        T.StructField("tb", T.StringType()),
+    ]))),
+])
+
 # Kind of what a topic delivered that is no event.
 UNREADABLE = "unreadable"
 

@@ -13,9 +13,10 @@ def read_events(spark, path, fmt="parquet"):
     return spark.read.schema(EVENTS_RAW).format(fmt).load(path)
 
 
-def stream_events(spark, path, fmt="parquet", **options):
-    """Row events as a stream over a folder that receives log files in order."""
-    reader = spark.readStream.schema(EVENTS_RAW).format(fmt)
+def stream_events(spark, path, fmt="parquet", schema=EVENTS_RAW, **options):
+    """Row events as a stream over a folder that receives log files in order.
+    `schema` is EVENTS_CHANGED if statements list the tables they change."""
+    reader = spark.readStream.schema(schema).format(fmt)
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader.load(path)

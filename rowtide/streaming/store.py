@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import state
 from rowtide.operators.commands import accepted, generate, malformed, refused, without_rule
+from rowtide.operators.ddl import published_statements
 from rowtide.operators.messages import ddl_messages, messages
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
@@ -124,11 +125,16 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
     """One micro-batch: events to the sinks, key-value first, then positions.
 
     `send(df)` delivers message rows elsewhere (a Kafka writer, say); `hook(df)`
-    sees the commands. Statements (`query` events, as `ddl.alter_feed` makes
-    them) are only published. Positions are written last, so a crash repeats the
-    batch. A micro-batch holds whole transactions and follows the log order.
+    sees the commands. Of the statements (`query` events) only ALTERs of monitored
+    tables are published, see `ddl.published_statements`; all leave a position.
+    Positions are written last, so a crash repeats the batch. A micro-batch must
+    hold whole transactions and follow the log order; nothing here ensures that,
+    and a transaction cut by a batch is numbered and positioned per batch.
     Snapshot events need `snapshot_time`, the time they count as written.
     """
+    statements = events.where(F.col("event") == "query")
+    published = published_statements(events, rules)
+    events = events.drop("changed")
     known = monitored(events, rules)
     lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules).unionByName(malformed(events))
     if mode in (KV, BOTH):
@@ -142,10 +148,9 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
             hook(commands)
     store.put("dead_letter", batch_id, lost)
     sent = deliver(known)
-    statements = events.where(F.col("event") == "query")
     if mode in (MESSAGES, BOTH):
         rows = messages(normalize_events(sent), rules, topic, fmt).unionByName(
-            ddl_messages(statements, topic, fmt), allowMissingColumns=True)
+            ddl_messages(published, topic, fmt), allowMissingColumns=True)
         store.put("messages", batch_id, rows)
         if send:
             send(store.part("messages", batch_id))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from rowtide.operators import state
 from rowtide.operators.commands import kv_commands
 from rowtide.operators.normalize import normalize_events, to_changes
-from rowtide.schema import EVENTS_RAW, rules_df
+from rowtide.schema import EVENTS_CHANGED, EVENTS_RAW, rules_df
 from rowtide.session import shared_folder
 from rowtide.sources.feed import stream_events
-from rowtide.streaming.store import BOTH, KV, Store, apply_batch, run_available
+from rowtide.streaming.store import BOTH, KV, MESSAGES, Store, apply_batch, run_available
 
 
 def feed(seed=1, n=240):
@@ -83,3 +83,21 @@ def test_replay_changes_nothing(spark):
     store.compact(0)
     apply_batch(store, parts[0], 0, rules, mode=KV)
     assert rows(store.state(AS_OF - 400)) == before
+
+
+def test_only_alters_of_monitored_tables_are_published(spark):
+    def statement(pos, db, text, *changed):
+        return (1, db, "", "query", "f001", pos, 0, None, 0, False, None, None, text, list(changed) if changed else None)
+    bare = [statement(1, "d", "ALTER TABLE t ADD c INT"), statement(2, "d", "TRUNCATE TABLE t"), statement(3, "x", "ALTER TABLE t ADD c INT")]
+    listed = [statement(4, "", "ALTER TABLE other ADD a INT", ("d", "other")), statement(5, "", "ALTER TABLE _t_new ADD e INT", ("d", "_t_new")),
+              statement(6, "", "TRUNCATE TABLE t", ("d", "t"))]
+    folder = shared_folder(spark)
+    for name, schema, data, want in (("bare", EVENTS_RAW, [s[:-1] for s in bare], {1: "ALTER TABLE t ADD c INT"}),
+                                     ("listed", EVENTS_CHANGED, bare + listed, {1: "ALTER TABLE t ADD c INT", 5: "ALTER TABLE t ADD e INT"})):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        store = Store(spark, f"{folder}/sink_{name}")
+        run_available(spark, stream_events(spark, f"{folder}/{name}", schema=schema), store, f"{folder}/checkpoint_{name}",
+                      lambda s: rules_df(s, RULES), mode=MESSAGES)
+        found = {r.pos: r.value for r in store.read("messages").collect()}
+        assert found.keys() == want.keys() and all(f'"query":"{text}"' in found[pos] for pos, text in want.items())
+        assert store.read("positions").agg(F.max("pos")).first()[0] == len(data)
