@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, contamination, exact, katz, language, licenses, lines, pieces, quality, simhash
+from rowtide.llm import (bpe, contamination, conversations, exact, katz, language, licenses, lines, outliers, pieces, quality, simhash,
+                         spelling)
 from rowtide.llm.common import remainder, table
 
 TOKENIZERS = os.environ.get("ROWTIDE_TOKENIZERS", "/opt/tokenizers")
@@ -171,3 +172,22 @@ def op10_language(spark, sf_dir):
     profiles = language.fit(docs.where(remainder("doc_id", 5) != 0))
     return language.identify(docs.drop("lang"), profiles).select(
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op11_conversations(spark, sf_dir):
+    """Faults of every conversation after damage, its cheapest repair, and a digest of what that gives."""
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op12_outliers(spark, sf_dir):
+    """Statistics of every document; kept are those that pass the base rules and lie among their language and source."""
+    return outliers.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op13_spelling(spark, sf_dir):
+    """Words of at least seven letters, their near words, and the frequent form each is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
