@@ -16,11 +16,13 @@ All pairs of a batch are tested together with numpy; only words with a broken
 border are merged step by step.
 """
 
+import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -35,9 +37,11 @@ WORD_END = "</w>"
 END = "\0"  # stands for WORD_END while matching; no byte-level letter
 # White space as Unicode defines it, and the pattern of the tokenizer file.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Words coded together, and words remembered by a worker: bounds on memory, not on what is encoded.
+# Words coded together, words remembered by a worker in each of two generations, letters of words that are merged
+# side by side: bounds on memory, not on what is encoded.
 GROUP_WORDS = 100_000
-KEPT_WORDS = 150_000
+KEPT_WORDS = 200_000
+WIDE = 32
 SLICE = 500  # texts
 
 
@@ -49,9 +53,12 @@ def byte_letters():
 
 
 class WordEndBPE:
-    """A tokenizer file of the library's JSON form: NFC, lower case, words cut by a pattern, byte level, `</w>`."""
+    """A tokenizer file of the library's JSON form: NFC, lower case, words cut by a pattern, byte level, `</w>`.
 
-    def __init__(self, spec):
+    Token ids come as int32 bytes or, if `decimal`, as text with spaces between."""
+
+    def __init__(self, spec, decimal=False):
+        self.decimal = decimal
         spec = json.loads(spec)
         model = spec["model"]
         if model["type"] != "BPE" or model["end_of_word_suffix"] != WORD_END or spec["decoder"] is not None:
@@ -61,10 +68,12 @@ class WordEndBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.texts.update({i: t for t, i in self.special.items()})
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE))
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
+        self.cut = regex.compile(pattern)
+        self.cut_ascii = re.compile(pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"))
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
-        self.special_words = {t: (np.array([i], np.int32).tobytes(), t) for t, i in self.special.items()}
-        self.words = dict(self.special_words)
+        self.special_words = {t: (self.coded([i]), t) for t, i in self.special.items()}
+        self.words, self.older = {}, {}
         self._merge_tables([tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
 
     def _merge_tables(self, merges):
@@ -80,6 +89,11 @@ class WordEndBPE:
             self.pair_rank[a, b] = r
             self.token_of_rank.append(t)
         self.rank = rank
+        self.merged = np.array(self.token_of_rank, np.int64)
+        # Tokens of the byte-level letters, inside a word and at its end.
+        self.letter, self.last_letter = np.zeros(512, np.int64), np.zeros(512, np.int64)
+        for c in byte_letters().values():
+            self.letter[ord(c)], self.last_letter[ord(c)] = self.ids[c], self.ids[c + WORD_END]
         keys = np.array([a * n + b for a, b in self.pair_rank], np.int64)
         order = np.argsort(keys)
         self.pair_keys = keys[order]
@@ -120,12 +134,16 @@ class WordEndBPE:
             i = outer
             for u, u_until in self.left_spine:
                 i = i[u[y[i]] >= 0]
-                key = s[x[i]] * self.size + u[y[i]]
-                at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-                m = np.where(self.pair_keys[at] == key, self.pair_ranks[at], np.int32(NEVER))
+                m = self.rank_of(s[x[i]], u[y[i]])
                 broken[i] |= (m < before[i]) & (m < s_until[x[i]]) & (m <= u_until[y[i]]) & (m < NEVER)
         return ~broken
 
+    def rank_of(self, x, y):
+        """Ranks of the merges of `x` and `y`, NEVER without one."""
+        key = x * self.size + y
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], np.int32(NEVER))
+
     def propose(self, words):
         """Longest matches from the left: token ids, and how many each word has.
 
@@ -152,8 +170,59 @@ class WordEndBPE:
                 ranks[i] = rank((parts[i], parts[i + 1]), NEVER)
         return parts
 
+    def merge_all(self, words):
+        """`merge` for many words: each round makes the next merge of every word."""
+        out = [None] * len(words)
+        of = np.array([w for w, word in enumerate(words) if len(word) <= WIDE], np.int64)
+        for w, word in enumerate(words):
+            if len(word) > WIDE:
+                out[w] = self.merge(word)
+        if not len(of):
+            return out
+        sizes = np.array([len(words[w]) for w in of.tolist()])
+        letters = np.frombuffer("".join([words[w] for w in of.tolist()]).encode("utf-32-le"), np.uint32)
+        parts = np.full((len(of), sizes.max()), -1, np.int64)
+        parts[np.arange(parts.shape[1]) < sizes[:, None]] = self.letter[letters]
+        parts[np.arange(len(of)), sizes - 1] = self.last_letter[letters[np.cumsum(sizes) - 1]]
+
+        def rank_at(rows, at):
+            """Ranks of the pairs that begin at a place; NEVER outside the word."""
+            inside = (at >= 0) & (at + 1 < sizes[rows])
+            ranks = np.full(len(rows), NEVER, np.int32)
+            ranks[inside] = self.rank_of(parts[rows[inside], at[inside]], parts[rows[inside], at[inside] + 1])
+            return ranks
+
+        width = parts.shape[1]
+        rows, places = np.divmod(np.arange(parts.size), width)
+        ranks = rank_at(rows, places).reshape(parts.shape)
+        columns = np.arange(width)
+        while len(of):
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(of)), best]
+            done = rank == NEVER
+            if done.any():
+                for w, n, ids in zip(of[done].tolist(), sizes[done].tolist(), parts[done].tolist()):
+                    out[w] = ids[:n]
+                of, sizes, parts, ranks, best, rank = (a[~done] for a in (of, sizes, parts, ranks, best, rank))
+                if not len(of):
+                    break
+            rows = np.arange(len(of))
+            parts[rows, best] = self.merged[rank]
+            shifted = np.minimum(columns + (columns > best[:, None]), width - 1)
+            parts = np.take_along_axis(parts, shifted, 1)
+            ranks = np.take_along_axis(ranks, shifted, 1)
+            sizes = sizes - 1
+            ranks[rows, sizes - 1] = NEVER
+            ranks[rows, best] = rank_at(rows, best)
+            left = rows[best > 0]
+            ranks[left, best[left] - 1] = rank_at(left, best[left] - 1)
+        return out
+
+    def coded(self, ids):
+        return " ".join(map(str, ids)) if self.decimal else np.array(ids, np.int32).tobytes()
+
     def encode_words(self, words):
-        """Per (byte-level) word: token ids as bytes, and their texts."""
+        """Per (byte-level) word: token ids (see the class), and their texts."""
         if not words:
             return []
         ids, counts = self.propose(words)
@@ -163,24 +232,25 @@ class WordEndBPE:
         inside = np.flatnonzero((of[1:] == of[:-1]) & ~wrong[of[1:]])
         pairs, back = np.unique(ids[inside] * self.size + ids[inside + 1], return_inverse=True)
         wrong[of[inside[~self.compatible(pairs // self.size, pairs % self.size)[back]]]] = True
-        stop = np.cumsum(counts)
-        packed, texts = ids.astype(np.int32).tobytes(), [self.texts.get(t, "") for t in ids.tolist()]
-        out = [(packed[4 * a:4 * b], " ".join(texts[a:b])) if a + 1 < b else (packed[4 * a:4 * b], texts[a])
-               for a, b in zip((stop - counts).tolist(), stop.tolist())]
-        for w in np.flatnonzero(wrong).tolist():
-            exact = self.merge(words[w])
-            out[w] = np.array(exact, np.int32).tobytes(), " ".join([self.texts[t] for t in exact])
-        return out
+        stop, every = np.cumsum(counts), ids.tolist()
+        proposed = [every[a:b] for a, b in zip((stop - counts).tolist(), stop.tolist())]
+        wrong = np.flatnonzero(wrong).tolist()
+        for w, exact in zip(wrong, self.merge_all([words[w] for w in wrong])):
+            proposed[w] = exact
+        texts = self.texts
+        return [(self.coded(p), " ".join([texts[t] for t in p])) for p in proposed]
 
     def cut_words(self, text):
         """The words of a text, and its special tokens as they stand."""
         out, at = [], 0
-        for m in [*self.at_special.finditer(text), None]:
+        marks = self.at_special.finditer(text) if any(t in text for t in self.special) else ()
+        for m in [*marks, None]:
             plain = text[at:m.start() if m else None]
-            if not plain.isascii():
+            if plain.isascii():
+                out += self.cut_ascii.findall(plain.lower())
+            else:
                 # Letters are lowered one by one, so a final sigma gets no form of its own.
-                plain = unicodedata.normalize("NFC", plain).replace("\u03a3", "\u03c3")
-            out += self.cut.findall(plain.lower())
+                out += self.cut.findall(unicodedata.normalize("NFC", plain).replace("\u03a3", "\u03c3").lower())
             if m:
                 out.append(m[0])
                 at = m.end()
@@ -195,58 +265,75 @@ class WordEndBPE:
             while end < len(texts) and n + len(texts[end]) <= GROUP_WORDS:
                 n += len(texts[end])
                 end += 1
-            need = set(chain.from_iterable(texts[start:end]))
-            known = {w: self.words[w] for w in need & self.words.keys()}
-            new = list(need - known.keys())
-            known.update(zip(new, self.encode_words([self.letters_of(w) for w in new])))
-            if len(known) + len(self.words) > KEPT_WORDS:
-                self.words = dict(self.special_words)
-            self.words.update(islice(known.items(), KEPT_WORDS))
+            ids_of, text_of = self.known(set(chain.from_iterable(texts[start:end])))
             for words in texts[start:end]:
-                got = [known[w] for w in words]
-                out.append((np.frombuffer(b"".join([g[0] for g in got]), np.int32), " ".join([g[1] for g in got])))
+                ids, text = map(ids_of.__getitem__, words), " ".join(map(text_of.__getitem__, words))
+                out.append((" ".join(ids) if self.decimal else np.frombuffer(b"".join(ids), np.int32), text))
             start = end
         return out
 
+    def known(self, need):
+        """Ids and texts of words, solved now or remembered. A full generation of words becomes the older one;
+        words still met are taken over into the next."""
+        found, new = {t: self.special_words[t] for t in need & self.special_words.keys()}, []
+        for w in need - found.keys():
+            hit = self.words.get(w) or self.older.get(w)
+            if hit is None:
+                new.append(w)
+            else:
+                found[w] = hit
+        found.update(zip(new, self.encode_words([self.letters_of(w) for w in new])))
+        if len(self.words) > KEPT_WORDS:
+            self.words, self.older = {}, self.words
+        self.words.update(found)
+        return {w: ids for w, (ids, _) in found.items()}, {w: text for w, (_, text) in found.items()}
+
     def letters_of(self, word):
         """The word in byte-level letters."""
         return word.encode().decode("latin-1").translate(self.letters)
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(spec):
-    return WordEndBPE(spec)
+def _tokenizer(spec, decimal):
+    return WordEndBPE(spec, decimal)
 
 
-def encode(df, tokenizer_file, text_col="text"):
-    """Adds `ids` (array<int>) and `decoded` (their token texts joined by a space, as the file names no decoder).
-
-    `tokenizer_file` is read on the driver and sent to the tasks. Null and empty
-    texts give no ids and an empty text; every text is encoded whole; rows,
-    repeated ones included, and further columns stay as they are, but a column
-    named `ids` or `decoded` gives way. An empty table stays empty.
-    """
+def _coded(df, tokenizer_file, text_col, returns, decimal, row):
+    """Adds a struct column of what `row` makes of each text's ids and decoded text."""
     with open(tokenizer_file, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
+    names = [r.split()[0] for r in returns.split(", ")]
 
-    @F.pandas_udf("ids array<int>, decoded string")
+    @F.pandas_udf(returns)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tokenizer = _tokenizer(spec.value)
+        tokenizer = _tokenizer(spec.value, decimal)
         for texts in batches:
             # A batch holds 64 MB of text at most; slices keep what it grows to small.
             for start in range(0, len(texts), SLICE):
-                done = tokenizer.encode(texts.iloc[start:start + SLICE])
-                yield pd.DataFrame({"ids": pd.Series([i for i, _ in done], dtype=object),
-                                    "decoded": pd.Series([d for _, d in done], dtype=object)})
+                done = zip(*[row(*c) for c in tokenizer.encode(texts.iloc[start:start + SLICE])])
+                yield pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in zip(names, done)}, columns=names)
 
     # The call itself is no cheap expression: asked for once, not per field.
     coded = with_columns(df, {"_coded": run(F.col(text_col))})
-    return with_columns(coded, {"ids": F.col("_coded.ids"), "decoded": F.col("_coded.decoded")}).drop("_coded")
+    return with_columns(coded, {name: F.col(f"_coded.{name}") for name in names}).drop("_coded")
+
+
+def encode(df, tokenizer_file, text_col="text"):
+    """Adds `ids` (array<int>) and `decoded` (their token texts joined by a space, as the file names no decoder).
+
+    `tokenizer_file` is read on the driver and sent to the tasks. Null and empty
+    texts give no ids and an empty text; every text is encoded whole; rows,
+    repeated ones included, and further columns stay as they are, but a column
+    named `ids` or `decoded` gives way. An empty table stays empty.
+    """
+    return _coded(df, tokenizer_file, text_col, "ids array<int>, decoded string", False, lambda ids, text: (ids, text))
+
 
+def digests(df, tokenizer_file, id_col="doc_id", text_col="text"):
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: what `encode` gives, hashed where it is made, so that neither ids
+    nor texts leave the tasks."""
+    def row(ids, text):
+        return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
-def digests(coded, id_col="doc_id"):
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what `encode` gave."""
-    return coded.select(
-        F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    done = _coded(df.select(id_col, text_col), tokenizer_file, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", True, row)
+    return done.drop(text_col)

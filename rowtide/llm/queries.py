@@ -106,8 +106,7 @@ def op7_line_dedup(spark, sf_dir):
 @query()
 def op8_bpe(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json")
-    return bpe.digests(coded)
+    return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
 def _phrase_sql(phrase):

@@ -353,12 +353,15 @@ def test_lines(spark, docs, empty):
 
 def test_bpe(docs, empty):
     library = Tokenizer.from_file(BPE_FILE)
-    for r in bpe.digests(bpe.encode(docs, BPE_FILE)).join(docs.select("doc_id", "text").distinct(), "doc_id").where("doc_id NOT IN (3, 7)").collect():
+    coded = bpe.encode(docs, BPE_FILE).select("doc_id", "text", "ids", "decoded").distinct()
+    for r in bpe.digests(docs, BPE_FILE).join(coded, "doc_id").where("doc_id NOT IN (3, 7)").collect():
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
-    assert bpe.encode(docs, BPE_FILE).count() == len(rows())
+        assert r["ids"] == ids and r["decoded"] == library.decode(ids, skip_special_tokens=False)
+    assert bpe.encode(docs, BPE_FILE).count() == bpe.digests(docs, BPE_FILE).count() == len(rows())
+    assert bpe.digests(docs, BPE_FILE).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert bpe.encode(empty, BPE_FILE).count() == 0
 
 
@@ -372,6 +375,22 @@ def test_bpe_on_noise():
         assert ids.tolist() == e and decoded == library.decode(e, skip_special_tokens=False)
 
 
+def test_bpe_merges_side_by_side(monkeypatch):
+    own = bpe.WordEndBPE(open(BPE_FILE, encoding="utf-8").read())
+    r = random.Random(2)
+    words = [own.letters_of("".join(r.choice("aeinrstthé.日") for _ in range(r.randrange(1, 40)))) for _ in range(3000)]
+    assert own.merge_all(words) == [own.merge(w) for w in words]
+    assert own.merge_all([]) == []
+    # Forgetting words changes nothing.
+    text = " ".join(f"wort{i % 50} {i}" for i in range(3000))
+    expected = own.encode([text])[0]
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 5)
+    monkeypatch.setattr(bpe, "GROUP_WORDS", 10)
+    again = bpe.WordEndBPE(open(BPE_FILE, encoding="utf-8").read(), decimal=True)
+    for _ in range(2):
+        assert again.encode(["x " + text[:100], text, text])[1:] == [(" ".join(map(str, expected[0].tolist())), expected[1])] * 2
+
+
 # 9
 
 def test_licenses(docs, empty, spark):

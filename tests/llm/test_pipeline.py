@@ -34,7 +34,7 @@ def lines(rows_, names):
 
 def test_all_are_registered():
     ours = {n: q for n, q in entry.queries().items() if n.startswith("op") or n == "pipeline"}
-    assert sorted(int(n[2:].split("_")[0]) for n in ours if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ours if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in ours and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
