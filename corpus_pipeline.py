@@ -35,7 +35,7 @@ def without_benchmark(spark, docs, sf_dir):
 
 def token_digests(spark, docs, sf_dir):
     """Ids and decoded text of what is left, as digests."""
-    return bpe.digests(bpe.encode(docs.select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json"))
+    return bpe.digests(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
 STAGES = [
