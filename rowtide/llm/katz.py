@@ -68,7 +68,7 @@ def unpacked_keys(data):
     return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
 
 
-BLOCK = "block long, ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, tokens binary, n long"
+BLOCK = "block long, ids array<string>, held array<boolean>, sizes array<int>, vocabulary binary, tokens binary, n long"
 
 
 def blocks(df, id_col, text_col, held):
@@ -87,9 +87,8 @@ def blocks(df, id_col, text_col, held):
     def run(batches):
         rows, size, seq = [], 0, 0
         for batch in batches:
-            ids = batch["id"].astype(object).where(batch["id"].notna(), None)
-            for i, t, h in zip(ids, batch["text"], batch["held"]):
-                rows.append((None if i is None else int(i), t, bool(h)))
+            for i, t, h in zip(batch["id"], batch["text"], batch["held"]):
+                rows.append((i, t, bool(h)))
                 size += len(t) if t else 0
                 if size >= BLOCK_BYTES:
                     yield pd.DataFrame([pack(seq, rows)])
@@ -97,7 +96,8 @@ def blocks(df, id_col, text_col, held):
         if rows:
             yield pd.DataFrame([pack(seq, rows)])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), held.alias("held")).mapInPandas(run, BLOCK)
+    # As text, ids stay as they are; numbers beside nulls would be rounded.
+    return df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), held.alias("held")).mapInPandas(run, BLOCK)
 
 
 def mix(a, b, level):
@@ -214,10 +214,10 @@ def kept_share(d, c):
     return np.where(c <= K, np.concatenate([[0.0], d])[np.minimum(c, K)], 1 - RESERVE)
 
 
-EVALUATED = ("kind int, block long, place int, id long, held boolean, n_tokens long, n_known long, base double, part double, "
+EVALUATED = ("kind int, block long, place int, id string, held boolean, n_tokens long, n_known long, base double, part double, "
              "level int, history long, seen double, lower double, times long")
 
-KINDS = {name: {"int": "Int64", "long": "Int64", "double": "float64", "boolean": "boolean"}[kind]
+KINDS = {name: {"int": "Int64", "long": "Int64", "double": "float64", "boolean": "boolean", "string": "object"}[kind]
          for name, kind in (x.split() for x in EVALUATED.split(", "))}
 
 
@@ -266,7 +266,7 @@ def evaluate(texts, answers, order, model):
         base = np.log10((c[1] + 1.0) / (model["tokens"] + 1.0 * (model["words"] + 1)))
         texts_in = len(g.sizes)
         of = lambda weights: np.bincount(g.text, weights, texts_in)
-        out.append(pd.DataFrame({"kind": 0, "block": block, "place": np.arange(texts_in), "id": pd.array(g.ids, "Int64"), "held": g.held,
+        out.append(pd.DataFrame({"kind": 0, "block": block, "place": np.arange(texts_in), "id": pd.array(g.ids, "object"), "held": g.held,
                                  "n_tokens": g.sizes, "n_known": of(c[1] > 0).astype(np.int64), "base": of(base), "part": of(part)}))
         return pd.concat([x.reindex(columns=list(KINDS)).astype(KINDS) for x in out], ignore_index=True)
 
@@ -310,5 +310,5 @@ def fit_and_score(df, held, order=ORDER, id_col="doc_id", text_col="text"):
     off = rows.where("kind = 2").select("block", "place", "level", "history", "times").join(rest, ["level", "history"])
     off = off.groupBy("block", "place").agg(F.sum(F.col("times") * F.col("a")).alias("off"))
     return rows.where("kind = 0").join(off, ["block", "place"], "left").select(
-        F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"), (F.col("part") + F.coalesce("off", F.lit(0.0))).alias("score"))

@@ -105,6 +105,7 @@ def test_katz(spark, order, monkeypatch):
     r = random.Random(order)
     given = [(i, " ".join(r.choice("a b c d e f g hh Ii jj".split()) for _ in range(r.randrange(12))), None, None) for i in range(60)]
     given += [x for x in rows() if x[1] is None or len(x[1]) < 1000]
+    given += [(2**60 + 1, "a b", None, None), (None, "b a", None, None), (-(2**60) - 1, "hh " * 2000, None, None)]
     found = katz.fit_and_score(frame(spark, given).repartition(3), remainder("doc_id", 7) == 2, order=order).collect()
     model = PlainKatz([t for _, t, _, _ in given], [crc(i) % 7 == 2 for i, *_ in given], order)
     expected = sorted(((str(i), model.score(t), len(t) - 1) for (i, *_), t in zip(given, model.texts)))
@@ -112,6 +113,10 @@ def test_katz(spark, order, monkeypatch):
     assert len(got) == len(expected)
     for a, b in zip(got, expected):
         assert a[0] == b[0] and a[2] == b[2] and a[1] == pytest.approx(b[1], abs=1e-9)
+    seen = Counter(w for (i, *_), t in zip(given, model.texts) if crc(i) % 7 != 2 for w in t[1:])
+    base = lambda t: sum(math.log10((seen[w] + 1) / (seen.total() + len(seen) + 1)) for w in t[1:])
+    plainly = sorted((str(i), sum(w in seen for w in t[1:]), round(base(t), 6)) for (i, *_), t in zip(given, model.texts))
+    assert sorted((str(x["doc_id"]), x["n_known"], round(x["base_score"], 6)) for x in found) == plainly
     for x in found:
         assert x["train_tokens"] == model.n
         assert x["held_out"] == (crc(x["doc_id"]) % 7 == 2)
