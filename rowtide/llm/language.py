@@ -98,16 +98,14 @@ class Profiles:
         return self.names[at], float(min(1.0, max(0.0, near[at])))
 
 
-def fit(df, lang_col="lang", text_col="text", id_col="doc_id", fit_rows=20_000, dim=DIM):
-    """Profiles from about `fit_rows` rows with a language (all, if fewer), chosen by a hash of the id.
+def fit(df, lang_col="lang", text_col="text", dim=DIM):
+    """Profiles from all rows with a language, so a language of a few texts gets its profile too.
 
-    Null languages and texts without letters teach nothing. Only sums per language
-    and dimension come to the driver.
+    Null languages and texts without letters teach nothing; repeated rows count
+    each. Only sums per language and dimension come to the driver. An empty table
+    gives no profiles.
     """
-    known = df.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"),
-                                                         F.col(text_col).alias("text"))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("lang", "text")
+    some = df.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def sums(batches):
         letters = Letters(dim)

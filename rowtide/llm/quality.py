@@ -20,7 +20,7 @@ from rowtide.llm.common import remainder, with_columns
 
 GRAMS = (2, 3, 4)
 AGAIN = 0  # the bucket of "equals the word before"
-LEAST_STEPS = 4_000
+STEPS = 48_000
 GROUP_WORDS = 100_000  # words taken apart at a time: a bound on memory
 
 
@@ -90,11 +90,12 @@ def word_scores(words, scores):
     return sums, counts
 
 
-def train(texts, labels, classes, buckets=2**18, dim=8, epochs=8, rate=0.5, seed=7):
+def train(texts, labels, classes, buckets=2**18, dim=8, steps=STEPS, rate=0.5, seed=7):
     """Fits vectors and output layer to labelled texts.
 
-    Each document is one step; the rate falls to zero over the epochs, which are
-    more if there are few texts. Without texts every class is equally likely.
+    Each step takes one document, all in turn in ever new orders; the rate falls to
+    zero over the `steps`, as many for any number of texts. Without texts every class
+    is equally likely.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
@@ -108,10 +109,9 @@ def train(texts, labels, classes, buckets=2**18, dim=8, epochs=8, rate=0.5, seed
                                return_counts=True)
         bags.append((idx, (times / max(1, times.sum())).astype(np.float32)))
     targets = np.array([classes.index(c) for c in labels], np.int64)
-    epochs = max(epochs, LEAST_STEPS // max(1, len(bags)))
-    steps, step = max(1, epochs * len(bags)), 0
-    for _ in range(epochs):
-        for i in rng.permutation(len(bags)):
+    step = 0
+    while bags and step < steps:
+        for i in rng.permutation(len(bags))[:steps - step]:
             idx, weight = bags[i]
             r = rate * (1 - step / steps)
             step += 1
@@ -130,16 +130,18 @@ def train(texts, labels, classes, buckets=2**18, dim=8, epochs=8, rate=0.5, seed
 
 
 def fit(docs, labels, label_col, id_col="doc_id", text_col="text", fit_rows=6000, **options):
-    """Trains on about `fit_rows` labelled documents (all, if there are fewer), chosen by a hash of the id.
+    """Trains on the `fit_rows` labels whose ids have the smallest hashes (on all, if there are fewer).
 
-    The bound holds for the training rows only, which are brought to the driver.
-    Rows without a label are left out; null texts count as empty.
+    The bound holds for the training rows only: no more than `fit_rows` rows, with
+    their whole texts, come to the driver, whatever the size of the tables. Rows
+    without a label are left out; null texts count as empty; of repeated ids every
+    row counts up to that number. Without any labelled row all texts score alike.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).dropna()
-    share = min(1.0, fit_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    order = [F.xxhash64("_id"), "_id", "_label"]
+    some = known.orderBy(*order).limit(fit_rows)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(some, "_id").orderBy(F.xxhash64("_id"), "_id", "_label", "_text").limit(2 * fit_rows).collect())
+            .join(some, "_id").orderBy(*order, "_text").limit(fit_rows).collect())
     classes = sorted({r["_label"] for r in rows})
     return train([r["_text"] for r in rows], [r["_label"] for r in rows], classes or [0, 1], **options)
 
