@@ -6,7 +6,7 @@ from rowtide.functions.joins import join_control
 from rowtide.functions.text import cells_of, image_json, joined_texts, texts
 from rowtide.operators.rules import TABLE, compile_rules
 from rowtide.operators.normalize import ROW_EVENTS
-from rowtide.schema import ORDER, UNREADABLE
+from rowtide.schema import COMMIT, ORDER, UNREADABLE
 
 # A block of the order: 16 MB of log, or a million snapshot rows.
 LOG_BLOCK = 1 << 24
@@ -150,8 +150,8 @@ def malformed(events):
     """Row events that no change, or not every change, can be made of: text that
     is no event, no image, or the odd image of an update."""
     n, kind = F.coalesce(F.size("rows"), F.lit(0)), F.col("event")
-    reason = (F.when(kind.isNull() | ~kind.isin(*ROW_EVENTS, "query"), UNREADABLE)
-              .when(kind == "query", F.lit(None)).when(n <= 0, "no image")
+    reason = (F.when(kind.isNull() | ~kind.isin(*ROW_EVENTS, "query", COMMIT), UNREADABLE)
+              .when(kind.isin("query", COMMIT), F.lit(None)).when(n <= 0, "no image")
               .when((kind == "update") & (n % 2 == 1), "odd image"))
     if "seg" not in events.columns:
         events = events.withColumn("seg", F.lit(0).cast("bigint"))

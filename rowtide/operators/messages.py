@@ -3,10 +3,16 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.joins import join_control
+from rowtide.functions.scan import row_number
 from rowtide.functions.text import (cell_text, cells_of, image_json, image_text, image_xml, json_quote,
                                     xml_escape)
+from rowtide.operators.commands import LOG_BLOCK, SNAPSHOT_BLOCK
 from rowtide.operators.rules import TABLE, message_plan, topic_map
 
+# Partitions of a topic, if nothing else is said.
+PARTITIONS = 16
+CHANNEL = ["topic", "partition"]
+
 # Fixed value: the root tag consumers of the XML form expect, as spelled.
 XML_ROOT = "contenet"
 
@@ -86,3 +92,43 @@ def ddl_messages(statements, default_topic, fmt="json"):
     return df.select(
         F.lit(default_topic).alias("topic"), F.lit(None).cast("string").alias("key"),
         value.alias("value"), "sid", "file", "pos", "event_time", "event_ord")
+
+
+def numbered(rows, ledger=None, partitions=PARTITIONS, log_block=LOG_BLOCK, snapshot_block=SNAPSHOT_BLOCK):
+    """Messages with `partition` and `seq`, their number in (topic, partition).
+
+    Rows of one key go to one partition, rows without a key by their server id, so
+    what must stay in order shares a partition, and `seq` follows the order of the
+    log there. `ledger` holds (topic, partition, next): numbering goes on where
+    earlier messages ended. Numbers are counted in blocks of the log, so a topic
+    with a single partition is numbered in many tasks.
+    """
+    place = F.pmod(F.xxhash64(F.coalesce("key", F.concat(F.lit("\0"), F.col("sid").cast("string")))), F.lit(partitions))
+    rows = rows.withColumns({"partition": place.cast("int"), "seg": F.coalesce("seg", F.lit(0).cast("bigint")),
+                             "row_ord": F.coalesce("row_ord", F.lit(0)), "file": F.coalesce("file", F.lit("")),
+                             "pos": F.coalesce("pos", F.lit(0).cast("bigint")), "event_ord": F.coalesce("event_ord", F.lit(0).cast("bigint"))})
+    # Blocks are a prefix of the order: a stretch of the log or, as the rows of a snapshot lie at one place, of events.
+    logged = (F.col("file") != "") & (F.col("seg") % 2 == 0)
+    rows = rows.withColumn("_blk", F.when(logged, F.floor(F.col("pos") / log_block)).otherwise(F.floor(F.col("event_ord") / snapshot_block)))
+    # Snapshot blocks span positions only if several snapshots share a file and segment: the position leads then.
+    rows = rows.withColumn("_at", F.when(logged, F.lit(0).cast("bigint")).otherwise(F.col("pos")))
+    made = row_number(rows, CHANNEL, ["seg", "file", "_at", "_blk"], ["pos", "event_ord", "row_ord", "sid", "value"], "seq").drop("_blk", "_at")
+    if ledger is None:
+        return made.withColumn("seq", F.col("seq") - 1)
+    made = join_control(made, ledger, CHANNEL, "left")
+    return made.withColumn("seq", F.col("seq") - 1 + F.coalesce("next", F.lit(0).cast("bigint"))).drop("next")
+
+
+def next_numbers(rows, ledger=None):
+    """The ledger after numbered rows: (topic, partition, next)."""
+    reached = rows.groupBy(*CHANNEL).agg((F.max("seq") + 1).alias("next"))
+    if ledger is None:
+        return reached
+    return reached.unionByName(ledger.select(*reached.columns)).groupBy(*CHANNEL).agg(F.max("next").alias("next"))
+
+
+def in_send_order(rows):
+    """Numbered messages as a sender must take them: each channel whole in one
+    task, by number. A channel is a serial log, so it has one writer at a time;
+    rows are sorted with spilling and pass by one after the other."""
+    return rows.repartition(*CHANNEL).sortWithinPartitions(*CHANNEL, "seq")

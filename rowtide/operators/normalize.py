@@ -2,6 +2,9 @@
 
 from pyspark.sql import Window, functions as F
 
+from rowtide.functions.joins import join_control
+from rowtide.schema import COMMIT
+
 # Fixed value: a transaction's buffer is sent early once it holds nine events.
 EARLY_CHUNK = 9
 # Rows of a transaction are numbered in blocks of this many event ordinals.
@@ -55,7 +58,8 @@ def deliver(raw, tx_block=TX_BLOCK):
 
     Events of a transaction wait for its commit, but nine waiting events leave
     early: without a position, the ninth also without a time. What is left at
-    the commit carries the commit position. Snapshot events are sent alone, and
+    the commit carries the commit's position: that of its mark if the feed has
+    commit marks (which are not delivered themselves), else of the last event. Snapshot events are sent alone, and
     so are events that belong to no known transaction, with their own position.
 
     Adds n (ordinal in the transaction), chunk_no, sent_file, sent_pos and
@@ -69,12 +73,13 @@ def deliver(raw, tx_block=TX_BLOCK):
     tx = raw.where(~snapshot & ~loose).withColumn("_blk", F.floor(ord / tx_block))
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    mark = F.col("event") == COMMIT
     stretches = tx.groupBy(*keys, *block).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.struct("file", "pos")).alias("_last")).select(
+        F.count(F.when(mark, None).otherwise(1)).alias("_n"), F.max(F.struct("file", "pos")).alias("_last")).select(
         *keys, *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"),
         F.sum("_n").over(whole).alias("_events"), F.max("_last").over(whole).alias("_commit"))
     inside = Window.partitionBy(*keys, *block).orderBy(ord, "file", "pos")
-    numbered = tx.join(stretches, keys + block).withColumn(
+    numbered = tx.where(~F.coalesce(mark, F.lit(False))).join(stretches, keys + block).withColumn(
         "n", F.row_number().over(inside).cast("bigint") + F.col("_carry"))
     n = F.col("n")
     chunk = F.floor((n - 1) / EARLY_CHUNK)
@@ -94,3 +99,22 @@ def deliver(raw, tx_block=TX_BLOCK):
         F.when(snapshot, F.lit(0)).otherwise(F.col("pos")).cast("bigint").alias("sent_pos"),
         F.when(snapshot, F.lit(0)).otherwise(F.col("event_time")).cast("bigint").alias("sent_time"))
     return sent.unionByName(alone)
+
+
+def commits(raw):
+    """Transactions whose commit mark is among the events: (sid, tx_id)."""
+    return raw.where((F.col("event") == COMMIT) & F.col("tx_id").isNotNull() & F.col("sid").isNotNull()).select("sid", "tx_id").distinct()
+
+
+def split_open(raw, done):
+    """(events that can go on, events that wait) of a feed with commit marks.
+
+    `done` are the `commits` known. Row events wait for the mark of their
+    transaction; snapshot rows, statements and events of no transaction never do.
+    """
+    snapshot = F.coalesce("is_snapshot", F.lit(False))
+    bound = ~snapshot & F.col("event").isin(*ROW_EVENTS, COMMIT) & F.col("tx_id").isNotNull() & F.col("sid").isNotNull()
+    bound = F.coalesce(bound, F.lit(False))
+    inside = raw.where(bound)
+    on = ["sid", "tx_id"]
+    return raw.where(~bound).unionByName(join_control(inside, done, on, "left_semi")), join_control(inside, done, on, "left_anti")

@@ -29,8 +29,29 @@ def _place():
     return F.struct(*ORDER)
 
 
+def types_of(commands):
+    """The target types among commands, at most as many as there are."""
+    return sorted(r[0] for r in commands.select("target_type").distinct().collect())
+
+
+def for_every_type(commands, types):
+    """Commands with what they mean for keys of other types.
+
+    A server has one entry under a key. Dropping the key drops it whatever its
+    type, and a plain value replaces it; so for each other type of `types` there
+    is a DEL at the same place. With one type there is nothing to add.
+    """
+    if len(types) < 2:
+        return commands
+    ends = (F.col("op") == "DEL") | (F.col("op") == "WRITE") & (F.col("target_type") == "string")
+    others = F.filter(F.array(*map(F.lit, types)), lambda t: t != F.col("target_type"))
+    empty = {c: F.lit(None).cast(commands.schema[c].dataType) for c in ("ttl", "value", "fields", "score") if c in commands.columns}
+    added = commands.where(ends).withColumns({"op": F.lit("DEL"), "_type": F.explode(others), **empty})
+    return commands.unionByName(added.withColumn("target_type", F.col("_type")).drop("_type"))
+
+
 def key_lines(commands, clocks=None):
-    """Life of each key in each block.
+    """Life of each key in each block, of commands `for_every_type`.
 
     `clocks` holds (key, clock): the latest time seen before these commands.
     """
@@ -202,7 +223,8 @@ def fold(commands, as_of):
     columns, so they are written once first.
     """
     commands = written(commands.sparkSession, commands)
-    return state_tables(resolve_keys(key_lines(commands)), item_lines(commands), as_of)
+    keys = resolve_keys(key_lines(for_every_type(commands, types_of(commands))))
+    return state_tables(keys, item_lines(commands), as_of)
 
 
 def encode(table, column, bytes_column):

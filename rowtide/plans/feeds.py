@@ -192,6 +192,10 @@ RULES = [
          target_key_prefix="page", target_key_columns="page_id"),
     dict(id=14, sid=SID, db="web", tb="documents", target_key_type="string", is_compress=4,
          target_key_prefix="doc", target_key_columns="doc_id"),
+    dict(id=15, sid=SID, db="shop", tb="user_state", target_key_type="string", refresh_type=0, operation=3,
+         target_key_prefix="uh", target_key_columns="user_id", filter_rule="status=signup"),
+    dict(id=16, sid=SID, db="shop", tb="user_state", target_key_type="string", operation=3,
+         target_key_prefix="us", target_key_columns="user_id", message_key_columns="user_id"),
 ]
 
 

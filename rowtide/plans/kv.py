@@ -70,6 +70,13 @@ def kv_invalidations(spark, sf_dir):
     return cmd.invalidations(commands(spark, sf_dir, 6))
 
 
+@query("kv_invalidate_any_type", with_feeds("a", HASH_ITEMS, user_commands(2, 15), LIFE, alive()))
+def kv_invalidate_any_type(spark, sf_dir):
+    """Hashes under keys that a rule of another type invalidates on sign-up."""
+    made = commands(spark, sf_dir, 2, 15)
+    return state.fold(made, last_time(spark, sf_dir))["hash"].drop("sid", "enc", "enc_level")
+
+
 HALF = f"(SELECT (min(floor(epoch(ts))::BIGINT) + max(floor(epoch(ts))::BIGINT)) // 2 FROM events)"
 
 
@@ -83,7 +90,7 @@ def kv_alive_asof(spark, sf_dir):
         F.min(feeds.seconds("ts")), F.max(feeds.seconds("ts"))).first()
     until = (lo + hi) // 2
     made = commands(spark, sf_dir, 1, 2, 4, 5, until=until)
-    keys = state.resolve_keys(state.key_lines(made))
+    keys = state.resolve_keys(state.key_lines(state.for_every_type(made, state.types_of(made))))
     return state.existing_keys(keys, state.item_lines(made), until).select("target_type", "target_key", "expires_at")
 
 

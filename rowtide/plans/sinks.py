@@ -1,13 +1,14 @@
 """Queries that run a feed through the stream and read the sinks."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rowtide.plans import feeds
 from rowtide.plans.feed import TX, query
 from rowtide.plans.kv import last_time
 from rowtide.plans.messages import USER_MESSAGE
 from rowtide.plans.sql import HASH_ITEMS, LIFE, MEMBER_ITEMS, STRING_ITEMS, alive, user_commands, with_feeds
-from rowtide.session import shared_folder
+from rowtide.schema import COMMIT
+from rowtide.session import shared_folder, written
 from rowtide.sources.feed import stream_events
 from rowtide.streaming.store import BOTH, KV, MESSAGES, Store, apply_batch, run_available
 
@@ -38,9 +39,67 @@ def streamed(spark, sf_dir, rule_ids, mode):
 
 
 @query("sink_messages", with_feeds("a", f"""
-SELECT 'all' AS topic, NULL AS key, {USER_MESSAGE} AS value FROM sent""", TX))
+SELECT 'all' AS topic, NULL AS key, {USER_MESSAGE} AS value,
+       row_number() OVER (ORDER BY file, pos) - 1 AS seq FROM sent""", TX))
 def sink_messages(spark, sf_dir):
-    return streamed(spark, sf_dir, (1,), MESSAGES).read("messages").select("topic", "key", "value")
+    """Messages without keys: one partition, numbered through all batches."""
+    return streamed(spark, sf_dir, (1,), MESSAGES).read("messages").select("topic", "key", "value", "seq")
+
+
+@query("sink_ordered_keys", with_feeds("a", f"""
+SELECT user_id::VARCHAR AS key, {USER_MESSAGE} AS value, 1 AS n_partitions,
+       row_number() OVER (PARTITION BY user_id ORDER BY file, pos) AS place,
+       (SELECT count(*) FROM sent) AS n_numbers FROM sent""", TX))
+def sink_ordered_keys(spark, sf_dir):
+    """Messages with keys: a key's messages lie in one partition in the order of the log, and the numbers of all
+    partitions leave no gap."""
+    sent = streamed(spark, sf_dir, (16,), MESSAGES).read("messages")
+    of_key = Window.partitionBy("key")
+    numbers = sent.groupBy("topic", "partition").agg((F.max("seq") - F.min("seq") + 1).alias("n")).agg(F.sum("n").alias("n_numbers"))
+    return sent.select("key", "value", F.size(F.collect_set("partition").over(of_key)).alias("n_partitions"),
+                       F.row_number().over(of_key.orderBy("seq")).cast("bigint").alias("place")).join(F.broadcast(numbers))
+
+
+COMMITTED = "50"  # how far after its last event a commit lies
+
+
+def cut_anywhere(spark, sf_dir):
+    """The feed of user_state with commit marks, as SLICES stretches that end inside transactions."""
+    feed = feeds.user_state(spark, sf_dir)
+    last = feeds.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    marks = feed.groupBy("sid", "tx_id").agg(F.max(F.struct("file", "pos", "event_time", "event_ord")).alias("e")).select(
+        "sid", "tx_id", F.lit(COMMIT).alias("event"), "e.file", (F.col("e.pos") + int(COMMITTED)).alias("pos"), "e.event_time",
+        (F.col("e.event_ord") + 1).alias("event_ord"))
+    feed = feed.unionByName(marks, allowMissingColumns=True)
+    feed = written(spark, feed)
+    number = F.substr(F.col("file"), F.lit(5)).cast("bigint") * 1000 + F.floor(F.col("pos") / 100)
+    cuts = [-1] + [last * (i + 1) // SLICES // 25 * 25 + 12 for i in range(SLICES - 1)] + [last]
+    return [feed.where((number > a) & (number <= b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def split_store(spark, sf_dir, rule_ids, mode):
+    store = Store(spark, f"{shared_folder(spark)}/sink")
+    for batch_id, part in enumerate(cut_anywhere(spark, sf_dir)):
+        apply_batch(store, part, batch_id, feeds.rules(spark, *rule_ids), mode=mode, topic="all", commit_marks=True)
+    return store
+
+
+COMMIT_TX = TX.replace("last_id % 1000 * 100 + 4", f"last_id % 1000 * 100 + 4 + {COMMITTED}")
+
+
+@query("sink_split_tx", with_feeds("a", f"""
+SELECT 'position' AS kind, tx_id, chunk_no, arg_min(sent_file, n) AS file, arg_min(sent_pos, n)::BIGINT AS pos,
+       arg_min(sent_time, n)::BIGINT AS event_time, NULL AS value
+FROM sent GROUP BY tx_id, chunk_no HAVING arg_min(sent_file, n) <> ''
+UNION ALL SELECT 'message', NULL, NULL, file, pos, t, {USER_MESSAGE} FROM sent""", COMMIT_TX))
+def sink_split_tx(spark, sf_dir):
+    """Batches end inside transactions; chunks and positions are those of whole transactions."""
+    store = split_store(spark, sf_dir, (1,), MESSAGES)
+    positions = store.read("positions").select(F.lit("position").alias("kind"), "tx_id", "chunk_no", "file", "pos", "event_time",
+                                               F.lit(None).cast("string").alias("value"))
+    none = F.lit(None).cast("bigint")
+    return positions.unionByName(store.read("messages").select(
+        F.lit("message").alias("kind"), none.alias("tx_id"), none.alias("chunk_no"), "file", "pos", "event_time", "value"))
 
 
 @query("sink_kv", with_feeds("a", HASH_ITEMS, user_commands(2, 12), LIFE, alive()))

@@ -69,6 +69,9 @@ def user_commands(*rules):
                  f"CASE WHEN kind <> 'delete' THEN {user_json()} END"),
             _cmd(5, 0, "string", "'bystatus:' || b_status || ':' || user_id", "'DEL'",
                  "kind = 'update' AND b_status <> status")],
+        # The rule is one for strings; what it drops are hashes. Of an update, the old image counts too.
+        15: [_cmd(15, 1, "hash", "'uh:' || user_id", "'DEL'", "status = 'signup'"),
+             _cmd(15, 0, "hash", "'uh:' || user_id", "'DEL'", "kind = 'update' AND b_status = 'signup' AND status <> 'signup'")],
         6: [_cmd(6, 1, "string", "'inv:' || user_id", "'DEL'", "true")],
     }
     lists[10] = [q.replace("SELECT 1 AS rule_id", "SELECT 10 AS rule_id") for q in lists[1]]

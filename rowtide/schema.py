@@ -11,7 +11,9 @@ CELL = T.StructType([
 ])
 IMAGE = T.ArrayType(CELL)
 
-# One line per row event, images still positional.
+# One line per row event, images still positional. A line of kind COMMIT closes
+# its transaction (sid, tx_id); its file and position are those of the commit.
+COMMIT = "commit"
 EVENTS_RAW = T.StructType([
     T.StructField("sid", T.IntegerType()),
     T.StructField("db", T.StringType()),

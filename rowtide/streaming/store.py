@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from rowtide.operators import state
 from rowtide.operators.commands import accepted, generate, malformed, refused, without_rule
 from rowtide.operators.ddl import published_statements
-from rowtide.operators.messages import ddl_messages, messages
-from rowtide.operators.normalize import deliver, normalize_events, to_changes
+from rowtide.operators.messages import PARTITIONS, ddl_messages, in_send_order, messages, next_numbers, numbered
+from rowtide.operators.normalize import commits, deliver, normalize_events, split_open, to_changes
 from rowtide.operators.positions import delivered_positions
-from rowtide.schema import KEY
+from rowtide.schema import COMMIT, KEY
+from rowtide.session import written
 from rowtide.sources.feed import monitored, unmonitored
 
 KV, MESSAGES, BOTH = 0, 1, 2
@@ -47,6 +48,12 @@ class Store:
                 return None
             raise
 
+    def before(self, table, batch_id):
+        """The newest part older than a batch, None if there is none."""
+        parts = self.read(table)
+        newest = None if parts is None else parts.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+        return None if newest is None else self.part(table, newest)
+
     def merged_to(self):
         """The newest batch a finished compaction covers, -1 if none."""
         done = self.read("merged")
@@ -65,6 +72,42 @@ class Store:
             return None if parts is None else parts.drop("batch_id")
         return self.merged(table, upto).unionByName(parts.where(F.col("batch_id") > upto).drop("batch_id"))
 
+    # -- transactions ----------------------------------------------------------
+
+    def whole_transactions(self, events, batch_id):
+        """The events of a batch that can go on, with those that waited for their commit mark.
+
+        What still waits is kept with the batch it came in and never written again.
+        The list of open transactions says how far back the kept events must be
+        read, which is seldom beyond the batch before: a log does not interleave
+        transactions.
+        """
+        done = written(self.spark, commits(events))
+        ready, waiting = split_open(events, done)
+        self.put("held", batch_id, waiting)
+        begun = self.part("held", batch_id).select("sid", "tx_id").distinct().withColumn("since", F.lit(batch_id).cast("bigint"))
+        # A line without a transaction, so that the newest list is found even if none is open.
+        begun = begun.unionByName(self.spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in begun.dtypes]))
+        still = self.before("open", batch_id)
+        if still is not None:
+            since = still.agg(F.min("since")).first()[0]
+            if since is not None:
+                kept = self.read("held").where((F.col("batch_id") >= since) & (F.col("batch_id") < batch_id)).drop("batch_id")
+                ready = ready.unionByName(split_open(kept, done)[0], allowMissingColumns=True)
+            begun = begun.unionByName(still)
+        begun = begun.groupBy("sid", "tx_id").agg(F.min("since").alias("since"))
+        self.put("open", batch_id, begun.join(done, ["sid", "tx_id"], "left_anti"))
+        return ready
+
+    # -- messages ---------------------------------------------------------------
+
+    def put_messages(self, rows, batch_id, partitions=PARTITIONS):
+        """Write a batch's messages with their numbers, then the ledger the next batch goes on from. A replay finds
+        the same ledger and gives the same numbers."""
+        ledger = self.before("ledger", batch_id)
+        self.put("messages", batch_id, numbered(written(self.spark, rows), ledger, partitions))
+        self.put("ledger", batch_id, next_numbers(self.part("messages", batch_id), ledger))
+
     # -- key-value sink ------------------------------------------------------
 
     def put_commands(self, commands, batch_id):
@@ -72,10 +115,14 @@ class Store:
         merged is left alone."""
         if batch_id <= self.merged_to():
             return
-        lo, hi = commands.agg(F.min("t"), F.max("t")).first()
+        lo, hi, types = commands.agg(F.min("t"), F.max("t"), F.collect_set("target_type")).first()
+        earlier = self.before("spans", batch_id)
+        types = sorted({*types, *(earlier.first()["types"] if earlier else ())})
         self.put("spans", batch_id, self.spark.range(1).select(
-            F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")))
-        self.put("keys", batch_id, state.key_lines(commands, self._clocks(commands, batch_id, lo)))
+            F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"),
+            F.array(*map(F.lit, types)).cast("array<string>").alias("types")))
+        ops = state.for_every_type(commands, types)
+        self.put("keys", batch_id, state.key_lines(ops, self._clocks(ops, batch_id, lo)))
         self.put("items", batch_id, state.item_lines(commands))
 
     def _clocks(self, commands, batch_id, lo):
@@ -121,19 +168,26 @@ class Store:
 
 
 def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, topic="changes", fmt="json",
-                send=None, hook=None):
+                send=None, hook=None, commit_marks=False, alters=False, partitions=PARTITIONS):
     """One micro-batch: events to the sinks, key-value first, then positions.
 
-    `send(df)` delivers message rows elsewhere (a Kafka writer, say); `hook(df)`
-    sees the commands. Of the statements (`query` events) only ALTERs of monitored
-    tables are published, see `ddl.published_statements`; all leave a position.
-    Positions are written last, so a crash repeats the batch. A micro-batch must
-    hold whole transactions and follow the log order; nothing here ensures that,
-    and a transaction cut by a batch is numbered and positioned per batch.
-    Snapshot events need `snapshot_time`, the time they count as written.
+    With `commit_marks` the feed closes each transaction by a line of kind "commit";
+    a batch may then cut transactions anywhere, and their events wait in the store
+    until the mark comes. Without, a micro-batch must hold whole transactions: one
+    that is cut is numbered and positioned per batch. Batches follow the log order.
+
+    Messages carry their number in (topic, partition), which goes on from batch to
+    batch; `send(df)` delivers them elsewhere (a Kafka writer, say) and gets each
+    partition of a topic as one run of rows in that order. `hook(df)` sees the
+    commands. Of the statements (`query` events), if `alters` is set, the ALTERs of
+    monitored tables are published, see `ddl.published_statements`; all leave a
+    position. Positions are written last, so a crash repeats the batch. Snapshot
+    events need `snapshot_time`, the time they count as written.
     """
+    if commit_marks:
+        events = store.whole_transactions(events, batch_id)
     statements = events.where(F.col("event") == "query")
-    published = published_statements(events, rules)
+    published = published_statements(events, rules) if alters else None
     events = events.drop("changed")
     known = monitored(events, rules)
     lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules).unionByName(malformed(events))
@@ -147,22 +201,23 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
         if hook:
             hook(commands)
     store.put("dead_letter", batch_id, lost)
-    sent = deliver(known)
+    sent = deliver(known.where(F.col("event") != COMMIT).unionByName(events.where(F.col("event") == COMMIT)))
     if mode in (MESSAGES, BOTH):
-        rows = messages(normalize_events(sent), rules, topic, fmt).unionByName(
-            ddl_messages(published, topic, fmt), allowMissingColumns=True)
-        store.put("messages", batch_id, rows)
+        rows = messages(normalize_events(sent), rules, topic, fmt)
+        if published is not None:
+            rows = rows.unionByName(ddl_messages(published, topic, fmt), allowMissingColumns=True)
+        store.put_messages(rows, batch_id, partitions)
         if send:
-            send(store.part("messages", batch_id))
+            send(in_send_order(store.part("messages", batch_id)))
     store.put("positions", batch_id, delivered_positions(sent).unionByName(
         statements.select("sid", "file", "pos", "event_time"), allowMissingColumns=True))
 
 
 def kafka_sender(**options):
-    """A `send` that writes topic, key and value through the Kafka connector.
-    Rows with one key go to one partition; the connector must be installed."""
+    """A `send` that writes topic, key, value and partition through the Kafka connector, which must be installed;
+    a topic needs as many partitions as `apply_batch` numbers."""
     def send(rows):
-        writer = rows.select("topic", "key", "value").write.format("kafka")
+        writer = rows.select("topic", "key", "value", "partition").write.format("kafka")
         for name, value in options.items():
             writer = writer.option(name.replace("_", "."), value)
         writer.save()

@@ -7,6 +7,14 @@ class Server:
         self.clock = {}
 
     def apply(self, c):
+        """What drops or replaces a key does so whatever its type."""
+        if c["op"] == "DEL" or c["op"] == "WRITE" and c["target_type"] == "string":
+            for kind in ("string", "hash", "set", "zset"):
+                if kind != c["target_type"]:
+                    self.apply_typed({**c, "target_type": kind, "op": "DEL"})
+        self.apply_typed(c)
+
+    def apply_typed(self, c):
         key = (c["target_type"], c["target_key"])
         now = self.clock[key] = max(self.clock.get(key, c["t"]), c["t"])
         entry = self.keys.get(key)

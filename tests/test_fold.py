@@ -21,10 +21,10 @@ SCHEMA = pa.schema([
     ("score", pa.float64()), ("ttl", pa.int64()), ("enc", pa.int32()), ("enc_level", pa.int32())])
 
 
-def random_commands(seed, n_keys, max_ops, step_back=0.1):
-    """Commands of many keys interleaved in one log of small blocks."""
+def random_commands(seed, n_keys, max_ops, step_back=0.1, names=None):
+    """Commands of many keys interleaved in one log of small blocks; with `names`, keys of several types share one."""
     rng = random.Random(seed)
-    keys = [(rng.choice(["string", "hash", "set", "zset"]), f"k{i}") for i in range(n_keys)]
+    keys = [(rng.choice(["string", "hash", "set", "zset"]), f"k{i % (names or n_keys)}") for i in range(n_keys)]
     pending = [k for k in keys for _ in range(rng.randint(1, max_ops))]
     rng.shuffle(pending)
     t, out = 100, []
@@ -96,6 +96,24 @@ def test_fold_of_few_hot_keys(spark):
         assert rows(state.fold(frame(spark, commands), as_of)) == expected(commands, as_of)
 
 
+def test_keys_of_several_types(spark):
+    """A key's drop by a rule of another type, and a plain value written over it, end what was there."""
+    commands = random_commands(21, 600, 12, names=150)
+    last = max(c["t"] for c in commands)
+    want = expected(commands, 0)
+    typed = {(kind, key) for kind, key, *_ in want}
+    assert len(typed) > len({key for _, key in typed}) // 2
+    for as_of in (112, last - 5):
+        assert rows(state.fold(frame(spark, commands), as_of)) == {r for r in want if r[-1] > as_of}
+    # In batches, the second of which has drops of one type only.
+    store = Store(spark, shared_folder(spark))
+    cut = len(commands) // 2
+    batches = [commands[:cut], [c for c in commands[cut:cut + 300] if c["target_type"] == "string"], commands[cut + 300:]]
+    for batch_id, batch in enumerate(batches):
+        store.put_commands(frame(spark, batch), batch_id)
+    assert rows(store.state(112)) == {r for r in expected([c for b in batches for c in b], 0) if r[-1] > 112}
+
+
 def test_any_split_into_batches_gives_the_same_state(spark):
     commands = random_commands(9, 300, 14)
     rng = random.Random(9)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import state
 from rowtide.operators.commands import kv_commands
-from rowtide.operators.normalize import normalize_events, to_changes
-from rowtide.schema import EVENTS_CHANGED, EVENTS_RAW, rules_df
+from rowtide.operators.messages import in_send_order, messages, numbered
+from rowtide.operators.normalize import deliver, normalize_events, to_changes
+from rowtide.operators.positions import delivered_positions
+from rowtide.schema import COMMIT, EVENTS_CHANGED, EVENTS_RAW, rules_df
 from rowtide.session import shared_folder
 from rowtide.sources.feed import stream_events
 from rowtide.streaming.store import BOTH, KV, MESSAGES, Store, apply_batch, run_available
@@ -61,7 +63,7 @@ def test_stream_equals_batch(spark):
     for a, b in ((0, 100), (100, 160), (160, 241)):
         spark.createDataFrame(data[a:b], EVENTS_RAW).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         run_available(spark, stream_events(spark, f"{folder}/in"), store, f"{folder}/checkpoint",
-                      lambda s: rules_df(s, RULES), mode=BOTH, send=lambda df: sent.append(df.count()))
+                      lambda s: rules_df(s, RULES), mode=BOTH, alters=True, send=lambda df: sent.append(df.count()))
     assert rows(store.state(AS_OF)) == want
     monitored = whole.where("tb = 't'").count()
     assert store.read("messages").count() == monitored + 1 == sum(sent)
@@ -97,7 +99,90 @@ def test_only_alters_of_monitored_tables_are_published(spark):
         spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}")
         store = Store(spark, f"{folder}/sink_{name}")
         run_available(spark, stream_events(spark, f"{folder}/{name}", schema=schema), store, f"{folder}/checkpoint_{name}",
-                      lambda s: rules_df(s, RULES), mode=MESSAGES)
+                      lambda s: rules_df(s, RULES), mode=MESSAGES, alters=True)
         found = {r.pos: r.value for r in store.read("messages").collect()}
         assert found.keys() == want.keys() and all(f'"query":"{text}"' in found[pos] for pos, text in want.items())
         assert store.read("positions").agg(F.max("pos")).first()[0] == len(data)
+
+
+KEYED = [dict(id=1, sid=1, db="d", tb="t", target_key_type="string", target_key_prefix="k", message_key_columns="id"),
+         dict(id=2, sid=1, db="d", tb="other", target_key_type="string", target_key_prefix="o")]
+
+
+def test_messages_are_sent_in_order(spark):
+    """Three batches and a replay: numbers go on without gaps, and what a sender gets is in their order."""
+    data, rules = feed(3, 240), rules_df(spark, KEYED)
+    store, sent = Store(spark, shared_folder(spark)), []
+    parts = [spark.createDataFrame(data[a:b], EVENTS_RAW).coalesce(2) for a, b in ((0, 100), (100, 160), (160, 240))]
+    for batch_id in (0, 1, 1, 2):
+        apply_batch(store, parts[batch_id], batch_id, rules, mode=MESSAGES, partitions=4, send=lambda df: sent.append(
+            [r.asDict() for r in df.collect()]))
+    assert sorted(sent[1], key=str) == sorted(sent[2], key=str)
+    taken = sent[0] + sent[2] + sent[3]
+    assert len(taken) == 240
+    channels, keys = {}, {}
+    for r in taken:
+        channels.setdefault((r["topic"], r["partition"]), []).append(r)
+        keys.setdefault(r["key"], set()).add(r["partition"])
+    assert len(channels) > 1 and all(len(p) == 1 for p in keys.values())
+    for rows_ in channels.values():
+        assert [r["seq"] for r in rows_] == list(range(len(rows_)))
+        places = [(r["file"], r["pos"]) for r in rows_]
+        assert places == sorted(places)
+    assert store.read("messages").count() == 240
+
+
+def test_numbers_do_not_depend_on_blocks(spark):
+    events = normalize_events(deliver(spark.createDataFrame(feed(4, 120), EVENTS_RAW)))
+    rows_ = messages(events, rules_df(spark, KEYED), "all")
+    whole = {(r.file, r.pos): (r.partition, r.seq) for r in numbered(rows_, partitions=2).collect()}
+    ledger = spark.createDataFrame([("all", 0, 1000), ("all", 1, 5000)], "topic string, partition int, next bigint")
+    small = {(r.file, r.pos): (r.partition, r.seq) for r in in_send_order(numbered(rows_, ledger, 2, log_block=30)).collect()}
+    assert len(whole) == 120 and small == {k: (p, n + (1000, 5000)[p]) for k, (p, n) in whole.items()}
+
+
+def with_marks(data, last_pos=7):
+    """The events of a feed, each transaction closed by a commit mark."""
+    out = []
+    for i, e in enumerate(data):
+        out.append(e)
+        if i + 1 == len(data) or data[i + 1][7] != e[7]:
+            out.append((e[0], None, None, COMMIT, e[4], e[5] + last_pos, e[6], e[7], e[8] + 1, False, None, None, None))
+    return out
+
+
+def test_transactions_cut_by_batches(spark):
+    """Transactions of two servers, cut anywhere, come out as if their batch had held them whole."""
+    one = feed(6, 150)
+    two = [(2, "d", "t", *e[3:]) for e in feed(7, 60)]
+    long = [(1, "d", "t", "insert", "f900", i, 5000, 900, i + 1, False, [("id", "int")], [[str(i)]], None) for i in range(31)]
+    log = with_marks(one + long) + with_marks(two)
+    loose = [(1, "d", "t", "insert", "f950", 1, 6000, None, None, False, [("id", "int")], [["5"]], None)]
+    rules = rules_df(spark, [{**r, "sid": sid} for sid in (1, 2) for r in KEYED])
+    whole = deliver(spark.createDataFrame(log + loose, EVENTS_RAW))
+    assert whole.where("event = 'commit'").count() == 0
+    assert whole.where("tx_id = 900 AND n > 27").agg(F.min("sent_pos"), F.max("sent_pos")).first()[:] == (37, 37)
+    positions = {tuple(r) for r in delivered_positions(whole).collect()}
+    values = sorted(r.value for r in messages(normalize_events(whole), rules, "changes").collect())
+    store = Store(spark, shared_folder(spark))
+    log += loose
+    inside = next(i for i, e in enumerate(log) if e[7] == 900) + 10
+    # The third batch begins with a mark alone, the fourth is cut inside the long transaction.
+    cuts = [0, 33, next(i for i, e in enumerate(log) if i > 90 and e[3] == COMMIT), inside, len(log)]
+    for batch_id, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        for _ in range(1 + (batch_id == 2)):  # one batch is repeated
+            events = spark.createDataFrame(log[a:b], EVENTS_RAW).coalesce(1)
+            apply_batch(store, events, batch_id, rules, mode=MESSAGES, commit_marks=True)
+    assert sorted(r.value for r in store.read("messages").collect()) == values
+    names = ["sid", "tx_id", "chunk_no", "file", "pos", "event_time"]
+    got = [tuple(r) for r in store.read("positions").select(*names).collect()]
+    assert len(got) == len(positions) and set(got) == positions
+    assert store.before("open", 99).where("tx_id IS NOT NULL").count() == 0
+    assert store.read("dead_letter").count() == 0
+
+
+def test_alters_are_off_unless_asked_for(spark):
+    text = (1, "d", "", "query", "f001", 1, 0, None, 0, False, None, None, "ALTER TABLE t ADD c INT")
+    store = Store(spark, shared_folder(spark))
+    apply_batch(store, spark.createDataFrame([text], EVENTS_RAW), 0, rules_df(spark, RULES), mode=MESSAGES)
+    assert store.read("messages").count() == 0 and store.read("positions").count() == 1
