@@ -22,10 +22,10 @@ from rowtide.sources import feed as src
 
 
 def raw_event(**over):
-    base = dict(sid=20, db="school", tb="class", event="update", file="mysql-bin.000011", pos=1549, event_time=7,
+    base = dict(sid=31, db="depot", tb="shelf", event="update", file="log.000040", pos=9120, event_time=7,
                 tx_id=1, event_ord=1, is_snapshot=False,
                 table_columns=[("id", "int"), ("name", "string")],
-                rows=[["1", "lbg"], ["1", "lxp"], ["2", "hxj"], ["2", "hxf"]], query=None)
+                rows=[["1", "ada"], ["1", "bea"], ["2", "cid"], ["2", "dov"]], query=None)
     return tuple({**base, **over}[n] for n in EVENTS_RAW.fieldNames())
 
 
@@ -70,34 +70,34 @@ def test_image_json_orders_keys_and_keeps_nulls(spark):
 
 
 def test_sample_update_message(spark):
-    rules = rules_df(spark, [dict(id=1, sid=20, db="school", tb="class")])
+    rules = rules_df(spark, [dict(id=1, sid=31, db="depot", tb="shelf")])
     df = normalize_events(events(spark, {}))
     got = one(messages(df, rules, "t"))
     assert got.topic == "t" and got.key is None
     assert json.loads(got.value) == {
-        "sid": 20, "dbname": "school", "tbname": "class", "filename": "mysql-bin.000011", "position": 1549,
+        "sid": 31, "dbname": "depot", "tbname": "shelf", "filename": "log.000040", "position": 9120,
         "event_time": 7, "event": "update",
-        "columns": [{"id": 1, "name": "lxp"}, {"id": 1, "name": "lbg"}, {"id": 2, "name": "hxf"}, {"id": 2, "name": "hxj"}]}
+        "columns": [{"id": 1, "name": "bea"}, {"id": 1, "name": "ada"}, {"id": 2, "name": "dov"}, {"id": 2, "name": "cid"}]}
     assert list(json.loads(got.value))[:4] == ["sid", "dbname", "tbname", "filename"]
     root = ET.fromstring(one(messages(df, rules, "t", fmt="xml")).value)
     assert root.tag == "contenet"
-    assert [[(c.get("name"), c.text) for c in g] for g in root.findall("columns")][0] == [("id", "1"), ("name", "lxp")]
+    assert [[(c.get("name"), c.text) for c in g] for g in root.findall("columns")][0] == [("id", "1"), ("name", "bea")]
     assert len(root.findall("columns")) == 4
 
 
 def test_messages_without_rules_are_whole_events(spark):
-    rules = rules_df(spark, [dict(id=1, sid=20, db="x", tb="y")])
+    rules = rules_df(spark, [dict(id=1, sid=31, db="x", tb="y")])
     assert messages(normalize_events(events(spark, {})), rules, "t").count() == 1
 
 
 def test_row_split_key_and_topic(spark):
     rules = rules_df(spark, [
-        dict(id=1, sid=20, db="school", tb="class", message_key_columns="name, id",
+        dict(id=1, sid=31, db="depot", tb="shelf", message_key_columns="name, id",
              message_topic_rule='{"column_name":"id","topic_rule":{"1":"old"}}'),
-        dict(id=2, sid=20, db="school", tb="class",
+        dict(id=2, sid=31, db="depot", tb="shelf",
              message_topic_rule='{"column_name":"id","topic_rule":{"1":"one"}}')])
     got = messages(normalize_events(events(spark, {})), rules, "rest").orderBy("row_ord").collect()
-    assert [(r.topic, r.key) for r in got] == [("one", "lxp:1"), ("rest", "hxf:2")]
+    assert [(r.topic, r.key) for r in got] == [("one", "bea:1"), ("rest", "dov:2")]
     assert [len(json.loads(r.value)["columns"]) for r in got] == [2, 2]
 
 
@@ -124,14 +124,14 @@ def test_transaction_chunks(spark):
 
 
 FILTER_CASES = {
-    "": (True, True), "name=lxp": (True, False), " name = lxp , id=1": (True, False), "nosuch=1": (True, True),
+    "": (True, True), "name=bea": (True, False), " name = bea , id=1": (True, False), "nosuch=1": (True, True),
     "id=9": (False, False), "broken": (True, True), "id=9,broken": (False, False), "broken,id=9": (True, True),
     "id=1=1,id=9": (True, True), " ": (True, True),
 }
 
 
 def test_filter_reading_order(spark):
-    rules = rules_df(spark, [dict(id=i, sid=20, db="school", tb="class", target_key_type="string", filter_rule=f)
+    rules = rules_df(spark, [dict(id=i, sid=31, db="depot", tb="shelf", target_key_type="string", filter_rule=f)
                              for i, f in enumerate(FILTER_CASES)])
     df = cmd.fan_out(to_changes(normalize_events(events(spark, {}))), rules)
     got = {}
@@ -141,7 +141,7 @@ def test_filter_reading_order(spark):
 
 
 def made(spark, rule, *rows):
-    rules = rules_df(spark, [dict(dict(id=1, sid=20, db="school", tb="class", target_key_type="string",
+    rules = rules_df(spark, [dict(dict(id=1, sid=31, db="depot", tb="shelf", target_key_type="string",
                                        target_key_prefix="p", target_key_columns="id"), **rule)])
     return cmd.kv_commands(to_changes(normalize_events(events(spark, *rows))), rules)
 
@@ -234,7 +234,7 @@ def test_statements(spark):
 
 
 def test_resync_list(spark):
-    assert src.parse_table_list("lxp1.lxp1, lxp.order_info,bad,a.b.c,") == [("lxp1", "lxp1"), ("lxp", "order_info")]
+    assert src.parse_table_list("depot.shelf, yard.gate_log,bad,a.b.c,") == [("depot", "shelf"), ("yard", "gate_log")]
 
 
 def test_json_feed(spark):
