@@ -1,22 +1,23 @@
 """Finds licence statements: known phrases word by word, and text blocks that contain a template.
 
-A block (a line) contains a template if at least a given share of the template's
-words are among its own. The join that finds them is exact: words are ordered by
-how often they occur in all documents, the rarest first; a block with at least
-`need` of a template's n words has one of the first n - need + 1 in that order, so
-blocks meet templates on those only. Of a pair's common prefix words the first one
-counts. Blocks with fewer than `need` different words and matches with fewer than
-`need` template words from there on fall away before the words are compared.
-
-A span is free of lines: up to 1 / share times as many words as the template has,
-wherever notices are wrapped. Spans are looked for around the same rare words. One
-within a span of a template that has all these words and more is no statement of
+A block is a span of a text's words, free of lines, since notices are wrapped: up to
+1 / share times as many words as the template has. It contains the template if at
+least a given share of the template's words are among its own. The join that finds
+the blocks is exact: words are ordered by how often they occur in all documents, the
+rarest first; a span with at least `need` of a template's n words has one of the first
+n - need + 1 in that order, so texts meet templates on those only (prefix). Too few
+words around the place fall away (length), and so do places around which fewer than
+`need` template words stand from the met one on in the order (position): a span is
+found from the rarest template word it holds. What is left is compared word by word.
+
+A span within one of a template that has all these words and more is no statement of
 its own ("CC BY" in "CC BY-NC").
 """
 
 from functools import reduce
 from operator import and_
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import plain_words, row_key
@@ -39,7 +40,7 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 ]
 SHARE = 0.9
-TEMPLATE_BYTES = 8 * 2**20  # the templates are sent to all tasks
+TEMPLATE_BYTES = 2**20  # templates sent to all tasks at a time
 STRETCH = 4096  # words of a text that are searched at a time
 
 
@@ -52,20 +53,27 @@ def phrase_places(words, size, phrase):
     return F.when(some & (size >= len(parts)), stands).otherwise(F.array().cast("array<int>"))
 
 
+def in_blocks(rows, key, size):
+    """`rows` in parts of about TEMPLATE_BYTES by the hash of `key`, each small enough for every task to hold."""
+    blocks = (rows.agg(F.sum(size)).first()[0] or 0) // TEMPLATE_BYTES + 1
+    for b in range(blocks):
+        yield rows if blocks == 1 else rows.where(F.pmod(F.xxhash64(*key), F.lit(blocks)) == b)
+
+
 def ordered_templates(df, templates, share, text_col):
-    """(template, label, words, need, prefix, reach): different words, the rarest in all documents first.
+    """(template, label, reach, words, need, prefix): different words, the rarest in all documents first.
 
     `reach` is the number of words a span may have.
     """
     spark = df.sparkSession
-    if sum(len(t) for _, t in templates) > TEMPLATE_BYTES:
-        raise ValueError("more templates than fit into one task")
     given = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, text string")
     given = given.select("template", "label", plain_words(F.col("text")).alias("all")).where(F.size("all") > 0)
     given = given.select("template", "label", F.array_distinct("all").alias("words"), F.ceil(F.size("all") / F.lit(share)).cast("int").alias("reach"))
     # How often each template word occurs in all documents.
-    wanted = F.broadcast(given.select(F.explode("words").alias("word")).distinct())
-    often = df.select(F.explode(plain_words(F.col(text_col))).alias("word")).join(wanted, "word").groupBy("word").agg(F.count("*").alias("often"))
+    wanted, often = written(spark, given.select(F.explode("words").alias("word")).distinct()), None
+    for part in in_blocks(wanted, ["word"], F.octet_length("word") + 32):
+        counted = df.select(F.explode(plain_words(F.col(text_col))).alias("word")).join(F.broadcast(part), "word").groupBy("word").agg(F.count("*").alias("often"))
+        often = counted if often is None else often.unionAll(counted)
     ordered = given.select("template", "label", "reach", F.explode("words").alias("word")).join(often, "word", "left").groupBy("template", "label", "reach").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "word"))).alias("o"))
     need = F.ceil(F.size("words") * F.lit(share)).cast("int")
@@ -73,23 +81,6 @@ def ordered_templates(df, templates, share, text_col):
     return ordered.withColumn("prefix", F.slice("words", F.lit(1), F.size("words") - F.col("need") + 1))
 
 
-def template_blocks(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text"):
-    """(key, block, label, containment): every line that holds at least `share` of the words of a template.
-
-    `key` names the row (`row_key`), `block` counts its lines from 0.
-    """
-    ordered = ordered_templates(df, templates, share, text_col).drop("reach")
-    ordered = written(df.sparkSession, ordered.select("*", F.posexplode("prefix").alias("at", "word")))
-
-    blocks = df.select(row_key(id_col, text_col).alias("key"), F.posexplode(F.split(text_col, "\n")).alias("block", "line"))
-    blocks = blocks.select("key", "block", F.array_distinct(plain_words(F.col("line"))).alias("own"))
-    met = blocks.select("key", "block", "own", F.explode("own").alias("word")).join(F.broadcast(ordered), "word")
-    met = met.where((F.size("own") >= F.col("need")) & (F.size("words") - F.col("at") >= F.col("need")))
-    met = met.where(F.get(F.array_intersect("prefix", "own"), F.lit(0)) == F.col("word"))
-    common = F.size(F.array_intersect("words", "own"))
-    return met.where(common >= F.col("need")).select("key", "block", "label", (common / F.size("words")).alias("containment"))
-
-
 def spans_from(own, starts, words, need, reach):
     """Array of (start, end, n): spans of `own` that begin at one of `starts` with a template word and hold `need` of them.
 
@@ -108,27 +99,13 @@ def up_to(low, high):
     return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
 
-def template_spans(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text"):
-    """(key, start, end, label, containment): spans of a text's words, over line breaks, that hold at least `share` of a template's.
-
-    `key` names the row (`row_key`); words count from 0. A span begins with a template
-    word, looks at `reach` words and ends with the last different template word found.
-    Spans within one of a template with the same words and more are left out. A span
-    may come several times.
-    """
-    spark = df.sparkSession
-    ordered = written(spark, ordered_templates(df, templates, share, text_col))
-    outer = ordered.select(F.struct("words", "need", "reach").alias("o"), F.explode("words").alias("word"))
-    larger = ordered.select("template", "words", F.get("words", F.lit(0)).alias("word")).join(outer, "word").where(
-        (F.size("o.words") > F.size("words")) & (F.size(F.array_except("words", "o.words")) == 0))
-    larger = larger.groupBy("template").agg(F.collect_list("o").alias("larger"))
-    marks = written(spark, ordered.join(larger, "template", "left").select("*", F.explode("prefix").alias("word")))
+def spans_of(texts, marks):
+    """The spans of `texts` that hold the templates of `marks`, which are few enough for every task."""
     rare = [r["word"] for r in marks.select("word").distinct().collect()]
     # From a rare word a span reaches this far, and a span around that one as far again.
     far = 2 * (marks.agg(F.max("reach")).first()[0] or 0)
 
     own = F.col("own")
-    texts = df.select(row_key(id_col, text_col).alias("key"), plain_words(F.col(text_col)).alias("own")).where(F.size("own") > 0)
     parts = F.transform(F.sequence(F.lit(0), F.size(own) - 1, F.lit(STRETCH)), lambda a: F.struct(
         a.alias("a"), F.greatest(a - far, F.lit(0)).alias("first"),
         F.slice(own, F.greatest(a - far, F.lit(0)) + 1, STRETCH + 2 * far).alias("own")))
@@ -141,7 +118,9 @@ def template_spans(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_c
     met = met.join(F.broadcast(marks.drop("template", "prefix")), "word")
     at, reach = F.col("at"), F.col("reach")
     around = F.slice(own, F.greatest(at - reach + 1, F.lit(0)) + 1, 2 * reach - 1)
-    met = met.where(F.size(F.array_intersect("words", around)) >= F.col("need"))
+    met = met.where(F.size(around) >= F.col("need"))
+    from_here = F.slice("words", F.col("place") + 1, F.size("words"))
+    met = met.where(F.size(F.array_intersect(from_here, around)) >= F.col("need"))
     spans = spans_from(own, up_to(at - reach + 1, at), F.col("words"), F.col("need"), reach)
     met = met.select("*", F.explode(spans).alias("s"))
     start, end = F.col("s.start"), F.col("s.end")
@@ -151,14 +130,37 @@ def template_spans(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_c
         "key", (F.col("first") + start).alias("start"), (F.col("first") + end).alias("end"), "label", (F.col("s.n") / F.size("words")).alias("containment"))
 
 
-def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text", contained=template_blocks):
+def template_spans(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text"):
+    """(key, start, end, label, containment): spans of a text's words, over line breaks, that hold at least `share` of a template's.
+
+    `key` names the row (`row_key`); words count from 0. A span begins with a template
+    word, looks at `reach` words and ends with the last different template word found.
+    Spans within one of a template with the same words and more are left out. A span
+    may come several times. Templates are taken in blocks of TEMPLATE_BYTES, each
+    with its own pass over the texts; texts of any length are searched in stretches.
+    Null and wordless texts, an empty table and templates without words give no spans.
+    """
+    spark = df.sparkSession
+    ordered = written(spark, ordered_templates(df, templates, share, text_col))
+    outer = ordered.select(F.struct("words", "need", "reach").alias("o"), F.explode("words").alias("word"))
+    larger = ordered.select("template", "words", F.get("words", F.lit(0)).alias("word")).join(outer, "word").where(
+        (F.size("o.words") > F.size("words")) & (F.size(F.array_except("words", "o.words")) == 0))
+    larger = larger.groupBy("template").agg(F.collect_list("o").alias("larger"))
+    marks = written(spark, ordered.join(larger, "template", "left").select("*", F.posexplode("prefix").alias("place", "word")))
+    texts = df.select(row_key(id_col, text_col).alias("key"), plain_words(F.col(text_col)).alias("own")).where(F.size("own") > 0)
+    return reduce(DataFrame.unionAll, [spans_of(texts, part) for part in in_blocks(
+        marks, ["template", "word"], F.octet_length(F.to_json(F.struct("*"))))])
+
+
+def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text"):
     """One row per row of `df`: id, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score`.
 
     `n_base` counts the places of all phrases; `first_word` and `last_word` are the
     smallest and largest, null without any. Label lists are sorted and joined by
-    commas; `labels` adds those of contained templates. The score is 1 with a
-    phrase, else the best containment found, else 0. `contained` finds the templates,
-    in lines or (`template_spans`) anywhere. Null counts as the empty text; further columns are not returned, repeated rows each get their row.
+    commas; `labels` adds those of contained templates (`template_spans`). The score is
+    1 with a phrase, else the best containment found, else 0. Null counts as the empty
+    text; further columns are not returned, repeated rows each get their row, an empty
+    table gives none. Texts of any length are read whole.
     """
     none = F.array().cast("array<string>")
     rows = df.select(F.col(id_col), row_key(id_col, text_col).alias("key"), plain_words(F.col(text_col)).alias("words"))
@@ -169,7 +171,7 @@ def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id",
     base = F.concat(*[F.when(F.size(f"_p{i}") > 0, F.array(F.lit(label))).otherwise(none) for i, (_, label) in enumerate(phrases)])
     rows = rows.select(id_col, "key", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"),
                        F.array_max(places).cast("long").alias("last_word"), F.array_sort(F.array_distinct(base)).alias("base"))
-    more = contained(df, templates, share, id_col, text_col).groupBy("key").agg(
+    more = template_spans(df, templates, share, id_col, text_col).groupBy("key").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     more = more.select(F.col("key.id").alias("_i"), F.col("key.h").alias("_h"), F.col("key.n").alias("_n"), "more", "best")
     same = F.col("key.id").eqNullSafe(F.col("_i")) & (F.col("key.h") == F.col("_h")) & (F.col("key.n") == F.col("_n"))

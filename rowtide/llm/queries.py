@@ -114,19 +114,29 @@ def _phrase_sql(phrase):
     return f"list_filter(range(len(words)), lambda i: {stands})"
 
 
+def _statements_sql():
+    """CTEs `d` (documents as words) and `m` (doc_id, s, e, label, c): the spans that state a licence."""
+    values = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES)
+    return f"""d AS (SELECT doc_id, {WORDS_SQL.format('text')} AS words FROM documents),
+t0 AS (SELECT label, {WORDS_SQL.format('text')} AS every FROM (VALUES {values}) v(label, text)),
+t AS (SELECT label, list_distinct(every) AS words, ceil(len(list_distinct(every)) * {licenses.SHARE}) AS need,
+             ceil(len(every) / {licenses.SHARE})::BIGINT AS reach FROM t0),
+w AS (SELECT doc_id, label, t.words, need, s, d.words[s + 1:s + reach] AS win
+      FROM (SELECT doc_id, words, unnest(range(len(words))) AS s FROM d) d JOIN t ON list_contains(t.words, d.words[s + 1])),
+f AS (SELECT *, list_intersect(words, win) AS got FROM w WHERE len(list_intersect(words, win)) >= need),
+g AS (SELECT doc_id, label, words, s, s + list_max(list_transform(got, lambda x: list_position(win, x))) - 1 AS e, len(got) / len(words) AS c FROM f),
+m AS (SELECT doc_id, s, e, label, c FROM g WHERE NOT EXISTS (SELECT 1 FROM g o WHERE o.doc_id = g.doc_id AND o.s <= g.s AND o.e >= g.e
+      AND len(o.words) > len(g.words) AND len(list_intersect(o.words, g.words)) = len(g.words)))"""
+
+
 def _license_sql():
     places = {label: _phrase_sql(p) for p, label in licenses.PHRASES}
     every = "list_concat(" * (len(places) - 1) + f"p_{licenses.PHRASES[0][1]}" + "".join(f", p_{x})" for _, x in licenses.PHRASES[1:])
-    values = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES)
     base = " UNION ALL ".join(f"SELECT doc_id, '{x}' AS label FROM b WHERE len(p_{x}) > 0" for _, x in licenses.PHRASES)
     return f"""
-WITH d AS (SELECT doc_id, text, {WORDS_SQL.format('text')} AS words FROM documents),
+WITH {_statements_sql()},
 b AS (SELECT doc_id, len(words)::BIGINT AS n_words, {', '.join(f'{sql} AS p_{x}' for x, sql in places.items())} FROM d),
 p AS (SELECT doc_id, n_words, {every} AS places FROM b),
-t AS (SELECT label, list_distinct({WORDS_SQL.format('text')}) AS words FROM (VALUES {values}) v(label, text)),
-l AS (SELECT doc_id, {WORDS_SQL.format('line')} AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
-m AS (SELECT doc_id, label, len(list_intersect(t.words, l.words)) / len(t.words) AS c FROM l, t
-      WHERE len(list_intersect(t.words, l.words)) >= ceil(len(t.words) * {licenses.SHARE})),
 bl AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base}) GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base} UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id),
 s AS (SELECT doc_id, max(c) AS c FROM m GROUP BY doc_id)
@@ -142,26 +152,14 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-def _statement_sql():
-    """The SQL of the line-wise query with the templates found in spans instead."""
-    per_line, rest = _license_sql().split("t AS (SELECT", 1)
-    values = rest.split("FROM (VALUES ", 1)[1].split(") v(label, text)", 1)[0]
-    return per_line + f"""t0 AS (SELECT row_number() OVER () AS template, label, {WORDS_SQL.format('text')} AS every FROM (VALUES {values}) v(label, text)),
-t AS (SELECT template, label, list_distinct(every) AS words, ceil(len(list_distinct(every)) * {licenses.SHARE}) AS need,
-             ceil(len(every) / {licenses.SHARE})::BIGINT AS reach FROM t0),
-w AS (SELECT doc_id, template, label, t.words, need, s, d.words[s + 1:s + reach] AS win
-      FROM (SELECT doc_id, words, unnest(range(len(words))) AS s FROM d) d JOIN t ON list_contains(t.words, d.words[s + 1])),
-f AS (SELECT *, list_intersect(words, win) AS got FROM w WHERE len(list_intersect(words, win)) >= need),
-g AS (SELECT doc_id, template, label, words, s, s + list_max(list_transform(got, lambda x: list_position(win, x))) - 1 AS e, len(got) / len(words) AS c FROM f),
-m AS (SELECT doc_id, label, c FROM g WHERE NOT EXISTS (SELECT 1 FROM g o WHERE o.doc_id = g.doc_id AND o.s <= g.s AND o.e >= g.e
-      AND len(o.words) > len(g.words) AND len(list_intersect(o.words, g.words)) = len(g.words))),
-bl AS (SELECT""" + rest.split("bl AS (SELECT", 1)[1]
-
-
-@query(_statement_sql())
+@query(f"""
+WITH {_statements_sql()}
+SELECT DISTINCT doc_id, s::BIGINT AS first_word, e::BIGINT AS last_word, label, c::DOUBLE AS containment FROM m""")
 def license_statements(spark, sf_dir):
-    """As op9_licenses, with licence statements found over line breaks and only the fullest of nested ones."""
-    return licenses.scan(table(spark, sf_dir, "documents"), contained=licenses.template_spans)
+    """Where the licence statements of every document stand."""
+    found = licenses.template_spans(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key.id").alias("doc_id"), F.col("start").cast("long").alias("first_word"),
+                        F.col("end").cast("long").alias("last_word"), "label", "containment").distinct()
 
 
 @query()
