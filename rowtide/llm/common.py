@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from rowtide.functions.joins import join_control
+from rowtide.session import written
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+HOT = 1000  # rows of a group from which on it is joined apart
 # What stands between words made of digits, letters a-z and everything beyond ASCII.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -48,3 +52,16 @@ def packed(df):
 
 def unpacked(df, columns):
     return df.select(*[F.col("_row").getField(c).alias(c) for c in columns])
+
+
+def join_groups(rows, groups, on, size):
+    """Inner join of `rows` with `groups`, that has one row per value of `on` and its number of rows in column `size`.
+
+    Both must be cheap to read twice (tables). The rows of groups of over HOT rows
+    meet a broadcast list of those groups, or, beyond the size `join_control` allows,
+    are spread over many tasks; only the others are dealt by `on`.
+    """
+    hot = written(rows.sparkSession, groups.where(F.col(size) > HOT))
+    small = groups.where(F.col(size) <= HOT)
+    cold = join_control(rows, hot.select(*on), on, "left_anti").join(small, on)
+    return join_control(rows, hot, on).select(cold.columns).unionAll(cold)

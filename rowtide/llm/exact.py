@@ -11,6 +11,7 @@ bytes join the key, so contents are shuffled once, in the check for that.
 
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import join_groups
 from rowtide.session import written
 
 BLOCK = 4096
@@ -78,7 +79,7 @@ def duplicates(df, id_col="doc_id", text_col="text", size=BLOCK, hashed=F.xxhash
     found = written(spark, identities(df, id_col, text_col, size, hashed))
     # The row to keep: largest id, of equal ids the first row.
     best = F.max(F.struct(F.col("_id").isNotNull().alias("known"), F.col("_id").alias("id"), (-F.col("row")).alias("row")))
-    groups = found.groupBy("size", "name").agg(best.alias("k"), F.count("*").alias("group_size"))
-    return found.join(groups, ["size", "name"]).select(
+    groups = written(spark, found.groupBy("size", "name").agg(best.alias("k"), F.count("*").alias("group_size")))
+    return join_groups(found, groups, ["size", "name"], "group_size").select(
         F.col("_id").alias(id_col), F.col("k.id").alias("keep_id"), "group_size",
         (F.col("row") == -F.col("k.row")).alias("kept"), F.col("sha").alias("text_sha256"))

@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import packed, unpacked, with_columns
+from rowtide.llm.common import join_groups, packed, unpacked, with_columns
 from rowtide.llm.graph import components
 from rowtide.session import written
 
@@ -151,15 +151,15 @@ def near_duplicates(df, id_col="doc_id", text_col="text", shingle=3, max_bits=3,
     spark = df.sparkSession
     rows = fingerprints(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", shingle)
     rows = written(spark, rows.select("_id", F.xxhash64("_text").alias("h"), "fp"))
-    prints = written(spark, rows.groupBy("fp").agg(F.min("_id").alias("first")))
+    prints = written(spark, rows.groupBy("fp").agg(F.min("_id").alias("first"), F.count("*").alias("n")))
     roots = written(spark, components(spark, linked(spark, prints.select("fp"), max_bits, meeting)))
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp")
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     named = named.select("fp", "root").join(smallest, "root").select("fp", F.col("root").alias("_root"), "component")
     names = prints.join(named, "fp", "left").select(
-        "fp", F.coalesce("_root", "fp").alias("root"), F.when(F.col("_root").isNull(), F.col("first")).otherwise(
+        "fp", "n", F.coalesce("_root", "fp").alias("root"), F.when(F.col("_root").isNull(), F.col("first")).otherwise(
             F.col("component")).alias("component_id"))
-    return rows.join(names, "fp").select(F.col("_id").alias(id_col), "h", "fp", "root", "component_id")
+    return join_groups(rows, written(spark, names), ["fp"], "n").select(F.col("_id").alias(id_col), "h", "fp", "root", "component_id")
 
 
 def keep_one(df, groups, id_col="doc_id", text_col="text"):

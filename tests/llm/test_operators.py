@@ -14,7 +14,8 @@ from docs import PASSAGE, frame, rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rowtide.llm import (bpe, contamination, exact, graph, katz, language, licenses, lines, pieces, quality, simhash)
+from rowtide.functions import joins
+from rowtide.llm import (bpe, common, contamination, exact, graph, katz, language, licenses, lines, pieces, quality, simhash)
 from rowtide.llm.common import ascii_lower, plain_words, remainder
 from rowtide.llm.queries import TOKENIZERS
 
@@ -451,6 +452,20 @@ def test_license_statements_over_line_breaks(empty, spark, template_bytes, monke
     assert licenses.template_spans(empty).count() == 0 and licenses.template_spans(given, templates=[("none", "...")]).count() == 0
 
 
+# hot groups
+
+def test_join_groups(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 3)
+    rows_ = spark.createDataFrame([(k, i) for k, n in ((1, 7), (2, 3), (3, 1), (4, 9)) for i in range(n)], "k long, i long")
+    groups = rows_.groupBy("k").agg(F.count("*").alias("n"))
+    expected = sorted((k, i, n) for k, n in ((1, 7), (2, 3), (3, 1), (4, 9)) for i in range(n))
+    for size in (1 << 20, 0):
+        monkeypatch.setattr(common, "join_control", lambda *a, size=size: joins.join_control(*a, broadcast_bytes=size))
+        found = common.join_groups(rows_, groups, ["k"], "n")
+        assert sorted((r["k"], r["i"], r["n"]) for r in found.collect()) == expected
+    assert common.join_groups(rows_.where("false"), groups.where("false"), ["k"], "n").count() == 0
+
+
 # 10
 
 def test_language(docs, empty, spark):
