@@ -10,6 +10,7 @@ away, and what is left is verified word by word.
 
 from pyspark.sql import functions as F
 
+from rowtide.functions.joins import join_control
 from rowtide.llm.common import packed, plain_words, row_key, unpacked
 from rowtide.session import written
 
@@ -103,7 +104,8 @@ def contamination(docs, items, window=WINDOW, share=20, **columns):
 
 def drop(docs, found, id_col="doc_id", text_col="text"):
     """The rows of `docs` that `found` (from `contamination` of `docs`) does not call contaminated."""
-    bad = found.where("contaminated").select(F.col(id_col).alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
-    own = docs.select(packed(docs), F.col(id_col).alias("_own"), F.xxhash64(text_col).alias("_h"))
-    kept = own.join(bad, F.col("_own").eqNullSafe(F.col("_bad")) & (F.col("_h") == F.col("_hash")), "left_anti")
-    return unpacked(kept, docs.columns)
+    # The list of what goes is written and looked at before the texts meet it.
+    name = lambda id, h: (F.coalesce(id.cast("string"), F.lit("")).alias("_id"), id.isNull().alias("_none"), h.alias("_h"))
+    bad = written(docs.sparkSession, found.where("contaminated").select(*name(F.col(id_col), F.col("text_hash"))).distinct())
+    own = docs.select(packed(docs), *name(F.col(id_col), F.xxhash64(text_col)))
+    return unpacked(join_control(own, bad, ["_id", "_none", "_h"], "left_anti"), docs.columns)
