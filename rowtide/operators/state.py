@@ -12,26 +12,67 @@ A key's life is the chain of its lines. Its epoch starts at the last write that
 found the key dead; items whose last operation is older are gone. Blocks are
 bounded stretches of the log, so a key that takes a third of the feed is
 scanned in as many tasks as the feed has blocks, and items are combined before
-they are shuffled.
+they are shuffled. Lines of consecutive stretches join to the line of the whole
+stretch, whatever came before it; so a key with more lines than one task should
+chain is joined by ranges of the order, file by file, then over runs of files.
 """
 
 from pyspark.sql import Window, functions as F
 
 from rowtide.functions.codec import compress
-from rowtide.functions.joins import join_salted
+from rowtide.functions.joins import join_control, join_salted
 from rowtide.schema import BLOCK, KEY, ORDER
 from rowtide.session import written
 
 ITEM = KEY + ["item", "enc", "enc_level"]
+# Lines of a key that one task chains; a key with more is joined range by range.
+CHAIN = 4096
+RANGE_BLOCKS = 1024
 
 
 def _place():
     return F.struct(*ORDER)
 
 
-def types_of(commands):
-    """The target types among commands, at most as many as there are."""
-    return sorted(r[0] for r in commands.select("target_type").distinct().collect())
+def ranges_of(blocks, seg, file, blk, width):
+    """Nested ranges of the order, finer ones first, as columns: runs of blocks, files, then runs of
+    files whose names (of at most `width` characters) start alike, which lie side by side in the order."""
+    names = [F.coalesce(F.left(file, F.lit(max(width - cut, 0))), F.lit("")) for cut in (0, 2, 4, 6)]
+    return [[seg, names[0], F.floor(blk / blocks)]] + [[seg, name] for name in names]
+
+
+def look(commands, chain=CHAIN):
+    """The target types among commands, and the longest file name if a key may be in over `chain` blocks, else None."""
+    types, blocks, width = commands.agg(
+        F.collect_set("target_type"), F.approx_count_distinct(F.struct("sid", *BLOCK)),
+        F.coalesce(F.max(F.length("file")), F.lit(0))).first()
+    return sorted(types), width if blocks > chain else None
+
+
+def _split(df, chain):
+    """Rows of keys with at most `chain` rows, and those of the others."""
+    df = written(df.sparkSession, df)
+    hot = written(df.sparkSession, df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chain).select(*KEY))
+    return join_control(df, hot, KEY, "left_anti"), join_control(df, hot, KEY, "left_semi")
+
+
+def _in_range(df, by):
+    """The rows with the columns of a range, and the names of those columns."""
+    names = [f"_r{i}" for i in range(len(by))]
+    return df.withColumns(dict(zip(names, by))), names
+
+
+def _reached(spans, ranges=()):
+    """Spans with the latest time of the key's earlier blocks."""
+    along = Window.orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    if not ranges:
+        return spans.withColumn("reached", F.max("hi").over(along.partitionBy(*KEY)))
+    spans, by = _in_range(spans, ranges[0])
+    whole = spans.groupBy(*KEY, *by).agg(F.min(F.struct(*BLOCK)).alias("_b"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    before = _reached(whole.select(*KEY, *by, "_b.*", "lo", "hi").withColumnsRenamed({b: f"_{b}" for b in by}), ranges[1:])
+    before = before.select(*KEY, *[F.col(f"_{b}").alias(b) for b in by], F.col("reached").alias("_before"))
+    return (spans.withColumn("reached", F.max("hi").over(along.partitionBy(*KEY, *by))).join(before, KEY + by)
+            .withColumn("reached", F.greatest("reached", "_before")).drop(*by, "_before"))
 
 
 def for_every_type(commands, types):
@@ -50,10 +91,11 @@ def for_every_type(commands, types):
     return commands.unionByName(added.withColumn("target_type", F.col("_type")).drop("_type"))
 
 
-def key_lines(commands, clocks=None):
+def key_lines(commands, clocks=None, width=None, chain=CHAIN):
     """Life of each key in each block, of commands `for_every_type`.
 
-    `clocks` holds (key, clock): the latest time seen before these commands.
+    `clocks` holds (key, clock): the latest time seen before these commands. `width` is
+    that of `look`.
     """
     # A clean-up without a ttl changes no deadline, but it moves the clock.
     ops = commands.select(*KEY, *ORDER, "blk", "t", "ttl", "op")
@@ -66,10 +108,12 @@ def key_lines(commands, clocks=None):
             *KEY, F.lit(-1).cast("bigint").alias("seg"), F.lit("").alias("file"),
             F.lit(0).cast("bigint").alias("blk"), F.col("clock").alias("lo"), F.col("clock").alias("hi"))
         spans = spans.unionByName(first)
-    earlier = (Window.partitionBy(*KEY).orderBy(*BLOCK)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    stepped = (spans.withColumn("reached", F.max("hi").over(earlier))
-               .where(F.col("reached") > F.col("lo")).select(*KEY, *BLOCK, "reached"))
+    if width is None:
+        spans = _reached(spans)
+    else:
+        few, many = _split(spans, chain)
+        spans = _reached(few).unionByName(_reached(many, ranges_of(RANGE_BLOCKS, *map(F.col, BLOCK), width)))
+    stepped = spans.where(F.col("reached") > F.col("lo")).select(*KEY, *BLOCK, "reached")
     ops = ops.join(stepped, KEY + BLOCK, "left")
 
     inside = Window.partitionBy(*KEY, *BLOCK).orderBy(
@@ -94,7 +138,8 @@ def key_lines(commands, clocks=None):
     return seq.groupBy(*KEY, *BLOCK).agg(
         F.min(_place()).alias("at"),
         F.max("t").alias("clock"),
-        F.min(F.when(head, F.col("t"))).alias("head_t"),
+        # When the key must still live: at the first change of its deadline.
+        F.coalesce(F.min(F.when(head & F.col("dl").isNotNull(), F.col("t"))), F.max(F.when(head, F.col("t")))).alias("head_t"),
         F.coalesce(F.max(F.when(head, F.col("dies"))), F.lit(False)).alias("head_broken"),
         F.max_by("dl", F.when(head & F.col("dl").isNotNull(), F.col("n"))).alias("head_dl"),
         F.min(F.when(write, F.col("t"))).alias("write_t"),
@@ -102,14 +147,14 @@ def key_lines(commands, clocks=None):
         F.max_by("dl", F.when(~head & F.col("dl").isNotNull(), F.col("n"))).alias("tail_dl"),
         F.max_by("broken", "n").alias("tail_broken"),
         F.max(F.when(reborn, _place())).alias("reborn_at"),
-    ).drop(*BLOCK)
+    ).drop("seg", "file")
 
 
-def resolve_keys(lines):
-    """Per key: where its last epoch starts, its deadline, whether it was
-    dropped, and the time it has reached."""
-    part = F.struct
+def joined(lines, by=()):
+    """The lines of each key and range as one line; `by` are the columns of the range."""
     none = F.lit(None).cast(lines.schema["reborn_at"].dataType)
+    lines, by = _in_range(lines, by)
+    part = F.struct
     steps = lines.withColumn("s", F.explode(F.array_compact(F.array(
         F.when(F.col("head_t").isNotNull(), part(
             F.lit(0).alias("seq"), F.col("head_t").alias("t"), F.col("head_dl").alias("dl"),
@@ -118,26 +163,62 @@ def resolve_keys(lines):
             F.lit(1).alias("seq"), F.col("write_t").alias("t"), F.col("tail_dl").alias("dl"),
             F.col("tail_broken").alias("bad"), F.col("write_at").alias("write_at"),
             F.col("reborn_at").alias("reborn_at"))),
-    )))).select(*KEY, "at", "clock", "s.*")
-    along = Window.partitionBy(*KEY).orderBy("at", "seq")
+    )))).select(*KEY, *by, "at", "blk", "clock", "s.*")
+    along = Window.partitionBy(*KEY, *by).orderBy("at", "seq")
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    write = F.col("seq") == 1
+    write, timed = F.col("seq") == 1, F.col("dl").isNotNull()
     late = F.coalesce(F.col("t") >= F.col("prev_dl"), F.lit(False))
     chain = (steps.withColumn("n", F.row_number().over(along))
              .withColumn("prev_dl", F.last("dl", ignorenulls=True).over(before))
-             .withColumn("last_write", F.coalesce(F.max(F.when(write, F.col("n"))).over(so_far), F.lit(0)))
+             .withColumn("last_write", F.max(F.when(write, F.col("n"))).over(so_far))
              .withColumn("dies", F.col("bad") | (~write & late))
              .withColumn("broken", F.coalesce(F.max(F.when(F.col("dies"), F.col("n"))).over(so_far), F.lit(0))
-                         >= F.col("last_write"))
-             .withColumn("prev_broken", F.lag("broken", 1, True).over(along)))
-    starts = F.when(write, F.coalesce(
-        "reborn_at", F.when(F.col("prev_broken") | late, F.col("write_at"))))
-    return chain.groupBy(*KEY).agg(
-        F.max(starts).alias("epoch_at"),
-        F.max_by("dl", F.when(F.col("dl").isNotNull(), F.col("n"))).alias("deadline"),
-        F.max_by("broken", "n").alias("dropped"),
-        F.max("clock").alias("clock"))
+                         >= F.coalesce("last_write", F.lit(1)))
+             .withColumn("prev_broken", F.lag("broken").over(along))
+             .withColumn("prev_write", F.lag("last_write").over(along)))
+    head = F.col("last_write").isNull()
+    # Whether the first write found the key dead is known by what came before the range.
+    reborn = F.coalesce("reborn_at", F.when(F.col("prev_write").isNotNull() & (F.col("prev_broken") | late), F.col("write_at")))
+    return chain.groupBy(*KEY, *by).agg(
+        F.min("at").alias("at"),
+        F.min_by("blk", "at").alias("blk"),
+        F.max("clock").alias("clock"),
+        F.coalesce(F.min(F.when(head & timed, F.col("t"))), F.max(F.when(head, F.col("t")))).alias("head_t"),
+        F.coalesce(F.max(F.when(head, F.col("dies"))), F.lit(False)).alias("head_broken"),
+        F.max_by("dl", F.when(head & timed, F.col("n"))).alias("head_dl"),
+        F.min(F.when(write, F.col("t"))).alias("write_t"),
+        F.min(F.when(write, F.col("write_at"))).alias("write_at"),
+        F.max_by("dl", F.when(~head & timed, F.col("n"))).alias("tail_dl"),
+        F.max_by("broken", "n").alias("tail_broken"),
+        F.max(F.when(write, reborn)).alias("reborn_at"),
+    ).drop(*by)
+
+
+def narrowed(lines, width, chain=CHAIN):
+    """Lines of the same lives, those of keys with over `chain` lines joined by ranges of the order."""
+    few, many = _split(lines, chain)
+    for by in ranges_of(RANGE_BLOCKS, F.col("at.seg"), F.col("at.file"), F.col("blk"), width):
+        many = joined(many, by)
+    return few.unionByName(many)
+
+
+def resolve_keys(lines, width=None, chain=CHAIN):
+    """Per key: where its last epoch starts, its deadline, whether it was
+    dropped, and the time it has reached. With a `width` (see `look`) no task chains
+    much more than `chain` lines."""
+    life = joined(lines if width is None else narrowed(lines, width, chain))
+    wrote = F.col("write_t").isNotNull()
+    return life.select(
+        *KEY, F.when(wrote, F.coalesce("reborn_at", "write_at")).alias("epoch_at"),
+        F.coalesce("tail_dl", "head_dl").alias("deadline"),
+        (~wrote | F.col("tail_broken")).alias("dropped"), "clock")
+
+
+def lives(commands, chain=CHAIN):
+    """The resolved keys of commands, which are read several times."""
+    types, width = look(commands, chain)
+    return resolve_keys(key_lines(for_every_type(commands, types), width=width, chain=chain), width, chain)
 
 
 def item_lines(commands):
@@ -215,7 +296,7 @@ def state_tables(keys, items, as_of):
     }
 
 
-def fold(commands, as_of):
+def fold(commands, as_of, chain=CHAIN):
     """State tables after all commands, as of a time. Every command must lie at
     or before that time.
 
@@ -223,8 +304,7 @@ def fold(commands, as_of):
     columns, so they are written once first.
     """
     commands = written(commands.sparkSession, commands)
-    keys = resolve_keys(key_lines(for_every_type(commands, types_of(commands))))
-    return state_tables(keys, item_lines(commands), as_of)
+    return state_tables(lives(commands, chain), item_lines(commands), as_of)
 
 
 def encode(table, column, bytes_column):
@@ -236,10 +316,10 @@ def as_lines(keys, lines):
     """Resolved keys in the form of key lines, to stand for all lines merged so
     far: one write at the start of the epoch and what became of it."""
     kinds = {f.name: f.dataType for f in lines.schema.fields}
-    first = lines.groupBy(*KEY).agg(F.min("at").alias("at"))
+    first = lines.groupBy(*KEY).agg(F.min("at").alias("at"), F.min_by("blk", "at").alias("blk"))
     alive = F.col("epoch_at").isNotNull()
     values = {
-        "at": F.col("at"), "clock": F.col("clock"), "head_broken": F.lit(False),
+        "at": F.col("at"), "blk": F.col("blk"), "clock": F.col("clock"), "head_broken": F.lit(False),
         "write_t": F.when(alive, F.col("clock")), "write_at": F.col("epoch_at"),
         "tail_dl": F.col("deadline"), "tail_broken": F.col("dropped"), "reborn_at": F.col("epoch_at"),
     }

@@ -90,7 +90,7 @@ def kv_alive_asof(spark, sf_dir):
         F.min(feeds.seconds("ts")), F.max(feeds.seconds("ts"))).first()
     until = (lo + hi) // 2
     made = commands(spark, sf_dir, 1, 2, 4, 5, until=until)
-    keys = state.resolve_keys(state.key_lines(state.for_every_type(made, state.types_of(made))))
+    keys = state.lives(made)
     return state.existing_keys(keys, state.item_lines(made), until).select("target_type", "target_key", "expires_at")
 
 

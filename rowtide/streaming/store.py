@@ -115,14 +115,15 @@ class Store:
         merged is left alone."""
         if batch_id <= self.merged_to():
             return
-        lo, hi, types = commands.agg(F.min("t"), F.max("t"), F.collect_set("target_type")).first()
+        lo, hi = commands.agg(F.min("t"), F.max("t")).first()
+        types, width = state.look(commands)
         earlier = self.before("spans", batch_id)
         types = sorted({*types, *(earlier.first()["types"] if earlier else ())})
         self.put("spans", batch_id, self.spark.range(1).select(
             F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"),
             F.array(*map(F.lit, types)).cast("array<string>").alias("types")))
         ops = state.for_every_type(commands, types)
-        self.put("keys", batch_id, state.key_lines(ops, self._clocks(ops, batch_id, lo)))
+        self.put("keys", batch_id, state.key_lines(ops, self._clocks(ops, batch_id, lo), width))
         self.put("items", batch_id, state.item_lines(commands))
 
     def _clocks(self, commands, batch_id, lo):
@@ -140,9 +141,18 @@ class Store:
         mine = commands.select(*KEY).distinct()
         return lines.groupBy(*KEY).agg(F.max("clock").alias("clock")).join(mine, KEY, "left_semi")
 
+    def _width(self, lines):
+        """The longest file name if a key may have more lines than one task chains, else None. A key has one line
+        per block and batch, and a merged one."""
+        blocks, width = lines.agg(F.approx_count_distinct(F.struct("sid", "at.seg", "at.file", "blk")),
+                                  F.coalesce(F.max(F.length("at.file")), F.lit(0))).first()
+        parts = self.read("spans").agg(F.count(F.lit(1))).first()[0]
+        return width if blocks + parts > state.CHAIN else None
+
     def state(self, as_of):
         """The four state tables as of a time."""
-        keys = state.resolve_keys(self.lines("keys"))
+        lines = self.lines("keys")
+        keys = state.resolve_keys(lines, self._width(lines))
         return state.state_tables(keys, state.merge_items(self.lines("items")), as_of)
 
     def compact(self, upto):
@@ -157,7 +167,7 @@ class Store:
             new = self.read(table).where((F.col("batch_id") <= upto) & (F.col("batch_id") > done)).drop("batch_id")
             return new if done < 0 else new.unionByName(self.merged(table, done))
         lines = until("keys")
-        keys = state.resolve_keys(lines)
+        keys = state.resolve_keys(lines, self._width(lines))
         items = state.merge_items(until("items"))
         live = items.where("last.keep").join(
             keys.where(~F.col("dropped")).select(*KEY, "epoch_at"), KEY).where(

@@ -96,6 +96,42 @@ def test_fold_of_few_hot_keys(spark):
         assert rows(state.fold(frame(spark, commands), as_of)) == expected(commands, as_of)
 
 
+def test_lines_join_range_by_range(spark, monkeypatch):
+    """Keys with more lines than a task may chain, of all types, between keys with few."""
+    monkeypatch.setattr(state, "RANGE_BLOCKS", 2)
+    commands = random_commands(31, 8, 900) + [
+        {**c, "target_key": f"few {c['target_key']}"} for c in random_commands(32, 200, 4)]
+    for n, c in enumerate(commands):  # in one log, with a row's place of its own
+        c["event_ord"] = n
+    df = frame(spark, commands)
+    types, width = state.look(df, chain=3)
+    assert width == 6 and state.look(df)[1] is None and types == sorted({c["target_type"] for c in commands})
+    lines = state.key_lines(state.for_every_type(df, types), width=width, chain=3).persist()
+    assert lines.groupBy("target_type", "target_key").count().agg(F.max("count")).first()[0] > 200
+    assert state.narrowed(lines, width, 3).groupBy("target_type", "target_key").count().agg(F.max("count")).first()[0] <= 3
+    last = max(c["t"] for c in commands)
+    want = expected(commands, 0)
+    for as_of in (130, last - 3):
+        assert rows(state.fold(df, as_of, chain=3)) == {r for r in want if r[-1] > as_of}
+    lines.unpersist()
+
+
+def test_ranges_are_runs_of_the_order(spark):
+    """Whatever the names, rows of a range lie side by side and finer ranges lie within wider ones."""
+    names = ["", "a", "ab", "ab1", "ab12", "abc", "log.000099", "log.000100", "log.1", "z.01"]
+    places = [(seg, name, blk) for seg in (0, 1) for name in names for blk in (0, 1, 2, 5)]
+    df = spark.createDataFrame(places, "seg bigint, file string, blk bigint")
+    ranges = state.ranges_of(2, F.col("seg"), F.col("file"), F.col("blk"), 10)
+    found = sorted(tuple(map(tuple, r)) for r in df.select(F.struct("seg", "file", "blk"), *[F.struct(*r) for r in ranges]).collect())
+    for level in range(1, len(ranges) + 1):
+        runs = [r[level] for i, r in enumerate(found) if i == 0 or r[level] != found[i - 1][level]]
+        assert len(runs) == len(set(runs))
+        inner = {}
+        for r in found:
+            inner.setdefault(r[level - 1], set()).add(r[level])
+        assert all(len(v) == 1 for v in inner.values())
+
+
 def test_keys_of_several_types(spark):
     """A key's drop by a rule of another type, and a plain value written over it, end what was there."""
     commands = random_commands(21, 600, 12, names=150)
@@ -143,6 +179,18 @@ SCRIPTS = {
 }
 
 
+@pytest.mark.parametrize("block", [1, 2, 100])
+def test_a_removal_does_not_hide_an_expiry(spark, block):
+    """A member is removed while the set lives, another once it has expired: the set is a new one at the next write."""
+    ops = [("WRITE", 0, 5, "a"), ("WRITE", 1, 5, "b"), ("REMOVE", 2, None, "c"), ("REMOVE", 8, 20, "c"), ("WRITE", 10, 20, "d")]
+    commands = [dict(seg=0, file="f", pos=n, event_ord=0, phase=1, row_ord=0, rule_id=1, blk=n // block, t=t, target_type="set",
+                     target_key="s", op=op, value=item, fields=None, score=None, ttl=ttl, enc=0, enc_level=-1)
+                for n, (op, t, ttl, item) in enumerate(ops)]
+    assert expected(commands, 14) == {("set", "s", "d", None, None, 30)}
+    assert rows(state.fold(frame(spark, commands), 14)) == expected(commands, 14)
+    assert rows(state.fold(frame(spark, commands), 14, chain=0)) == expected(commands, 14)
+
+
 @pytest.mark.parametrize("block", [1, 100])
 def test_ttl_scripts(spark, block):
     commands = []
