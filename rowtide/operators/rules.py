@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.codec import level_ok
 from rowtide.functions.text import split_trim, trim_space
 from rowtide.schema import OP_ADD, OP_DROP, TARGET_TYPES, with_defaults
+from rowtide.sources.feed import passed
 
 TABLE = ["sid", "db", "tb"]
 TOPIC_RULE = "column_name STRING, topic_rule MAP<STRING,STRING>, broken STRING"
@@ -63,6 +64,34 @@ def apply_rule_changes(current, pending):
     return current.join(dropped, TABLE + ["id"], "left_anti").select(*current.columns).unionByName(added)
 
 
+def versions(events, rules):
+    """(events, rules in force for them) for each state the rules were in.
+
+    `rules` may hold pending changes with the position (`file`, `pos`) of their
+    server's log after which they are in force. A resync read at that position
+    already follows the changed rules. One pass per state, so acknowledged changes
+    should leave the table; their distinct positions are gathered, no rows.
+    """
+    if not {"file", "pos"} <= set(rules.columns):
+        return [(events, rules)]
+    pending = F.coalesce(F.col("operation").isin(OP_ADD, OP_DROP), F.lit(False))
+    places = [tuple(r) for r in rules.where(pending).select("sid", "file", "pos").distinct().collect()]
+    numbered = rules.withColumn("_from", F.when(pending, passed(places, F.lit(True))).otherwise(0)).drop("file", "pos")
+    drops = numbered.where(F.col("operation") == OP_DROP).select(*TABLE, "id", F.col("_from").alias("_until"))
+    rows = numbered.where(F.col("operation") != OP_DROP)
+    resync = F.coalesce("is_snapshot", F.lit(False))
+    events = events.withColumn("_version", F.coalesce(passed(places, resync), F.lit(0)))
+    last = max((sum(p[0] == sid for p in places) for sid in {p[0] for p in places}), default=0)
+    out = []
+    for v in range(last + 1):
+        gone = drops.where(F.col("_until") <= v)
+        hit = [rows[c] == gone[c] for c in [*TABLE, "id"]] + [rows["_from"] < gone["_until"]]
+        now = rows.where(F.col("_from") <= v).join(gone, hit, "left_anti").drop("_from")
+        now = now.withColumn("operation", F.when(F.col("operation") == OP_ADD, 0).otherwise(F.col("operation")))
+        out.append((events.where(F.col("_version") == v).drop("_version"), now))
+    return out
+
+
 def tables_to_snapshot(pending):
     """Tables of added rules that ask for a snapshot."""
     return (pending.where((F.col("operation") == OP_ADD) & (F.col("is_dump") == 1))

@@ -155,12 +155,16 @@ RESYNC_RULE = dict(id=31, sid=feeds.SID, db="shop", tb="user_state", target_key_
                    replic_columns="status", expire_time=1_000_000_000)
 
 
-@query("kv_resync_state", with_feeds("a", f"""
+def kv_resync_state_sql():
+    return with_feeds("a", f"""
 SELECT 'rs:' || user_id AS key, '{{"status":' || '"' || arg_max(status, o) || '"}}' AS value FROM (
   SELECT user_id, kind, status, CASE WHEN file > '{RESYNC_AT[0]}' OR pos > {RESYNC_AT[1]} THEN 2 ELSE 0 END
            * 1000000000000 + event_id AS o FROM a
   UNION ALL SELECT DISTINCT user_id, 'insert', 'synced', 1000000000000 FROM events)
-GROUP BY user_id HAVING arg_max(kind, o) <> 'delete'"""))
+GROUP BY user_id HAVING arg_max(kind, o) <> 'delete'""")
+
+
+@query("kv_resync_state", kv_resync_state_sql())
 def kv_resync_state(spark, sf_dir):
     """A table resync in the middle of the log: its rows come after the events
     before the pause and before all later ones."""

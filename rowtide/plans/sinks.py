@@ -4,12 +4,12 @@ from pyspark.sql import Window, functions as F
 
 from rowtide.plans import feeds
 from rowtide.plans.feed import TX, query
-from rowtide.plans.kv import last_time
+from rowtide.plans.kv import RESYNC_AT, RESYNC_RULE, kv_resync_state_sql, last_time
 from rowtide.plans.messages import USER_MESSAGE
 from rowtide.plans.sql import HASH_ITEMS, LIFE, MEMBER_ITEMS, STRING_ITEMS, alive, user_commands, with_feeds
-from rowtide.schema import COMMIT
+from rowtide.schema import COMMIT, OP_ADD, OP_DROP, rules_df
 from rowtide.session import shared_folder, written
-from rowtide.sources.feed import stream_events
+from rowtide.sources.feed import snapshot_events, stream_events
 from rowtide.streaming.store import BOTH, KV, MESSAGES, Store, apply_batch, run_available
 
 SLICES = 3
@@ -133,3 +133,66 @@ def sink_replay(spark, sf_dir):
         apply_batch(store, parts[batch_id], batch_id, rules, mode=KV)
     table = store.state(last_time(spark, sf_dir))["zset"].drop("sid", "enc", "enc_level")
     return table.withColumn("score", F.col("score").cast("bigint"))
+
+
+# After which events rule 5 comes and rule 1 goes.
+ADDED, DROPPED = 401, 703
+
+
+def _place(event):
+    return dict(file=f"bin.{event // 1000:06d}", pos=event % 1000 * 100 + 4)
+
+
+def changing_rules(spark):
+    """Rule 1, which is dropped in the log, and rule 5, which is added earlier."""
+    one, five = (feeds.rules(spark, i).first().asDict() for i in (1, 5))
+    rows = [(one, 0, dict(file=None, pos=None)), (five, OP_ADD, _place(ADDED)), (one, OP_DROP, _place(DROPPED))]
+    bare = rules_df(spark, [{**r, "operation": op} for r, op, _ in rows])
+    places = spark.createDataFrame([(r["id"], op, p["file"], p["pos"]) for r, op, p in rows],
+                                   "id int, operation int, file string, pos bigint")
+    return bare.join(F.broadcast(places), ["id", "operation"])
+
+
+def _while(rule, where):
+    return (user_commands(rule).replace("cmd AS", f"cmd{rule} AS").replace("FROM a WHERE", f"FROM a WHERE {where} AND"))
+
+
+@query("sink_rule_change", with_feeds("a", STRING_ITEMS, _while(1, f"event_id <= {DROPPED}"), _while(5, f"event_id > {ADDED}"),
+                                      "cmd AS (SELECT * FROM cmd1 UNION ALL SELECT * FROM cmd5)", LIFE, alive()))
+def sink_rule_change(spark, sf_dir):
+    """Rules come and go at positions inside batches: each event is applied by the rules in force at its place."""
+    folder = shared_folder(spark)
+    store = Store(spark, f"{folder}/sink")
+    for batch_id, part in enumerate(slices(spark, sf_dir, folder)):
+        apply_batch(store, part, batch_id, changing_rules(spark), mode=KV, admit=True)
+    return store.state(last_time(spark, sf_dir))["string"].drop("sid", "enc", "enc_level")
+
+
+@query("sink_resync", kv_resync_state_sql())
+def sink_resync(spark, sf_dir):
+    """A resync that reaches a running stream: its rows arrive in the batch that has passed their place."""
+    folder = shared_folder(spark)
+    store = Store(spark, f"{folder}/sink")
+    users = feeds.table(spark, sf_dir, "events").select("user_id").distinct().withColumn("status", F.lit("synced"))
+    resync = snapshot_events(users, feeds.SID, "shop", "user_state", ["user_id", "status"], "user_id", at=RESYNC_AT).drop("seg")
+    for batch_id, part in enumerate(slices(spark, sf_dir, folder)):
+        if batch_id == 0:
+            part = part.unionByName(resync)
+        apply_batch(store, part, batch_id, rules_df(spark, [RESYNC_RULE]), mode=KV, snapshot_time=0, resyncs=True)
+    return store.state(last_time(spark, sf_dir))["string"].select("key", "value")
+
+
+@query("sink_bad_rules", with_feeds("a", f"""
+SELECT 'state' AS what, key AS name, value FROM ({STRING_ITEMS}) UNION ALL SELECT 'refused', 'expire_time', '0'
+UNION ALL SELECT 'refused', 'target_key_type', 'list'""", user_commands(1), LIFE, alive()))
+def sink_bad_rules(spark, sf_dir):
+    """From the second batch on the rules have violations; the first set stays in force and the others are listed."""
+    folder = shared_folder(spark)
+    store = Store(spark, f"{folder}/sink")
+    rules = feeds.rules(spark, 1)
+    bad = [rules, rules.withColumn("expire_time", F.lit(0)), rules.withColumn("target_key_type", F.lit("list"))]
+    for batch_id, part in enumerate(slices(spark, sf_dir, folder)):
+        apply_batch(store, part, batch_id, bad[batch_id], mode=KV, admit=True)
+    state = store.state(last_time(spark, sf_dir))["string"]
+    return state.select(F.lit("state").alias("what"), F.col("key").alias("name"), "value").unionByName(
+        store.read("refused").select(F.lit("refused").alias("what"), F.col("field").alias("name"), "value"))

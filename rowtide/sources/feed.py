@@ -140,6 +140,33 @@ def insert_resync(changes, resync, file, pos):
     return shifted.unionByName(placed, allowMissingColumns=True)
 
 
+def passed(places, reached):
+    """How many of the places (sid, file, pos) a row of a log has behind it, as a column; where `reached` holds, its
+    own place counts as well."""
+    if not places:
+        return F.lit(0)
+    listed = F.array(*[F.struct(F.lit(s).alias("sid"), F.lit(f).alias("file"), F.lit(p).cast("bigint").alias("pos"))
+                       for s, f, p in places])
+    here = F.struct("file", "pos")
+
+    def behind(p):
+        there = F.struct(p["file"].alias("file"), p["pos"].alias("pos"))
+        return (p["sid"] == F.col("sid")) & ((there < here) | (reached & (there == here)))
+    return F.size(F.filter(listed, behind))
+
+
+def resync_places(events):
+    """Where the log was paused for the resyncs among events: (sid, file, pos)."""
+    return events.where(F.col("is_snapshot") & (F.col("file") != "")).select("sid", "file", "pos").distinct()
+
+
+def in_segments(events, places):
+    """Events with `seg`: a resync comes after the log up to its place and before the rest of its server's log."""
+    resync = F.coalesce(F.col("is_snapshot") & (F.col("file") != ""), F.lit(False))
+    before = F.coalesce(passed(places, F.lit(False)), F.lit(0)).cast("bigint")
+    return events.withColumn("seg", before * 2 + F.when(resync, 1).otherwise(0))
+
+
 def active_rules(rules, sid=None):
     """Rules in force, of one server id or of all."""
     active = rules.where(F.col("operation") == OP_ACTIVE)

@@ -6,6 +6,8 @@ Parts are named by batch id and overwritten when a batch is replayed, so a
 replay after a crash changes nothing. `compact` merges old parts into one.
 """
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -15,9 +17,10 @@ from rowtide.operators.ddl import published_statements
 from rowtide.operators.messages import PARTITIONS, ddl_messages, in_send_order, messages, next_numbers, numbered
 from rowtide.operators.normalize import commits, deliver, normalize_events, split_open, to_changes
 from rowtide.operators.positions import delivered_positions
-from rowtide.schema import COMMIT, KEY
+from rowtide.operators.rules import rule_violations, versions
+from rowtide.schema import COMMIT, KEY, with_defaults
 from rowtide.session import written
-from rowtide.sources.feed import monitored, unmonitored
+from rowtide.sources.feed import in_segments, monitored, resync_places, unmonitored
 
 KV, MESSAGES, BOTH = 0, 1, 2
 MERGED = -1
@@ -72,6 +75,42 @@ class Store:
             return None if parts is None else parts.drop("batch_id")
         return self.merged(table, upto).unionByName(parts.where(F.col("batch_id") > upto).drop("batch_id"))
 
+    # -- rules and resyncs ------------------------------------------------------
+
+    def admitted(self, rules, batch_id, with_targets=True):
+        """The rules in force for a batch: those given, or the last ones without a violation.
+
+        One violation refuses the whole set; table "refused" lists them. A replay
+        takes the rules its batch had. Without any set that could be in force
+        nothing is applied.
+        """
+        known = self.read("rules")
+        if known is None or known.where(F.col("batch_id") == batch_id).isEmpty():
+            rules = written(self.spark, rules)
+            found = written(self.spark, rule_violations(with_defaults(rules), with_targets))
+            if not found.isEmpty():
+                self.put("refused", batch_id, found)
+                rules = self.before("rules", batch_id)
+                if rules is None:
+                    raise ValueError(f"no valid rules; violations in {self.path('refused', batch_id)}")
+            # One file, so that it is there whole or not at all.
+            self.put("rules", batch_id, rules.coalesce(1))
+        return self.part("rules", batch_id)
+
+    def segmented(self, events, batch_id):
+        """Events with their segments. The ledger of resyncs goes on from batch to batch, so what
+        follows a resync is placed after it in all later batches."""
+        places = resync_places(events)
+        earlier = self.before("resyncs", batch_id)
+        if earlier is not None:
+            places = places.unionByName(earlier).distinct()
+        places = written(self.spark, places).where("file IS NOT NULL")
+        listed = [tuple(r) for r in places.collect()]
+        # A line without a place, so that the newest list is found even if it is empty.
+        self.put("resyncs", batch_id, places.unionByName(self.spark.range(1).select(
+            *[F.lit(None).cast(t).alias(c) for c, t in places.dtypes])).coalesce(1))
+        return in_segments(events, listed)
+
     # -- transactions ----------------------------------------------------------
 
     def whole_transactions(self, events, batch_id):
@@ -177,8 +216,12 @@ class Store:
         self.put("merged", upto, self.spark.range(1).select(F.lit(done).cast("bigint").alias("after")))
 
 
+def _union(frames):
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, topic="changes", fmt="json",
-                send=None, hook=None, commit_marks=False, alters=False, partitions=PARTITIONS):
+                send=None, hook=None, commit_marks=False, alters=False, partitions=PARTITIONS, admit=False, resyncs=False):
     """One micro-batch: events to the sinks, key-value first, then positions.
 
     With `commit_marks` the feed closes each transaction by a line of kind "commit";
@@ -186,6 +229,12 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
     until the mark comes. Without, a micro-batch must hold whole transactions: one
     that is cut is numbered and positioned per batch. Batches follow the log order.
 
+    `rules` may hold pending changes with the position from which they are in
+    force, see `rules.versions`. With `admit`, a set of rules with a violation is refused
+    and the last good one stays in force, see `Store.admitted`. With `resyncs`, snapshot rows
+    that carry a position are a resync read there: they come after the log up to that
+    position and before the rest of it; their first rows must not come later than the log after them.
+
     Messages carry their number in (topic, partition), which goes on from batch to
     batch; `send(df)` delivers them elsewhere (a Kafka writer, say) and gets each
     partition of a topic as one run of rows in that order. `hook(df)` sees the
@@ -194,15 +243,21 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
     position. Positions are written last, so a crash repeats the batch. Snapshot
     events need `snapshot_time`, the time they count as written.
     """
+    if admit:
+        rules = store.admitted(rules, batch_id, with_targets=mode != MESSAGES)
     if commit_marks:
         events = store.whole_transactions(events, batch_id)
+    if resyncs:
+        events = store.segmented(events, batch_id)
     statements = events.where(F.col("event") == "query")
-    published = published_statements(events, rules) if alters else None
+    steps = versions(events, rules)
+    published = _union([published_statements(e, r) for e, r in steps]) if alters else None
+    steps = [(e.drop("changed"), r) for e, r in steps]
     events = events.drop("changed")
-    known = monitored(events, rules)
-    lost = without_rule(to_changes(normalize_events(unmonitored(events, rules))), rules).unionByName(malformed(events))
+    known = [monitored(e, r) for e, r in steps]
+    lost = _union([without_rule(to_changes(normalize_events(unmonitored(e, r))), r) for e, r in steps]).unionByName(malformed(events))
     if mode in (KV, BOTH):
-        made = generate(to_changes(normalize_events(known)), rules, snapshot_time=snapshot_time)
+        made = _union([generate(to_changes(normalize_events(k)), r, snapshot_time=snapshot_time) for k, (_, r) in zip(known, steps)])
         store.put("commands", batch_id, made)
         made = store.part("commands", batch_id)
         commands = accepted(made)
@@ -211,9 +266,12 @@ def apply_batch(store, events, batch_id, rules, mode=BOTH, snapshot_time=None, t
         if hook:
             hook(commands)
     store.put("dead_letter", batch_id, lost)
-    sent = deliver(known.where(F.col("event") != COMMIT).unionByName(events.where(F.col("event") == COMMIT)))
+    # A transaction goes on when the rules change, so it is cut into chunks whole.
+    known = _union([k.where(F.col("event") != COMMIT).withColumn("_version", F.lit(v)) for v, k in enumerate(known)])
+    sent = deliver(known.unionByName(events.where(F.col("event") == COMMIT), allowMissingColumns=True))
     if mode in (MESSAGES, BOTH):
-        rows = messages(normalize_events(sent), rules, topic, fmt)
+        rows = _union([messages(normalize_events(sent.where(F.col("_version") == v).drop("_version")), r, topic, fmt)
+                       for v, (_, r) in enumerate(steps)])
         if published is not None:
             rows = rows.unionByName(ddl_messages(published, topic, fmt), allowMissingColumns=True)
         store.put_messages(rows, batch_id, partitions)

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators import state
@@ -9,6 +10,7 @@ from rowtide.operators.commands import kv_commands
 from rowtide.operators.messages import in_send_order, messages, numbered
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
+from rowtide.operators.rules import versions
 from rowtide.schema import COMMIT, EVENTS_CHANGED, EVENTS_RAW, rules_df
 from rowtide.session import shared_folder
 from rowtide.sources.feed import stream_events
@@ -186,3 +188,65 @@ def test_alters_are_off_unless_asked_for(spark):
     store = Store(spark, shared_folder(spark))
     apply_batch(store, spark.createDataFrame([text], EVENTS_RAW), 0, rules_df(spark, RULES), mode=MESSAGES)
     assert store.read("messages").count() == 0 and store.read("positions").count() == 1
+
+
+def test_rules_in_force_at_a_place(spark):
+    """Adds, a drop, the same rule added again, two servers, a resync at the place of a change, events without a place."""
+    base = dict(db="d", tb="t", target_key_type="string", target_key_prefix="p")
+    pending = [(1, 1, 0, None, None), (2, 1, 3, "f1", 10), (1, 1, 4, "f1", 20), (1, 1, 3, "f2", 5), (3, 2, 0, None, None), (3, 2, 4, "f1", 15)]
+    rules = rules_df(spark, [{**base, "id": i, "sid": sid, "operation": op} for i, sid, op, _, _ in pending])
+    places = spark.createDataFrame(pending, "id int, sid int, operation int, file string, pos bigint")
+    rules = rules.join(places, ["id", "sid", "operation"])
+    log = [(sid, f, p, False) for sid in (1, 2) for f, p in (("f1", 9), ("f1", 10), ("f1", 11), ("f1", 20), ("f1", 21), ("f2", 5), ("f2", 6))]
+    log += [(1, "f1", 10, True), (1, "", 0, True), (None, None, None, None), (3, "f9", 1, False)]
+    events = spark.createDataFrame(log, "sid int, file string, pos bigint, is_snapshot boolean")
+    found = {}
+    for part, now in versions(events, rules):
+        active = now.select("sid", "id", "operation").collect()
+        assert all(r.operation == 0 for r in active)
+        for e in part.collect():
+            assert tuple(e) not in found
+            found[tuple(e)] = {r.id for r in active if r.sid == e.sid}
+
+    def want(sid, file, pos, snapshot):
+        have = {i for i, s, op, _, _ in pending if s == sid and op == 0}
+        for i, s, op, f, p in sorted((x for x in pending if x[2]), key=lambda x: x[3:]):
+            if s == sid and ((f, p) < (file, pos) or snapshot and (f, p) == (file, pos)):
+                have = have | {i} if op == 3 else have - {i}
+        return have
+    assert found == {e: want(*e) for e in log}
+    assert len(versions(events, rules.drop("file", "pos"))) == 1
+    (part, now), = versions(events, rules.where("operation = 0"))
+    assert part.count() == len(log) and {r.id for r in now.collect()} == {1, 3}
+
+
+def test_bad_rules_are_refused(spark):
+    good = rules_df(spark, RULES[:1])
+    bad = rules_df(spark, [RULES[0], {**RULES[1], "expire_time": 0, "filter_rule": "a=b=c"}])
+    store = Store(spark, shared_folder(spark))
+    with pytest.raises(ValueError, match="no valid rules"):
+        store.admitted(bad, 0)
+    assert store.read("rules") is None and store.read("refused").count() == 2
+    assert store.admitted(bad, 1, with_targets=False).count() == 2  # messages need no targets
+    store = Store(spark, shared_folder(spark))
+    ids = [[r.id for r in store.admitted(r, n).collect()] for n, r in ((0, good), (1, bad), (0, rules_df(spark, RULES[1:2])), (2, bad))]
+    assert ids == [[1], [1], [1], [1]]  # the third is a replay
+    assert {(r.batch_id, r.id, r.field) for r in store.read("refused").collect()} == {
+        (n, 2, f) for n in (1, 2) for f in ("expire_time", "filter_rule")}
+    assert store.admitted(rules_df(spark, []), 3).count() == 0
+
+
+def test_segments_of_resyncs_go_on(spark):
+    """Two resyncs of one server in different batches, rows of the first in both, a replay, a server without any."""
+    def event(sid, file, pos, snapshot=False):
+        return (sid, "d", "t", "insert", file, pos, 0, None, 1, snapshot, None, None, None)
+    batches = [[event(1, "f1", 1), event(1, "f1", 5), event(1, "f1", 6), event(1, "f1", 5, True), event(2, "f1", 9), event(2, "", 0, True)],
+               [event(1, "f1", 5, True), event(1, "f1", 7), event(None, None, None, None)],
+               [event(1, "f2", 1), event(1, "f2", 1, True), event(1, "f2", 2), event(2, "f2", 3)]]
+    want = [{(1, "f1", 1, False, 0), (1, "f1", 5, False, 0), (1, "f1", 6, False, 2), (1, "f1", 5, True, 1), (2, "f1", 9, False, 0), (2, "", 0, True, 0)},
+            {(1, "f1", 5, True, 1), (1, "f1", 7, False, 2), (None, None, None, None, 0)},
+            {(1, "f2", 1, False, 2), (1, "f2", 1, True, 3), (1, "f2", 2, False, 4), (2, "f2", 3, False, 0)}]
+    store = Store(spark, shared_folder(spark))
+    for n in (0, 1, 1, 2):
+        placed = store.segmented(spark.createDataFrame(batches[n], EVENTS_RAW), n)
+        assert {tuple(r) for r in placed.select("sid", "file", "pos", "is_snapshot", "seg").collect()} == want[n]
