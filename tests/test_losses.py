@@ -20,7 +20,7 @@ ONE = dict(event="insert", rows=[["1", "a"]])
 def test_loose_events_are_sent_alone(spark):
     rows = [dict(ONE, pos=1, tx_id=None), dict(ONE, pos=2, is_snapshot=None, event_ord=None), dict(ONE, pos=3)]
     got = {r.pos: (r.sent_pos, r.sent_file) for r in deliver(events(spark, *rows)).collect()}
-    assert got == {1: (1, "mysql-bin.000011"), 2: (3, "mysql-bin.000011"), 3: (3, "mysql-bin.000011")}
+    assert got == {1: (1, "log.000040"), 2: (3, "log.000040"), 3: (3, "log.000040")}
 
 
 def test_text_that_is_no_event(spark):
@@ -38,7 +38,7 @@ def test_cells_that_are_no_numbers(spark):
 
 
 def errors(spark, *rules):
-    base = dict(sid=20, db="school", tb="class", target_key_prefix="u", target_key_columns="id")
+    base = dict(sid=31, db="depot", tb="shelf", target_key_prefix="u", target_key_columns="id")
     found = compile_rules(rules_df(spark, [dict(base, id=i, **r) for i, r in enumerate(rules)]))
     return {r.rule_id: r.rule_error for r in found.collect()}
 
@@ -57,7 +57,7 @@ def test_missing_rule_fields_take_the_defaults(spark):
 
 
 def test_a_snapshot_needs_its_time(spark):
-    rules = rules_df(spark, [dict(id=1, sid=20, db="school", tb="class", target_key_type="string", target_key_prefix="p", target_key_columns="id")])
+    rules = rules_df(spark, [dict(id=1, sid=31, db="depot", tb="shelf", target_key_type="string", target_key_prefix="p", target_key_columns="id")])
     changes = to_changes(normalize_events(events(spark, dict(ONE, is_snapshot=True, file="", event_time=0))))
     assert [r.reason for r in cmd.dead_letters(changes, rules).collect()] == ["no time"]
     assert [r.t for r in cmd.kv_commands(changes, rules, snapshot_time=500).collect()] == [500]
@@ -65,9 +65,9 @@ def test_a_snapshot_needs_its_time(spark):
 
 @pytest.mark.parametrize("key", [1, 3 << 20])
 def test_a_later_delete_beats_a_resync_row(spark, key):
-    rules = rules_df(spark, [dict(id=1, sid=20, db="school", tb="class", target_key_type="string", target_key_prefix="u", target_key_columns="id")])
+    rules = rules_df(spark, [dict(id=1, sid=31, db="depot", tb="shelf", target_key_type="string", target_key_prefix="u", target_key_columns="id")])
     log = events(spark, dict(ONE, file="f", pos=10, event_time=10), dict(ONE, event="delete", file="f", pos=30, event_time=30))
-    again = src.snapshot_events(spark.createDataFrame([(1, "synced", key)], "id int, name string, k long"), 20, "school", "class",
+    again = src.snapshot_events(spark.createDataFrame([(1, "synced", key)], "id int, name string, k long"), 31, "depot", "shelf",
                                 ["id", "name"], "k", at=("f", 20))
     changes = to_changes(normalize_events(log)).unionByName(to_changes(normalize_events(again)), allowMissingColumns=True)
     made_ = cmd.kv_commands(changes, rules, snapshot_time=20)
