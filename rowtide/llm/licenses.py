@@ -152,13 +152,14 @@ def template_spans(df, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_c
         marks, ["template", "word"], F.octet_length(F.to_json(F.struct("*"))))])
 
 
-def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text"):
+def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id", text_col="text", statements=False):
     """One row per row of `df`: id, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score`.
 
     `n_base` counts the places of all phrases; `first_word` and `last_word` are the
     smallest and largest, null without any. Label lists are sorted and joined by
     commas; `labels` adds those of contained templates (`template_spans`). The score is
-    1 with a phrase, else the best containment found, else 0. Null counts as the empty
+    1 with a phrase, else the best containment found, else 0. With `statements` there is a
+    column of that name: the different spans (start, end, label, containment) in order. Null counts as the empty
     text; further columns are not returned, repeated rows each get their row, an empty
     table gives none. Texts of any length are read whole.
     """
@@ -171,11 +172,14 @@ def scan(df, phrases=PHRASES, templates=TEMPLATES, share=SHARE, id_col="doc_id",
     base = F.concat(*[F.when(F.size(f"_p{i}") > 0, F.array(F.lit(label))).otherwise(none) for i, (_, label) in enumerate(phrases)])
     rows = rows.select(id_col, "key", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"),
                        F.array_max(places).cast("long").alias("last_word"), F.array_sort(F.array_distinct(base)).alias("base"))
+    span = F.struct("start", "end", "label", "containment")
     more = template_spans(df, templates, share, id_col, text_col).groupBy("key").agg(
-        F.collect_set("label").alias("more"), F.max("containment").alias("best"))
-    more = more.select(F.col("key.id").alias("_i"), F.col("key.h").alias("_h"), F.col("key.n").alias("_n"), "more", "best")
+        F.collect_set("label").alias("more"), F.max("containment").alias("best"),
+        *([F.array_sort(F.collect_set(span)).alias("stated")] if statements else []))
+    more = more.select(F.col("key.id").alias("_i"), F.col("key.h").alias("_h"), F.col("key.n").alias("_n"), *more.columns[1:])
     same = F.col("key.id").eqNullSafe(F.col("_i")) & (F.col("key.h") == F.col("_h")) & (F.col("key.n") == F.col("_n"))
     return rows.join(more, same, "left").select(
         id_col, "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", none))), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"))
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+        *([F.coalesce("stated", F.array()).alias("statements")] if statements else []))

@@ -129,21 +129,25 @@ m AS (SELECT doc_id, s, e, label, c FROM g WHERE NOT EXISTS (SELECT 1 FROM g o W
       AND len(o.words) > len(g.words) AND len(list_intersect(o.words, g.words)) = len(g.words)))"""
 
 
-def _license_sql():
+def _license_sql(statements=False):
+    """`statements` adds the column of that name: the different spans that state a licence, in order."""
     places = {label: _phrase_sql(p) for p, label in licenses.PHRASES}
     every = "list_concat(" * (len(places) - 1) + f"p_{licenses.PHRASES[0][1]}" + "".join(f", p_{x})" for _, x in licenses.PHRASES[1:])
     base = " UNION ALL ".join(f"SELECT doc_id, '{x}' AS label FROM b WHERE len(p_{x}) > 0" for _, x in licenses.PHRASES)
+    stated = """,
+st AS (SELECT doc_id, string_agg(s || '-' || e || ' ' || label || ' ' || c::DOUBLE, ',' ORDER BY s, e, label, c) AS statements
+       FROM (SELECT DISTINCT doc_id, s, e, label, c FROM m) GROUP BY doc_id)""" if statements else ""
     return f"""
 WITH {_statements_sql()},
 b AS (SELECT doc_id, len(words)::BIGINT AS n_words, {', '.join(f'{sql} AS p_{x}' for x, sql in places.items())} FROM d),
 p AS (SELECT doc_id, n_words, {every} AS places FROM b),
 bl AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base}) GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM ({base} UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id),
-s AS (SELECT doc_id, max(c) AS c FROM m GROUP BY doc_id)
+s AS (SELECT doc_id, max(c) AS c FROM m GROUP BY doc_id){stated}
 SELECT p.doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
        coalesce(bl.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
-       CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
-FROM p LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN s USING (doc_id)"""
+       CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score{", coalesce(st.statements, '') AS statements" if statements else ""}
+FROM p LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN s USING (doc_id){" LEFT JOIN st USING (doc_id)" if statements else ""}"""
 
 
 @query(_license_sql())
@@ -152,14 +156,13 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-@query(f"""
-WITH {_statements_sql()}
-SELECT DISTINCT doc_id, s::BIGINT AS first_word, e::BIGINT AS last_word, label, c::DOUBLE AS containment FROM m""")
+@query(_license_sql(statements=True))
 def license_statements(spark, sf_dir):
-    """Where the licence statements of every document stand."""
-    found = licenses.template_spans(table(spark, sf_dir, "documents"))
-    return found.select(F.col("key.id").alias("doc_id"), F.col("start").cast("long").alias("first_word"),
-                        F.col("end").cast("long").alias("last_word"), "label", "containment").distinct()
+    """As op9_licenses, with the places of the licence statements of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), statements=True)
+    one = F.transform("statements", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"), F.lit(" "), s["label"],
+                                                       F.lit(" "), s["containment"].cast("string")))
+    return found.withColumn("statements", F.array_join(one, ","))
 
 
 @query()

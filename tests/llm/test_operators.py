@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowtide.functions import joins
-from rowtide.llm import (bpe, common, contamination, exact, graph, katz, language, licenses, lines, pieces, quality, simhash)
+from rowtide.llm import (bpe, common, contamination, exact, graph, katz, language, licenses, lines, pieces, quality, queries, simhash)
 from rowtide.llm.common import ascii_lower, plain_words, remainder
 from rowtide.llm.queries import TOKENIZERS
 
@@ -452,6 +452,17 @@ def test_license_statements_over_line_breaks(empty, spark, template_bytes, monke
     assert licenses.template_spans(empty).count() == 0 and licenses.template_spans(given, templates=[("none", "...")]).count() == 0
 
 
+def test_license_statements_are_of_every_document(spark, tmp_path):
+    """Documents without a statement have their row, words, phrases and score as well."""
+    texts = {1: "MIT License here", 2: "Licensed under\nCC BY 4.0. Photos: licensed under CC BY-NC 4.0", 3: "nothing", 4: None}
+    frame(spark, [(i, t, None, None) for i, t in texts.items()]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r.asDict() for r in queries.license_statements(spark, str(tmp_path)).collect()}
+    op9 = {r["doc_id"]: r.asDict() for r in queries.op9_licenses(spark, str(tmp_path)).collect()}
+    assert {i: {c: v for c, v in r.items() if c != "statements"} for i, r in got.items()} == op9 and set(got) == set(texts)
+    assert got[1]["n_base"] == 1 and [got[i]["statements"] for i in (1, 3, 4)] == ["", "", ""]
+    assert got[2]["statements"] == ",".join(f"{s}-{e} {x} {c}" for s, e, x, c in sorted(plain_spans(texts[2])))
+
+
 # hot groups
 
 def test_join_groups(spark, monkeypatch):
