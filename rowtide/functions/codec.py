@@ -1,5 +1,7 @@
 """Payload codecs. Plain Spark has no gzip or raw snappy expression, so these
-are Arrow-batched; callers apply them to the values that need them only."""
+are Python functions; callers apply them to the values that need them only.
+They take a value at a time: a worker holds a hundred values, where Arrow batches
+hold ten thousand, in four copies, whatever the values weigh."""
 
 from pyspark.sql import functions as F, types as T
 
@@ -9,11 +11,10 @@ HUFFMAN_ONLY = -2
 
 
 def _packer():
-    """Batch function (data, mode, level) -> bytes. Built here, so that it
+    """Function (data, mode, level) -> bytes. Built here, so that it
     travels to executors whole."""
     import zlib
 
-    import pandas as pd
     import pyarrow as pa
 
     snappy_modes, huffman = (SNAPPY, SNAPPY_BASE64), HUFFMAN_ONLY
@@ -23,22 +24,20 @@ def _packer():
         packer = zlib.compressobj(-1 if level == huffman else level, zlib.DEFLATED, 31, 8, strategy)
         return packer.compress(data) + packer.flush()
 
-    def pack(data: pd.Series, mode: pd.Series, level: pd.Series) -> pd.Series:
-        snappy = pa.Codec("snappy")
-        return pd.Series([
-            None if value is None
-            else snappy.compress(bytes(value), asbytes=True) if how in snappy_modes
-            else gzip(bytes(value), int(lvl))
-            for value, how, lvl in zip(data, mode, level)], dtype=object)
+    def pack(data, mode, level):
+        if data is None:
+            return None
+        if mode in snappy_modes:
+            return pa.Codec("snappy").compress(bytes(data), asbytes=True)
+        return gzip(bytes(data), int(level))
 
-    return F.pandas_udf(pack, T.BinaryType())
+    return F.udf(pack, T.BinaryType(), useArrow=False)
 
 
 def _unpacker():
-    """Batch function (data, mode) -> bytes."""
+    """Function (data, mode) -> bytes."""
     import zlib
 
-    import pandas as pd
     import pyarrow as pa
 
     snappy_modes = (SNAPPY, SNAPPY_BASE64)
@@ -53,16 +52,14 @@ def _unpacker():
             shift += 7
         return size
 
-    def unpack(data: pd.Series, mode: pd.Series) -> pd.Series:
-        snappy = pa.Codec("snappy")
-        return pd.Series([
-            None if value is None
-            else snappy.decompress(bytes(value), decompressed_size=plain_size(value), asbytes=True)
-            if how in snappy_modes
-            else zlib.decompress(bytes(value), 31)
-            for value, how in zip(data, mode)], dtype=object)
+    def unpack(data, mode):
+        if data is None:
+            return None
+        if mode in snappy_modes:
+            return pa.Codec("snappy").decompress(bytes(data), decompressed_size=plain_size(data), asbytes=True)
+        return zlib.decompress(bytes(data), 31)
 
-    return F.pandas_udf(unpack, T.BinaryType())
+    return F.udf(unpack, T.BinaryType(), useArrow=False)
 
 
 def level_ok(level):
