@@ -140,27 +140,52 @@ def joined_texts(cells, names, sep=":"):
     return f"array_join(transform({cells_of(cells, names)}, jt -> jt.text), '{sep}')"
 
 
-def image_json(image, names=None, decimal_as="string"):
-    """JSON object of an image, keys in name order. `names` holds the sorted
-    distinct names to keep, NULL for all."""
-    cells = f"sort_array({image})"
-    if names is not None:
-        cells = f"CASE WHEN {names} IS NULL THEN {cells} ELSE {cells_of(image, names)} END"
+def json_heads(names):
+    """What stands before the value of each of a list of names in `image_json`."""
+    return f"transform({names}, hn -> concat({json_quote('hn')}, ':'))"
+
+
+def xml_heads(names):
+    """What stands before the value of each of a list of names in `image_xml`."""
+    return f"""transform({names}, hn -> concat('<column name="', {xml_escape('hn')}, '">'))"""
+
 
-    def members(name):
+def image_json(image, names=None, decimal_as="string", heads=None):
+    """JSON object of an image, keys in name order. `names` holds the sorted
+    distinct names to keep, NULL for all, and `heads`, if given, their `json_heads`."""
+    def members(name, cells):
         return (f"array_join(transform({cells}, m -> concat({name}, ':', {cell_json('m', decimal_as)})), ',')")
 
     # Column names hardly ever need escaping: one look at all of them together.
     plain = f"""array_join({image}.name, '') RLIKE r'^[^"\\\\<>&\\x00-\\x1f\\u2028\\u2029]*$'"""
-    return (f"""concat('{{', CASE WHEN {plain} THEN {members("'\"', m.name, '\"'")} """
-            f"""ELSE {members(json_quote('m.name'))} END, '}}')""")
 
+    def every(cells):
+        return (f"""CASE WHEN {plain} THEN {members("'\"', m.name, '\"'", cells)} """
+                f"""ELSE {members(json_quote('m.name'), cells)} END""")
+
+    body = every(f"sort_array({image})")
+    if heads is not None:
+        # The names are looked at once per rule, not once per row.
+        body = (f"CASE WHEN {names} IS NULL THEN {body} ELSE array_join(flatten(transform({names}, (cn, ci) -> transform("
+                f"filter({image}, cc -> cc.name = cn), m -> concat({heads}[ci], {cell_json('m', decimal_as)})))), ',') END")
+    elif names is not None:
+        body = every(f"CASE WHEN {names} IS NULL THEN sort_array({image}) ELSE {cells_of(image, names)} END")
+    return f"concat('{{', {body}, '}}')"
 
-def image_xml(image, names=None):
-    """<columns> element of an image, in image order or in the list's order."""
-    cells = image
-    if names is not None:
-        cells = f"CASE WHEN {names} IS NULL THEN {image} ELSE {cells_of(image, names)} END"
+
+def image_xml(image, names=None, heads=None):
+    """<columns> element of an image, in image order or in the list's order; `heads`
+    holds the `xml_heads` of the names, if given."""
     text = let(f"make_valid_utf8({cell_text('xc', '')})", "xv", xml_escape("xv"))
-    member = f"""concat('<column name="', {xml_escape('xc.name')}, '">', {text}, '</column>')"""
-    return f"concat('<columns>', array_join(transform({cells}, xc -> {member}), ''), '</columns>')"
+
+    def every(cells):
+        member = f"""concat('<column name="', {xml_escape('xc.name')}, '">', {text}, '</column>')"""
+        return f"array_join(transform({cells}, xc -> {member}), '')"
+
+    body = every(image)
+    if heads is not None:
+        body = (f"CASE WHEN {names} IS NULL THEN {body} ELSE array_join(flatten(transform({names}, (cn, ci) -> transform("
+                f"filter({image}, cc -> cc.name = cn), xc -> concat({heads}[ci], {text}, '</column>')))), '') END")
+    elif names is not None:
+        body = every(f"CASE WHEN {names} IS NULL THEN {image} ELSE {cells_of(image, names)} END")
+    return f"concat('<columns>', {body}, '</columns>')"

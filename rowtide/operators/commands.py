@@ -42,7 +42,7 @@ def target_key(side):
 
 
 def payload(side, decimal_as="string"):
-    return image_json(side, "json_names", decimal_as)
+    return image_json(side, "json_names", decimal_as, heads="json_heads")
 
 
 def hash_fields(side):

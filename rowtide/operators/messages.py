@@ -26,7 +26,7 @@ def images_in_order(pairs="pairs"):
             f"ELSE array(p.after) END))")
 
 
-def json_envelope(images=None, names=None, query=None, decimal_as="string"):
+def json_envelope(images=None, names=None, query=None, decimal_as="string", heads=None):
     """Envelope with header fields in fixed order, over columns sid, db, tb,
     sent_file, sent_pos, sent_time, event."""
     head = f"""'{{"sid":', sid, ',"dbname":', {json_quote('db')}, ',"tbname":', {json_quote('tb')},
@@ -34,12 +34,12 @@ def json_envelope(images=None, names=None, query=None, decimal_as="string"):
       ',"event":', {json_quote('event')}"""
     if query is not None:
         return f"""concat({head}, ',"query":', {json_quote(query)}, ',"columns":[]}}')"""
-    body = f"array_join(transform({images}, im -> {image_json('im', names, decimal_as)}), ',')"
+    body = f"array_join(transform({images}, im -> {image_json('im', names, decimal_as, heads)}), ',')"
     return f"""concat({head}, ',"columns":[', {body}, ']}}')"""
 
 
-def xml_envelope(images=None, names=None, root=XML_ROOT):
-    body = f"array_join(transform({images}, im -> {image_xml('im', names)}), '')" if images else "''"
+def xml_envelope(images=None, names=None, root=XML_ROOT, heads=None):
+    body = f"array_join(transform({images}, im -> {image_xml('im', names, heads)}), '')" if images else "''"
     return f"""concat('<{root}><sid>', sid, '</sid><dbname>', {xml_escape('db')}, '</dbname><tbname>',
       {xml_escape('tb')}, '</tbname><filename>', {xml_escape('sent_file')}, '</filename><position>', sent_pos,
       '</position><event_time>', sent_time, '</event_time><event>', {xml_escape('event')}, '</event>',
@@ -63,11 +63,11 @@ def messages(events, rules, default_topic, fmt="json", define_columns=True, deci
       ELSE array(named_struct('row_ord', 0, 'pairs', pairs)) END"""
     df = df.selectExpr(
         *TABLE, "event", "seg", "file", "pos", "event_ord", "event_time", "sent_file", "sent_pos",
-        "sent_time", "key_names", "topic_column", "kept_names", "json_names", f"inline({units})")
+        "sent_time", "key_names", "topic_column", "kept_names", "json_names", "json_heads", "xml_heads", f"inline({units})")
     if fmt == "json":
-        value = json_envelope(images_in_order(), "json_names", decimal_as=decimal_as)
+        value = json_envelope(images_in_order(), "json_names", decimal_as=decimal_as, heads="json_heads")
     elif fmt == "xml":
-        value = xml_envelope(images_in_order(), "kept_names")
+        value = xml_envelope(images_in_order(), "kept_names", heads="xml_heads")
     else:
         raise ValueError(f"unknown data format {fmt}")
     # Split units hold one pair; the last cell of the topic column's name counts.

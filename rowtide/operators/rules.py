@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rowtide.functions.codec import level_ok
-from rowtide.functions.text import split_trim, trim_space
+from rowtide.functions.text import json_heads, split_trim, trim_space, xml_heads
 from rowtide.schema import OP_ADD, OP_DROP, TARGET_TYPES, with_defaults
 from rowtide.sources.feed import passed
 
@@ -200,7 +200,7 @@ def compile_rules(rules):
         .when((F.col("refresh_type") != 0) & (F.col("_first_type") != F.col("target_key_type")), "type conflict")
         .when(F.col("is_compress").isin(1, 2) & ~level_ok(F.col("compress_level")), "bad compress level")
         .alias("rule_error"),
-    )
+    ).withColumn("json_heads", F.expr(json_heads("json_names")))
 
 
 def message_plan(rules, define_columns=True):
@@ -214,4 +214,5 @@ def message_plan(rules, define_columns=True):
             .select(*TABLE,
                     split_trim(F.col("key_columns")).alias("key_names"), "topic_column",
                     F.when(~full, kept).alias("kept_names"),
-                    F.when(~full, F.sort_array(F.array_distinct(kept))).alias("json_names")))
+                    F.when(~full, F.sort_array(F.array_distinct(kept))).alias("json_names"))
+            .withColumns({"json_heads": F.expr(json_heads("json_names")), "xml_heads": F.expr(xml_heads("kept_names"))}))

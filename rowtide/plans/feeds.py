@@ -2,8 +2,10 @@
 
 from pyspark.sql import Window, functions as F
 
+from rowtide.functions.joins import join_control
 from rowtide.functions.scan import previous, row_number
 from rowtide.schema import rules_df
+from rowtide.session import written
 from rowtide.sources.feed import positional_row, snapshot_events, typed_columns
 
 SID = 11
@@ -11,6 +13,8 @@ SID = 11
 EVENT_ROWS = 64
 # A stretch of event ids that is scanned in one task.
 ID_BLOCK = 1 << 20
+# Lines of an order that are put in order in one place; an order with more is numbered block by block.
+ORDER_LINES = 4096
 
 
 def table(spark, sf_dir, name):
@@ -102,28 +106,52 @@ b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "qty", "price_cents"]
 
 
-def lineitem_feed(spark, sf_dir):
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "qty", "price_cents", "l_shipdate"]
+
+
+def _rows_of_orders(lines):
+    """(l_orderkey, _part, _rows): the lines of each order in events of at most EVENT_ROWS, each order in one place."""
+    known = lambda r: r["l_linenumber"].isNotNull() & r["l_partkey"].isNotNull()  # others take a number, but are no rows
+    part = lambda p: F.filter(F.slice("_all", p * EVENT_ROWS + 1, EVENT_ROWS), known)
+    whole = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_all"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / EVENT_ROWS).cast("int")), lambda p: part(p))
+    row = lambda r: F.array(*[F.col(c).cast("string") if c == "l_orderkey" else r[c].cast("string") for c in LINE_COLUMNS])
+    return whole.select("l_orderkey", F.posexplode_outer(parts).alias("_part", "_lines")).where(F.size("_lines") > 0).select(
+        "l_orderkey", F.col("_part").cast("bigint").alias("_part"), F.transform("_lines", row).alias("_rows"))
+
+
+def _rows_in_blocks(lines):
+    """As `_rows_of_orders`, for orders of any size."""
+    # Blocks are a prefix of the order: the line number and a range of parts.
+    lines = lines.withColumn("_parts", F.floor(F.col("l_partkey") / 4096))
+    lines = row_number(lines, ["l_orderkey"], ["l_linenumber", "_parts"], LINE_ORDER, "_rn")
+    return lines.select(
+        "l_orderkey", F.floor((F.col("_rn") - 1) / EVENT_ROWS).alias("_part"), "_rn",
+        positional_row(LINE_COLUMNS).alias("_row")).groupBy("l_orderkey", "_part").agg(
+        F.sort_array(F.collect_list(F.struct("_rn", "_row"))).alias("_rows")).withColumn(
+        "_rows", F.transform("_rows", lambda r: r["_row"]))
+
+
+def lineitem_feed(spark, sf_dir, order_lines=ORDER_LINES):
     """Multi-row inserts into shop.lineitem: a transaction per order, its lines
     in events of at most EVENT_ROWS rows."""
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "qty", "price_cents", "l_shipdate"]
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("bigint").alias("qty"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price_cents"), "l_shipdate")
-    # Blocks are a prefix of the order: the line number and a range of parts.
-    lines = lines.withColumn("_parts", F.floor(F.col("l_partkey") / 4096))
-    lines = row_number(lines, ["l_orderkey"], ["l_linenumber", "_parts"], order, "_rn")
-    per_event = lines.select(
-        "l_orderkey", F.floor((F.col("_rn") - 1) / EVENT_ROWS).alias("_part"), "_rn",
-        positional_row(LINE_COLUMNS).alias("_row")).groupBy("l_orderkey", "_part").agg(
-        F.sort_array(F.collect_list(F.struct("_rn", "_row"))).alias("_rows"))
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price_cents"), "l_shipdate").where("l_orderkey IS NOT NULL")
+    large = written(spark, lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > order_lines).select("l_orderkey"))
+    if large.isEmpty():
+        per_event = _rows_of_orders(lines)
+    else:
+        per_event = _rows_of_orders(join_control(lines, large, ["l_orderkey"], "left_anti")).unionByName(
+            _rows_in_blocks(join_control(lines, large, ["l_orderkey"], "left_semi")))
     return per_event.select(
         F.lit(SID).alias("sid"), F.lit("shop").alias("db"), F.lit("lineitem").alias("tb"),
         F.lit("insert").alias("event"), *log_place("l_orderkey", "line."),
         (F.lit(1_700_000_000) + F.col("l_orderkey")).cast("bigint").alias("event_time"),
         F.col("l_orderkey").alias("tx_id"), (F.col("_part") + 1).alias("event_ord"),
         F.lit(False).alias("is_snapshot"), typed_columns(lines, LINE_COLUMNS).alias("table_columns"),
-        F.transform("_rows", lambda r: r["_row"]).alias("rows"),
+        F.col("_rows").alias("rows"),
         F.lit(None).cast("string").alias("query"))
 
 

@@ -105,8 +105,8 @@ def message_projection(spark, sf_dir):
     images = images_in_order()
     return df.selectExpr(
         "tx_id AS l_orderkey", "event_ord",
-        f"array_join(transform({images}, i -> {image_json('i', 'json_names')}), ',') AS json_columns",
-        f"array_join(transform({images}, i -> {image_xml('i', 'kept_names')}), '') AS xml_columns")
+        f"array_join(transform({images}, i -> {image_json('i', 'json_names', heads='json_heads')}), ',') AS json_columns",
+        f"array_join(transform({images}, i -> {image_xml('i', 'kept_names', heads='xml_heads')}), '') AS xml_columns")
 
 
 @query("target_keys", with_feeds("ab", """

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from rowtide.functions.codec import compress, decompress
 from rowtide.functions.joins import join_control
 from rowtide.functions.scan import previous, row_number, running_max
-from rowtide.functions.text import float_text, image_json, json_cell_quote, xml_escape
+from rowtide.functions.text import float_text, image_json, image_xml, json_cell_quote, json_heads, xml_escape, xml_heads
 from rowtide.operators import commands as cmd
 from rowtide.operators import positions as pos
 from rowtide.operators import rules as rule_ops
 from rowtide.operators.ddl import alter_feed, resolve_shadow
 from rowtide.operators.messages import ddl_messages, messages
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
+from rowtide.plans import feeds
 from rowtide.schema import EVENTS_RAW, rules_df
 from rowtide.sources import feed as src
 
@@ -202,6 +203,36 @@ def test_codec_modes(spark):
     assert all(r.back == r.t for r in huffman)
 
 
+def test_codecs_take_a_value_at_a_time(spark):
+    """Arrow batches hold ten thousand values of any weight."""
+    df = spark.createDataFrame([("x", 1)], "t string, m int").select(decompress(compress(F.col("t"), F.col("m"), F.lit(-1)), F.col("m")).alias("t"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_names_are_escaped_once_per_rule(spark):
+    """The texts before the values, worked out from the names alone, change no message; absent and repeated names count as before."""
+    cells = [("b", "int", "1"), ('q"<', "string", "x&y"), ("b", "float", "2.50"), ("n", "string", None)]
+    df = spark.createDataFrame([(cells, names) for names in (None, [], ["b"], ['q"<', "none", "b", "n"])],
+                               "i array<struct<name:string,type:string,value:string>>, names array<string>")
+    df = df.withColumns({"jh": F.expr(json_heads("names")), "xh": F.expr(xml_heads("names"))})
+    for plain, headed in ((image_json("i", "names"), image_json("i", "names", heads="jh")), (image_xml("i", "names"), image_xml("i", "names", heads="xh"))):
+        rows = df.selectExpr(f"{plain} AS a", f"{headed} AS b").collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+    assert one(df.where("size(names) = 4").selectExpr(f"{image_json('i', 'names', heads='jh')} AS a")).a == '{"q\\"\\u003c":"x\\u0026y","b":1,"b":2.5,"n":null}'
+
+
+def test_lines_of_orders_of_any_size(spark, tmp_path):
+    """Orders that are put in order in one place and orders numbered block by block give the same events."""
+    lines = [(o, None if i % 50 == 7 else i % 9, None if i % 40 == 3 else i * 37 % 11000, i % 5, float(i % 3), i * 1.25, f"d{i % 4}")
+             for o, n in ((1, 3), (2, 200), (3, 64), (4, 65), (None, 5)) for i in range(n)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                                 "l_extendedprice double, l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = [sorted((r.tx_id, r.event_ord, r.rows) for r in feeds.lineitem_feed(spark, str(tmp_path), order_lines=n).collect())
+             for n in (0, 64, 1000)]
+    assert found[0] == found[1] == found[2] and [e[:2] for e in found[0]] == [(1, 1), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (4, 1), (4, 2)]
+
+
 def test_rule_checks(spark):
     bad = dict(id=11, sid=1, db="shop", tb="orders", target_key_type="list", target_key_prefix="  ", is_compress=7,
                expire_range=80, refresh_type=5, is_dump=2, expire_time=0, is_full_column=3, filter_rule="a")
