@@ -8,6 +8,7 @@ from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.plans import feeds
 from rowtide.plans.feed import query, user_changes
 from rowtide.plans.sql import HASH_ITEMS, LIFE, MEMBER_ITEMS, STRING_ITEMS, alive, user_commands, with_feeds
+from rowtide.session import written
 from rowtide.sources.feed import insert_resync, monitored, unmonitored
 
 
@@ -89,9 +90,11 @@ def kv_alive_asof(spark, sf_dir):
     lo, hi = feeds.table(spark, sf_dir, "events").agg(
         F.min(feeds.seconds("ts")), F.max(feeds.seconds("ts"))).first()
     until = (lo + hi) // 2
-    made = commands(spark, sf_dir, 1, 2, 4, 5, until=until)
-    keys = state.lives(made)
-    return state.existing_keys(keys, state.item_lines(made), until).select("target_type", "target_key", "expires_at")
+    # The commands are read by four jobs, the keys and items once per type.
+    made = written(spark, commands(spark, sf_dir, 1, 2, 4, 5, until=until))
+    keys = written(spark, state.lives(made))
+    members = state.item_lines(made.where(F.col("target_type").isin("set", "zset")))
+    return state.existing_keys(keys, members, until).select("target_type", "target_key", "expires_at")
 
 
 LONG = 1_000_000_000
