@@ -50,9 +50,11 @@ def look(commands, chain=CHAIN):
 
 
 def _split(df, chain):
-    """Rows of keys with at most `chain` rows, and those of the others."""
+    """Rows of keys with at most `chain` rows, and those of the others, None if there are none."""
     df = written(df.sparkSession, df)
     hot = written(df.sparkSession, df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chain).select(*KEY))
+    if hot.isEmpty():
+        return df, None
     return join_control(df, hot, KEY, "left_anti"), join_control(df, hot, KEY, "left_semi")
 
 
@@ -75,6 +77,32 @@ def _reached(spans, ranges=()):
             .withColumn("reached", F.greatest("reached", "_before")).drop(*by, "_before"))
 
 
+def _steps_back(ops):
+    """Whether a block of some server starts before the time an earlier one of its blocks has reached; if none
+    does, no key's block does."""
+    blocks = ops.groupBy("sid", *BLOCK).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    before = Window.partitionBy("sid").orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return not blocks.withColumn("reached", F.max("hi").over(before)).where(F.col("reached") > F.col("lo")).isEmpty()
+
+
+def _stepped(ops, clocks, width, chain):
+    """(key, block, reached) of the blocks that start before the time an earlier block of the key has reached."""
+    spans = ops.groupBy(*KEY, *BLOCK).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    if clocks is not None:
+        first = clocks.select(
+            *KEY, F.lit(-1).cast("bigint").alias("seg"), F.lit("").alias("file"),
+            F.lit(0).cast("bigint").alias("blk"), F.col("clock").alias("lo"), F.col("clock").alias("hi"))
+        spans = spans.unionByName(first)
+    if width is None:
+        spans = _reached(spans)
+    else:
+        few, many = _split(spans, chain)
+        spans = _reached(few)
+        if many is not None:
+            spans = spans.unionByName(_reached(many, ranges_of(RANGE_BLOCKS, *map(F.col, BLOCK), width)))
+    return spans.where(F.col("reached") > F.col("lo")).select(*KEY, *BLOCK, "reached")
+
+
 def for_every_type(commands, types):
     """Commands with what they mean for keys of other types.
 
@@ -101,20 +129,12 @@ def key_lines(commands, clocks=None, width=None, chain=CHAIN):
     ops = commands.select(*KEY, *ORDER, "blk", "t", "ttl", "op")
 
     # The clock never steps back. Blocks that start before the time an earlier
-    # block has reached are rare, so the lookup is against a short list.
-    spans = ops.groupBy(*KEY, *BLOCK).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    if clocks is not None:
-        first = clocks.select(
-            *KEY, F.lit(-1).cast("bigint").alias("seg"), F.lit("").alias("file"),
-            F.lit(0).cast("bigint").alias("blk"), F.col("clock").alias("lo"), F.col("clock").alias("hi"))
-        spans = spans.unionByName(first)
-    if width is None:
-        spans = _reached(spans)
+    # block has reached are rare, so the lookup is against a short list, and in an
+    # ordered log there are none, which a line per block of the log tells.
+    if clocks is None and not _steps_back(ops):
+        ops = ops.withColumn("reached", F.lit(None).cast(ops.schema["t"].dataType))
     else:
-        few, many = _split(spans, chain)
-        spans = _reached(few).unionByName(_reached(many, ranges_of(RANGE_BLOCKS, *map(F.col, BLOCK), width)))
-    stepped = spans.where(F.col("reached") > F.col("lo")).select(*KEY, *BLOCK, "reached")
-    ops = ops.join(stepped, KEY + BLOCK, "left")
+        ops = ops.join(_stepped(ops, clocks, width, chain), KEY + BLOCK, "left")
 
     inside = Window.partitionBy(*KEY, *BLOCK).orderBy(
         "pos", "event_ord", "phase", "row_ord", "rule_id")
@@ -198,6 +218,8 @@ def joined(lines, by=()):
 def narrowed(lines, width, chain=CHAIN):
     """Lines of the same lives, those of keys with over `chain` lines joined by ranges of the order."""
     few, many = _split(lines, chain)
+    if many is None:
+        return few
     for by in ranges_of(RANGE_BLOCKS, F.col("at.seg"), F.col("at.file"), F.col("blk"), width):
         many = joined(many, by)
     return few.unionByName(many)

@@ -116,6 +116,21 @@ def test_lines_join_range_by_range(spark, monkeypatch):
     lines.unpersist()
 
 
+def test_an_ordered_log_needs_no_lookup_of_times(spark, monkeypatch):
+    """Only a log whose blocks step back in time is looked up key by key; few lines per key are not joined by range."""
+    looked = []
+    monkeypatch.setattr(state, "_stepped", lambda *a, f=state._stepped: looked.append(1) or f(*a))
+    monkeypatch.setattr(state, "joined", lambda lines, by=(), f=state.joined: looked.append(tuple(by)) or f(lines, by))
+    commands = random_commands(7, 50, 4)
+    back = [{**c, "t": 1000 - c["t"]} for c in commands]
+    ordered = [{**c, "t": 1000, "file": "f"} for c in commands]
+    for n, c in enumerate(ordered):
+        c["event_ord"] = n
+    assert rows(state.fold(frame(spark, ordered), 1001, chain=4 * 50)) == expected(ordered, 1001) and looked == [()]
+    state.key_lines(frame(spark, back))
+    assert looked[-1] == 1
+
+
 def test_ranges_are_runs_of_the_order(spark):
     """Whatever the names, rows of a range lie side by side and finer ranges lie within wider ones."""
     names = ["", "a", "ab", "ab1", "ab12", "abc", "log.000099", "log.000100", "log.1", "z.01"]
