@@ -22,6 +22,7 @@ GRAMS = (2, 3, 4)
 AGAIN = 0  # the bucket of "equals the word before"
 STEPS = 48_000
 GROUP_WORDS = 100_000  # words taken apart at a time: a bound on memory
+ROOM = 10_000_000  # buckets an array of bags has room for: over 32 MB, which malloc maps on its own and returns
 
 
 @dataclass
@@ -90,6 +91,37 @@ def word_scores(words, scores):
     return sums, counts
 
 
+def bag(text, size):
+    """The different buckets of a text, and the share of each."""
+    words = text.split() if text else []
+    found = [b for b, _ in buckets_of(words, size)] if words else []
+    again = sum(a == b for a, b in zip(words, words[1:]))
+    idx, times = np.unique(np.concatenate([*found, np.full(again, AGAIN)]) if found else np.zeros(0, np.int64),
+                           return_counts=True)
+    return idx.astype(np.int32), (times / max(1, times.sum())).astype(np.float32)
+
+
+def bags(texts, size):
+    """The bags of all texts, as pieces of arrays with room for ROOM buckets.
+
+    The driver holds them next to Spark: they take eight bytes a bucket (what is not
+    yet filled takes nothing), and all of it goes back when they do, unlike the
+    memory of thousands of small arrays.
+    """
+    out, free = [], 0
+    for text in texts:
+        own, share = bag(text, size)
+        if len(own) > free:
+            free = max(ROOM, len(own))
+            idx, weight = np.empty(free, np.int32), np.empty(free, np.float32)
+        if len(own):
+            at = slice(len(idx) - free, len(idx) - free + len(own))
+            idx[at], weight[at] = own, share
+            own, share, free = idx[at], weight[at], free - len(own)
+        out.append((own, share))
+    return out
+
+
 def train(texts, labels, classes, buckets=2**18, dim=8, steps=STEPS, rate=0.5, seed=7):
     """Fits vectors and output layer to labelled texts.
 
@@ -100,19 +132,12 @@ def train(texts, labels, classes, buckets=2**18, dim=8, steps=STEPS, rate=0.5, s
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
     layer, bias = np.zeros((dim, len(classes)), np.float32), np.zeros(len(classes), np.float32)
-    bags = []
-    for text in texts:
-        words = text.split() if text else []
-        found = [b for b, _ in buckets_of(words, buckets)] if words else []
-        again = sum(a == b for a, b in zip(words, words[1:]))
-        idx, times = np.unique(np.concatenate([*found, np.full(again, AGAIN)]) if found else np.zeros(0, np.int64),
-                               return_counts=True)
-        bags.append((idx, (times / max(1, times.sum())).astype(np.float32)))
+    held = bags(texts, buckets)
     targets = np.array([classes.index(c) for c in labels], np.int64)
     step = 0
-    while bags and step < steps:
-        for i in rng.permutation(len(bags))[:steps - step]:
-            idx, weight = bags[i]
+    while held and step < steps:
+        for i in rng.permutation(len(held))[:steps - step]:
+            idx, weight = held[i]
             r = rate * (1 - step / steps)
             step += 1
             mean = weight @ vectors[idx]
@@ -142,8 +167,10 @@ def fit(docs, labels, label_col, id_col="doc_id", text_col="text", fit_rows=6000
     some = known.orderBy(*order).limit(fit_rows)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
             .join(some, "_id").orderBy(*order, "_text").limit(fit_rows).collect())
-    classes = sorted({r["_label"] for r in rows})
-    return train([r["_text"] for r in rows], [r["_label"] for r in rows], classes or [0, 1], **options)
+    given = [r["_label"] for r in rows]
+    rows.reverse()
+    texts = (rows.pop()["_text"] for _ in given)  # each text goes once it is taken apart
+    return train(texts, given, sorted(set(given)) or [0, 1], **options)
 
 
 def classify(df, model, positive, text_col="text", name="score"):

@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,6 +22,7 @@ from rowtide.llm import (bpe, common, contamination, exact, graph, katz, languag
 from rowtide.llm.common import ascii_lower, plain_words, remainder
 from rowtide.llm.queries import TOKENIZERS
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BPE_FILE, PIECE_FILE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
@@ -218,6 +222,29 @@ def test_quality_learns_order_and_shape():
     assert model.probabilities([None, ""]).shape == (2, 2)
 
 
+HELD = """
+import random, re
+from rowtide.llm import quality
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+r = random.Random(4)
+texts = lambda n: [" ".join(str(r.random()) for _ in range(200)) for _ in range(n)]
+quality.train(texts(4), [0, 1] * 2, [0, 1], steps=4)
+given = texts(3000)
+before = held()
+model = quality.train(given, [0, 1] * 1500, [0, 1], steps=4)
+print(held() - before)
+"""
+
+
+def test_quality_training_gives_its_memory_back():
+    out = subprocess.run([sys.executable, "-c", HELD], capture_output=True, text=True, timeout=120, check=True, cwd=ROOT)
+    assert float(out.stdout) < 90  # MB
+
+
+
 # 5
 
 def plain_contamination(texts, items, window):
@@ -323,6 +350,18 @@ def _by_value(of):
     return out
 
 
+def test_components_know_stars(spark, monkeypatch):
+    edges = lambda *pairs: spark.createDataFrame(list(pairs), "v long, u long")
+    assert graph.stars(edges((2, 1), (3, 1), (9, 7))) and graph.stars(edges())
+    assert not graph.stars(edges((2, 1), (3, 2))) and not graph.stars(edges((3, 1), (3, 2)))
+    tables, written = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda s, df: tables.append(written(s, df)) or tables[-1])
+    star = [(1, i) for i in range(2, 50)]
+    got = graph.components(spark, spark.createDataFrame(star, "a long, b long")).collect()
+    assert {x["node"]: x["root"] for x in got} == {i: 1 for i in range(1, 50)}
+    assert len(tables) == 1  # the links; no round
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 70)] + [(1000, 2000), (2000, 1000), (5, 5)] + [(500, 500 + i) for i in range(1, 40)]
     got = {x["node"]: x["root"] for x in graph.components(spark, spark.createDataFrame(chain, "a long, b long")).collect()}
