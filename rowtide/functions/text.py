@@ -12,6 +12,10 @@ NULL_TEXT = "<nil>"
 # Characters with a short or markup escape in payload JSON, in escaping order.
 _JSON_COMMON = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"),
                 ("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")]
+# Texts without a character to escape, and those with one that has no short form. Texts of ASCII are told before by
+# classes of single characters (`_listed`): Java looks these up in one table instead of asking range by range.
+_JSON_PLAIN = r"""r'^[^"\\<>&\x00-\x1f\u2028\u2029]*$'"""
+_JSON_ODD = r"r'[\x00-\x08\x0b\x0c\x0e-\x1f\u2028\u2029]'"
 # Controls without a short form, and the two line separators.
 _JSON_RARE = [c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)] + [0x2028, 0x2029]
 _XML_SPECIAL = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("'", "&#39;"),
@@ -38,6 +42,21 @@ def let(value, name, body):
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def _listed(chars, end):
+    """Pattern of texts made of some ASCII characters only."""
+    return "r'^[" + "".join(f"\\x{c:02x}" for c in chars) + f"]*{end}'"
+
+
+_ASCII = _listed(range(0x80), r"\z")
+_ASCII_PLAIN = _listed([c for c in range(0x20, 0x80) if chr(c) not in '"\\<>&'], "$")
+_ASCII_USUAL = _listed([9, 10, 13, *range(0x20, 0x80)], r"\z")
+
+
+def json_plain(text):
+    """Condition: a JSON string shows the text as it is."""
+    return f"({text} RLIKE {_ASCII_PLAIN} OR {text} RLIKE {_JSON_PLAIN})"
+
+
 def trim_space(col):
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
@@ -92,8 +111,8 @@ def json_quote(text):
     escapes = ", ".join(f"{literal(chr(c))}, {literal(f'\\u{c:04x}')}" for c in _JSON_RARE)
     rare = (f"array_join(transform(split({common}, ''), jc -> "
             f"coalesce(try_element_at(map({escapes}), jc), jc)), '')")
-    return (f"""concat('"', CASE WHEN {text} RLIKE r'^[^"\\\\<>&\\x00-\\x1f\\u2028\\u2029]*$' THEN {text} """
-            f"""WHEN {text} RLIKE r'[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\u2028\\u2029]' THEN {rare} """
+    return (f"""concat('"', CASE WHEN {json_plain(text)} THEN {text} """
+            f"""WHEN NOT {text} RLIKE {_ASCII_USUAL} AND {text} RLIKE {_JSON_ODD} THEN {rare} """
             f"""ELSE {common} END, '"')""")
 
 
@@ -101,7 +120,7 @@ def json_cell_quote(text):
     """As json_quote, with bytes that are no UTF-8 shown as escapes."""
     broken = let(f"make_valid_utf8({text})", "jv",
                  f"replace({json_quote('jv')}, '�', {literal(chr(92) + 'ufffd')})")
-    return f"CASE WHEN is_valid_utf8({text}) THEN {json_quote(text)} ELSE {broken} END"
+    return f"CASE WHEN {text} RLIKE {_ASCII} OR is_valid_utf8({text}) THEN {json_quote(text)} ELSE {broken} END"
 
 
 def cell_json(cell, decimal_as="string"):
@@ -157,7 +176,7 @@ def image_json(image, names=None, decimal_as="string", heads=None):
         return (f"array_join(transform({cells}, m -> concat({name}, ':', {cell_json('m', decimal_as)})), ',')")
 
     # Column names hardly ever need escaping: one look at all of them together.
-    plain = f"""array_join({image}.name, '') RLIKE r'^[^"\\\\<>&\\x00-\\x1f\\u2028\\u2029]*$'"""
+    plain = json_plain(f"array_join({image}.name, '')")
 
     def every(cells):
         return (f"""CASE WHEN {plain} THEN {members("'\"', m.name, '\"'", cells)} """

@@ -64,17 +64,19 @@ COMMITTED = "50"  # how far after its last event a commit lies
 
 
 def cut_anywhere(spark, sf_dir):
-    """The feed of user_state with commit marks, as SLICES stretches that end inside transactions."""
-    feed = feeds.user_state(spark, sf_dir)
+    """The feed of user_state with commit marks, as SLICES stretches that end inside transactions. Each stretch lies
+    in a folder of its own, so that a batch reads no other."""
     last = feeds.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    marks = feed.groupBy("sid", "tx_id").agg(F.max(F.struct("file", "pos", "event_time", "event_ord")).alias("e")).select(
-        "sid", "tx_id", F.lit(COMMIT).alias("event"), "e.file", (F.col("e.pos") + int(COMMITTED)).alias("pos"), "e.event_time",
-        (F.col("e.event_ord") + 1).alias("event_ord"))
-    feed = feed.unionByName(marks, allowMissingColumns=True)
-    feed = written(spark, feed)
-    number = F.substr(F.col("file"), F.lit(5)).cast("bigint") * 1000 + F.floor(F.col("pos") / 100)
     cuts = [-1] + [last * (i + 1) // SLICES // 25 * 25 + 12 for i in range(SLICES - 1)] + [last]
-    return [feed.where((number > a) & (number <= b)) for a, b in zip(cuts, cuts[1:])]
+    number = F.substr(F.col("file"), F.lit(5)).cast("bigint") * 1000 + F.floor(F.col("pos") / 100)
+    stretch = F.coalesce(*[F.when((number > a) & (number <= b), i) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+    laid = lambda df: written(spark, df.withColumn("_stretch", stretch).where("_stretch IS NOT NULL"), "_stretch")
+    feed = laid(feeds.user_state(spark, sf_dir))
+    marks = laid(feed.groupBy("sid", "tx_id").agg(F.max(F.struct("file", "pos", "event_time", "event_ord")).alias("e")).select(
+        "sid", "tx_id", F.lit(COMMIT).alias("event"), "e.file", (F.col("e.pos") + int(COMMITTED)).alias("pos"), "e.event_time",
+        (F.col("e.event_ord") + 1).alias("event_ord")))
+    of = lambda df, i: df.where(F.col("_stretch") == i).drop("_stretch")
+    return [of(feed, i).unionByName(of(marks, i), allowMissingColumns=True) for i in range(SLICES)]
 
 
 def split_store(spark, sf_dir, rule_ids, mode):

@@ -44,9 +44,10 @@ def shared_folder(spark):
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(spark, df):
+def written(spark, df, *folders):
     """The frame as a table in the shared folder: computed once, read by column,
-    and still there when an executor is lost."""
+    and still there when an executor is lost. Rows lie in a folder per value of
+    the last columns, if these are named."""
     path = shared_folder(spark)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from rowtide.operators.messages import in_send_order, messages, numbered
 from rowtide.operators.normalize import deliver, normalize_events, to_changes
 from rowtide.operators.positions import delivered_positions
 from rowtide.operators.rules import versions
+from rowtide.plans import feeds, sinks
 from rowtide.schema import COMMIT, EVENTS_CHANGED, EVENTS_RAW, rules_df
 from rowtide.session import shared_folder
 from rowtide.sources.feed import stream_events
@@ -183,6 +184,28 @@ def test_transactions_cut_by_batches(spark):
     assert store.read("dead_letter").count() == 0
 
 
+def test_a_batch_reads_its_own_stretch_only(spark, tmp_path):
+    spark.range(300).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS ts", "id % 7 AS user_id",
+        "elt(int(id % 3) + 1, 'view', 'error', 'purchase') AS event_type", "id / 4 AS value", "concat('p', id) AS props").write.parquet(
+        f"{tmp_path}/events.parquet")
+    parts = sinks.cut_anywhere(spark, str(tmp_path))
+    files = [{r[0] for r in p.select(F.input_file_name()).distinct().collect()} for p in parts]
+    assert all(files) and len(set().union(*files)) == sum(map(len, files))
+    whole = [r.asDict() for r in feeds.user_state(spark, str(tmp_path)).collect()]
+    rows = [(i, r.asDict()) for i, p in enumerate(parts) for r in p.collect()]
+    place = lambda r: (r["file"], r["pos"])
+    assert sorted((r for _, r in rows if r["event"] != COMMIT), key=place) == sorted(whole, key=place)
+    ends = {}
+    for r in whole:
+        ends[r["tx_id"]] = max(ends.get(r["tx_id"], ("", 0)), (r["file"], r["pos"] + int(sinks.COMMITTED)))
+    marks = [(i, r) for i, r in rows if r["event"] == COMMIT]
+    assert {r["tx_id"]: place(r) for _, r in marks} == ends and len(marks) == len(ends)
+    # Stretches follow the log and end inside transactions.
+    assert [i for _, i in sorted((place(r), i) for i, r in rows)] == sorted(i for i, _ in rows)
+    assert any(i < j for i, r in rows for j, m in marks if m["tx_id"] == r["tx_id"])
+
+
 def test_alters_are_off_unless_asked_for(spark):
     text = (1, "d", "", "query", "f001", 1, 0, None, 0, False, None, None, "ALTER TABLE t ADD c INT")
     store = Store(spark, shared_folder(spark))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.codec import compress, decompress
 from rowtide.functions.joins import join_control
 from rowtide.functions.scan import previous, row_number, running_max
-from rowtide.functions.text import float_text, image_json, image_xml, json_cell_quote, json_heads, xml_escape, xml_heads
+from rowtide.functions.text import float_text, image_json, image_xml, json_cell_quote, json_heads, json_plain, xml_escape, xml_heads
 from rowtide.operators import commands as cmd
 from rowtide.operators import positions as pos
 from rowtide.operators import rules as rule_ops
@@ -63,6 +63,16 @@ def test_xml_text(spark):
     assert one(df.selectExpr(xml_escape("v")))[0] == "&lt;a b=&#39;1&#39;&gt;&amp;&#34;&#xA;�"
 
 
+def test_texts_of_ascii_are_told_by_one_table(spark):
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+    odd = lambda c: ord(c) < 32 or c in '<>&\u2028\u2029'
+    shown = lambda t: '"' + "".join(short.get(c, f"\\u{ord(c):04x}" if odd(c) else c) for c in t) + '"'
+    texts = [f"a{chr(c)}é{x}" for c in range(0x80) for x in "z<"] + [f"a{chr(c)}z" for c in [*range(0x100), 0x2028, 0x2029, 0x1D11E]]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0]: r[1] for r in df.selectExpr("t", json_cell_quote("t")).collect()} == {t: shown(t) for t in texts}
+    assert {r[0]: r[1] for r in df.selectExpr("t", json_plain("t")).collect()} == {t: shown(t) == f'"{t}"' for t in texts}
+
+
 def test_image_json_orders_keys_and_keeps_nulls(spark):
     cells = [("b", "int", "2"), ('a"', "string", None), ("c", "decimal", "1.50"), ("d", "float", "1000000.0")]
     df = spark.createDataFrame([(cells,)], "i array<struct<name:string,type:string,value:string>>")
