@@ -30,7 +30,8 @@ def boilerplate(lines, sites=SITES):
     spark = lines.sparkSession
     spread = lines.groupBy("a", "b").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"), F.min("id").alias("first"))
     spread = spread.select("a", "b", "first", F.hll_sketch_estimate("sketch").alias("about"))
-    likely = written(spark, spread.where(F.col("about") >= sites * (1 - MARGIN)))
+    # Few of many lines are left: rebalanced, they make a file or two instead of one per task of the sketches.
+    likely = written(spark, spread.where(F.col("about") >= sites * (1 - MARGIN)).hint("rebalance"))
     near = likely.where(F.col("about") <= sites * (1 + MARGIN))
     exact = (lines.join(near.select("a", "b"), ["a", "b"], "left_semi").select("a", "b", "site").distinct()
              .groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= sites))
@@ -48,7 +49,7 @@ def remove_boilerplate(df, sites=SITES, id_col="doc_id", text_col="text", site_c
     with no lines, empty texts have one (blank) line. Rows and other columns stay.
     """
     lines = numbered(df, id_col, text_col, site_col)
-    bad = written(df.sparkSession, boilerplate(lines, sites))
+    bad = written(df.sparkSession, boilerplate(lines, sites).hint("rebalance"))
     gone = (lines.join(bad, ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("first")))
             .groupBy(F.col("id").alias("_id"), F.col("row").alias("_line_row")).agg(F.collect_set("place").alias("_gone")))
     own = df.select(packed(df), F.col(id_col).alias("_own"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_h"))

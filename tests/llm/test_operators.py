@@ -394,6 +394,17 @@ def test_lines(spark, docs, empty):
     assert lines.boilerplate(everywhere, 1000).count() == 1 and lines.boilerplate(everywhere, 1001).count() == 0
 
 
+def test_few_lines_fill_few_files(spark, monkeypatch):
+    tables, written = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda s, df: tables.append(written(s, df)) or tables[-1])
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "concat('s', id % 12) AS source",
+        "concat_ws('\n', transform(sequence(1, 100), k -> concat('own line ', id, ' ', k)), concat('common line ', id % 35)) AS text")
+    found = lines.remove_boilerplate(docs)
+    assert found.agg(F.sum("n_removed")).first()[0] == 3000 - 35  # each of 35 lines, on 12 sites, stays once
+    assert [(t.count(), len(t.inputFiles())) for t in tables] == [(35, 1), (35, 1)]
+
+
 # 8
 
 def test_bpe(docs, empty):
